@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from trendmill import functions as fn
 from trendmill.schemas import CORRUPT
 
 
@@ -17,9 +18,11 @@ def counted(df: DataFrame, observation: Observation, **extra: Column) -> DataFra
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in extra.items()])
 
 
-def ingest_summary(rows: DataFrame) -> DataFrame:
-    """Rows and bad lines of a Bronze batch per region; ``rows`` was read with ``keep_corrupt``."""
+def ingest_summary(rows: DataFrame, id_column: str = "video_id") -> DataFrame:
+    """Rows, bad lines and rows with an id of a Bronze batch per region; read it with ``keep_corrupt``."""
     good = F.col(CORRUPT).isNull()
     return rows.groupBy("region").agg(
-        F.count_if(good).alias("rows_ok"), F.count_if(~good).alias("rows_bad")
+        F.count_if(good).alias("rows_ok"),
+        F.count_if(~good).alias("rows_bad"),
+        F.count_if(fn.has_text(F.col(id_column))).alias("rows_with_id"),
     ).withColumn("succeeded", F.col("rows_bad") == 0)

@@ -11,7 +11,7 @@ from trendmill.schemas import CORRUPT, LIVE_FIELDS, REFERENCE_FIELDS, all_string
 from trendmill.session import enable_checkpoints
 from trendmill.sources.bronze_csv import NOTHING_THERE
 
-FILES = {"pathGlobFilter": "*.json"}
+FILES = "*.json"
 
 
 def parse_lines(lines: DataFrame, fields: tuple[str, ...]) -> DataFrame:
@@ -34,15 +34,17 @@ def drop_bad_files(rows: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(bad), "_file", "left_anti")
 
 
-def _read(spark: SparkSession, path: str, fields: tuple[str, ...], on_bad_record: str, keep_corrupt: bool) -> DataFrame:
+def _read(
+    spark: SparkSession, path: str, fields: tuple[str, ...], on_bad_record: str, keep_corrupt: bool, files: str
+) -> DataFrame:
     columns = [*fields, CORRUPT] if keep_corrupt else list(fields)
     try:
         if on_bad_record == "drop_file":
-            lines = spark.read.options(**FILES).text(path)
+            lines = spark.read.option("pathGlobFilter", files).text(path)
             extra = [F.col("region").cast("string").alias("region")] if "region" in lines.columns else []
             lines = lines.select("value", F.col("_metadata.file_path").alias("_file"), *extra)
             return drop_bad_files(parse_lines(lines, fields)).select(*columns)
-        reader = spark.read.options(**FILES, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        reader = spark.read.options(pathGlobFilter=files, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
         return reader.schema(all_strings(columns)).json(path).select(*columns)
     except AnalysisException as error:
         if error.getCondition() in NOTHING_THERE:
@@ -51,7 +53,8 @@ def _read(spark: SparkSession, path: str, fields: tuple[str, ...], on_bad_record
 
 
 def read_live(
-    spark: SparkSession, path: str, on_bad_record: str = "drop_line", keep_corrupt: bool = False
+    spark: SparkSession, path: str, on_bad_record: str = "drop_line", keep_corrupt: bool = False,
+    files: str = FILES,
 ) -> DataFrame:
     """Live rows, every scalar as text.
 
@@ -59,14 +62,15 @@ def read_live(
     ``keep_corrupt`` adds its text for counting. ``"drop_file"``: all lines of its file are dropped.
     A missing folder gives no rows.
     """
-    return _read(spark, path, LIVE_FIELDS, on_bad_record, keep_corrupt)
+    return _read(spark, path, LIVE_FIELDS, on_bad_record, keep_corrupt, files)
 
 
 def read_reference(
-    spark: SparkSession, path: str, on_bad_record: str = "drop_line", keep_corrupt: bool = False
+    spark: SparkSession, path: str, on_bad_record: str = "drop_line", keep_corrupt: bool = False,
+    files: str = FILES,
 ) -> DataFrame:
     """Category rows, every scalar as text; options as for ``read_live``."""
-    return _read(spark, path, REFERENCE_FIELDS, on_bad_record, keep_corrupt)
+    return _read(spark, path, REFERENCE_FIELDS, on_bad_record, keep_corrupt, files)
 
 
 def write_bronze(rows: DataFrame, path: str, ingested_at: str, hourly: bool = True) -> None:

@@ -24,9 +24,12 @@ from trendmill.sources.tables import Layout, land, rebuild_touched
 JOB = "live_to_silver"
 
 
-def live_source(spark: SparkSession, path: str, on_bad_record: str = "drop_line", files_per_batch: int | None = None) -> DataFrame:
+def live_source(
+    spark: SparkSession, path: str, on_bad_record: str = "drop_line", files_per_batch: int | None = None,
+    files: str = FILES,
+) -> DataFrame:
     """The feed as a stream: text columns of LIVE_FIELDS plus the text of bad lines."""
-    reader = spark.readStream.options(**FILES)
+    reader = spark.readStream.option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if on_bad_record == "drop_file":
@@ -38,7 +41,9 @@ def live_source(spark: SparkSession, path: str, on_bad_record: str = "drop_line"
     return reader.schema(all_strings((*columns, "date", "hour"))).json(path).select(*columns)
 
 
-def load_batch(raw: DataFrame, layout: Layout, batch_id: int, job_name: str = JOB, missing_category: int | None = 0) -> dict:
+def load_batch(
+    raw: DataFrame, layout: Layout, batch_id: int, job_name: str = JOB, missing_category: int | None = 0
+) -> dict:
     """Land one batch of raw rows and rebuild what it touches; returns the row counts of the landing."""
     read, kept = Observation(), Observation()
     if "_file" in raw.columns:
@@ -55,7 +60,7 @@ def load_batch(raw: DataFrame, layout: Layout, batch_id: int, job_name: str = JO
 def run_live(
     spark: SparkSession, path: str, layout: Layout, checkpoint: str, on_bad_record: str = "drop_line",
     files_per_batch: int | None = None, missing_category: int | None = 0,
-    on_counts: Callable[[dict], None] | None = None,
+    on_counts: Callable[[dict], None] | None = None, files: str = FILES,
 ) -> StreamingQuery:
     """Process every file that has arrived; returns when the stream has caught up."""
     use_job_settings(spark)
@@ -66,7 +71,7 @@ def run_live(
             on_counts(counts)
 
     query = (
-        live_source(spark, path, on_bad_record, files_per_batch)
+        live_source(spark, path, on_bad_record, files_per_batch, files)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
