@@ -26,7 +26,7 @@ _K = "get_json_object(props, '$.k')"
 _K_SQL = "json_extract_string(props, '$.k')"
 
 
-def _write_csv(rows, path, *partition_by):
+def write_csv(rows, path, *partition_by):
     (
         rows.write.partitionBy(*partition_by).option("header", "true").option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
@@ -40,7 +40,7 @@ def _documents_csv(spark, sf_dir):
                'unused' as thumbnail_link, text as description, upper(lang) as region
         from {documents}""", "documents")
     path = fresh_path(spark, "csv")
-    _write_csv(rows, path, "region")
+    write_csv(rows, path, "region")
     return path
 
 
@@ -52,9 +52,9 @@ def _csv_scan(spark, sf_dir):
 def _csv_groups(spark, sf_dir):
     """Two sources with different headers, joined by column name."""
     first, second = fresh_path(spark, "csv"), fresh_path(spark, "csv")
-    _write_csv(over(spark, sf_dir, "select cast(o_orderkey as string) as video_id, o_orderpriority as title, "
+    write_csv(over(spark, sf_dir, "select cast(o_orderkey as string) as video_id, o_orderpriority as title, "
                                    "lower(o_orderstatus) as region from {orders}", "orders"), first, "region")
-    _write_csv(over(spark, sf_dir, "select event_type as title, cast(event_id as string) as video_id, "
+    write_csv(over(spark, sf_dir, "select event_type as title, cast(event_id as string) as video_id, "
                                    "cast(value as string) as views, event_type as region from {events}", "events"),
                second, "region")
     return read_backfill_groups(spark, [first, second]).select("video_id", "title", "views", "region")
@@ -62,7 +62,7 @@ def _csv_groups(spark, sf_dir):
 
 def _region_from_path(spark, sf_dir):
     path = fresh_path(spark, "csv")
-    _write_csv(over(spark, sf_dir, "select o_orderkey, o_custkey, o_orderstatus as region from {orders}", "orders"),
+    write_csv(over(spark, sf_dir, "select o_orderkey, o_custkey, o_orderstatus as region from {orders}", "orders"),
                path, "region")
     found = region_from_path(spark.read.options(header="true", recursiveFileLookup="true").csv(path))
     return found.groupBy("region").agg(

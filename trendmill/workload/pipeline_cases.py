@@ -1,2 +1,74 @@
-QUERIES = {}
-SQL = {}
+"""Whole jobs: raw files in, tables out."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from trendmill.plans.pipeline import build_gold_if_clean, run_backfill
+from trendmill.session import fresh_path
+from trendmill.sources.tables import overwrite_partitions, write_full
+from trendmill.streaming.live import run_live
+from trendmill.workload import silver_cases
+from trendmill.workload.bronze_cases import write_csv, fresh_layout
+from trendmill.workload.gold_cases import SQL as GOLD_SQL
+from trendmill.workload.silver_cases import RAW_BACKFILL, RAW_LIVE
+from trendmill.workload.tables import over, portable, reference, silver
+
+
+def _silver_rows(spark, layout):
+    return silver_cases.rows_out(spark.table(layout.statistics))
+
+
+def _backfill(spark, sf_dir):
+    layout, path = fresh_layout(spark), fresh_path(spark, "csv")
+    write_csv(over(spark, sf_dir, RAW_BACKFILL, "lineitem"), path, "region")
+    run_backfill(spark, path, layout)
+    return _silver_rows(spark, layout)
+
+
+def _live(spark, sf_dir):
+    """All events as a live feed, taken in several batches."""
+    layout, path = fresh_layout(spark), fresh_path(spark, "live")
+    over(spark, sf_dir, RAW_LIVE, "events").write.partitionBy("region").json(path)
+    run_live(spark, path, layout, fresh_path(spark, "stream"), files_per_batch=2)
+    return _silver_rows(spark, layout)
+
+
+def _publish(spark, sf_dir, good_titles: bool):
+    layout = fresh_layout(spark)
+    title = F.col("channel_title") if good_titles else F.lit(None).cast("string")
+    rows = silver(spark, sf_dir).withColumns({"title": title, "_processed_at": F.current_timestamp()})
+    write_full(rows, layout.statistics, layout.path("clean_statistics"))
+    overwrite_partitions(reference(spark, sf_dir), layout.reference, layout.path("clean_reference_data"))
+    return layout, build_gold_if_clean(spark, layout)
+
+
+def _published(spark, sf_dir):
+    layout, _ = _publish(spark, sf_dir, True)
+    return portable(spark.table(layout.table("category_analytics")).drop("_aggregated_at"))
+
+
+def _refused(spark, sf_dir):
+    layout, result = _publish(spark, sf_dir, False)
+    if spark.catalog.tableExists(layout.table("category_analytics")):
+        raise AssertionError("Gold was built although a check failed")
+    return result.failed.select("check", "table", "column", "value", "message")
+
+
+QUERIES = {
+    "backfill_job": _backfill,
+    "live_stream": _live,
+    "gated_publish": _published,
+    "gate_refuses": _refused,
+}
+
+SQL = {
+    "backfill_job": silver_cases.SQL["backfill_silver"],
+    "live_stream": silver_cases.SQL["dedup_live"],
+    "gated_publish": GOLD_SQL["gold_category"],
+    "gate_refuses": """
+        select 'null_pct' as "check", 'clean_statistics' as "table", 'title' as "column", 100.0::double as value,
+               'title null 100.00% (max 5.0%)' as message
+        from lineitem limit 1
+    """,
+}

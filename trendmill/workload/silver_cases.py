@@ -175,7 +175,7 @@ _BLANKS = r"""
 """
 
 
-def _rows(df):
+def rows_out(df):
     return portable(df.select(*_OUT))
 
 
@@ -205,7 +205,7 @@ def _gaps(spark, sf_dir):
 def _union(spark, sf_dir):
     old = cleanse.cleanse_backfill(over(spark, sf_dir, _OLD, "events"), "backfill")
     live = cleanse.cleanse_live(over(spark, sf_dir, RAW_LIVE, "events"), "live")
-    return _rows(dedup.latest_statistics(old.unionByName(live, allowMissingColumns=True)))
+    return rows_out(dedup.latest_statistics(old.unionByName(live, allowMissingColumns=True)))
 
 
 QUERIES = {
@@ -215,7 +215,7 @@ QUERIES = {
         .groupBy("trending_date", "title", "trending_date_parsed").agg(F.count("*").alias("n"))),
     "derived_rates": lambda s, d: cleanse.add_rates(facts(s, d)).select(
         "video_id", "views", "likes", "dislikes", "comment_count", "like_ratio", "engagement_rate"),
-    "backfill_silver": lambda s, d: _rows(dedup.latest_statistics(
+    "backfill_silver": lambda s, d: rows_out(dedup.latest_statistics(
         cleanse.cleanse_backfill(over(s, d, RAW_BACKFILL, "lineitem"), "backfill"))),
     "numeric_coerce_zero": lambda s, d: over(s, d, RAW_LIVE, "events").select(
         F.col("comment_count").cast("bigint").alias("event_id"), fn.to_long_or_zero(F.col("views")).alias("views"),
@@ -231,7 +231,7 @@ QUERIES = {
         over(s, d, "select event_id, user_id, event_type, cast(ts as date) as day, ts, value from {events}", "events"),
         ["user_id", "event_type", "day"], [F.col("ts").desc(), F.col("event_id").desc()],
     ).drop("ts")),
-    "dedup_live": lambda s, d: _rows(dedup.latest_statistics(
+    "dedup_live": lambda s, d: rows_out(dedup.latest_statistics(
         cleanse.cleanse_live(over(s, d, RAW_LIVE, "events"), "live"))),
     "union_silver": _union,
     "silver_reference_clean": lambda s, d: clean_reference(over(s, d, _RAW_REFERENCE, "events")).drop("_processed_at"),
