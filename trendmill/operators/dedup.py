@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendmill.schemas import REFERENCE_KEY, STATISTICS_KEY
@@ -11,18 +11,18 @@ from trendmill.schemas import REFERENCE_KEY, STATISTICS_KEY
 _VOLATILE = ("_processed_at", "_job_name", "batch_id")
 
 
-def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], newest_first: list[Column]) -> DataFrame:
-    """The first row of every key in ``newest_first`` order.
+def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], newest: list[str]) -> DataFrame:
+    """The row of every key with the highest values in the columns ``newest``, compared in that order.
 
-    After the given order every other column breaks ties (descending, nulls last), so the survivor
-    does not depend on the order rows arrive in. Filtering ``row_number() = 1`` lets Spark keep one row
-    per key and task before the shuffle (WindowGroupLimit), so a key that holds a large part of all
-    rows sends at most one row per map task to its reducer.
+    After them every other column breaks ties (descending, nulls last), so the survivor does not depend
+    on the order rows arrive in. Filtering ``row_number() = 1`` lets Spark keep one row per key and task
+    before the shuffle (WindowGroupLimit), so a key that holds a large part of all rows sends at most
+    one row per map task to its reducer.
     """
-    rest = [c for c in df.columns if c not in keys and c not in _VOLATILE]
-    ties = [F.col(c).desc_nulls_last() for c in [*rest, *(c for c in _VOLATILE if c in df.columns)]]
-    order = Window.partitionBy(*keys).orderBy(*newest_first, *ties)
-    return df.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") == 1).drop("_rn")
+    rest = [c for c in df.columns if c not in {*keys, *newest, *_VOLATILE}]
+    order = [*newest, *rest, *(c for c in _VOLATILE if c in df.columns)]
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def latest_statistics(df: DataFrame) -> DataFrame:
@@ -31,11 +31,10 @@ def latest_statistics(df: DataFrame) -> DataFrame:
     The newest source time wins where rows carry one; a row without (the backfill) loses to a row with.
     Then the highest counters win: counters only grow, so the largest are the latest.
     """
-    order = [F.col("_source_time").desc_nulls_last()] if "_source_time" in df.columns else []
-    order += [F.col(c).desc_nulls_last() for c in ("views", "likes", "comment_count")]
-    return latest_per_key(df, STATISTICS_KEY, order)
+    times = [c for c in ("_source_time",) if c in df.columns]
+    return latest_per_key(df, STATISTICS_KEY, [*times, "views", "likes", "comment_count"])
 
 
 def latest_reference(df: DataFrame) -> DataFrame:
     """One row per (region, category_id), the most recently ingested."""
-    return latest_per_key(df, REFERENCE_KEY, [F.col("_source_time").desc_nulls_last()])
+    return latest_per_key(df, REFERENCE_KEY, ["_source_time"])

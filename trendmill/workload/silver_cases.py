@@ -9,7 +9,7 @@ from trendmill import functions as fn
 from trendmill.operators import cleanse, dedup
 from trendmill.operators.reference import clean_reference
 from trendmill.schemas import STATISTICS
-from trendmill.workload.tables import STATS_SQL, facts, over, portable
+from trendmill.workload.tables import RATES_SQL, STATS_SQL, facts, over, portable
 
 # --- backfill rows as text, from order lines ------------------------------------------------------
 RAW_BACKFILL = r"""
@@ -57,11 +57,6 @@ _TYPED = """
     from lineitem
 """
 
-_RATES = """
-    case when views > 0 then round(likes * 1.0 / views * 100, 4) else 0.0 end as like_ratio,
-    case when views > 0 then round((likes + dislikes + comment_count) * 1.0 / views * 100, 4) else 0.0 end
-        as engagement_rate
-"""
 _OUT = [c for c in STATISTICS.fieldNames() if c not in ("_processed_at", "_job_name")]
 _TIES = ", ".join(
     f"{c} desc nulls last" for c in _OUT if c not in ("video_id", "region", "trending_date_parsed")
@@ -81,7 +76,7 @@ def _latest_sql(rows: str, first: str = "") -> str:
 
 
 _BACKFILL_ROWS = f"""
-    select *, {_RATES} from (
+    select *, {RATES_SQL} from (
         select * exclude (day, views, dislikes), coalesce(views, 0) as views, 0 as dislikes, day as trending_date_parsed
         from ({_TYPED}) where trim(video_id) <> ''
     )
@@ -114,7 +109,7 @@ _K_SQL = "cast(json_extract_string(props, '$.k') as bigint)"
 LIVE_VIEWS_SQL = f"""case when value < 100 then 0 when value < 200 then cast(trunc(value) as bigint) when value < 250 then 0
      when value < 300 then 1000 else {_K_SQL} end"""
 LIVE_ROWS_SQL = f"""
-    select *, {_RATES} from (
+    select *, {RATES_SQL} from (
         select cast(user_id as varchar) as video_id,
                case when event_type = 'signup' and {_K_SQL} < 5 then null else strftime(ts, '%Y-%m-%d') end as trending_date,
                't' || event_id as title,
@@ -147,7 +142,7 @@ _UNION_SQL = f"""
     select * exclude (source_time), source_time from (
         select * from ({LIVE_ROWS_SQL})
         union all by name
-        select *, {_RATES}, cast(null as timestamp) as source_time from (
+        select *, {RATES_SQL}, cast(null as timestamp) as source_time from (
             select cast(user_id as varchar) as video_id, strftime(ts, '%y.%d.%m') as trending_date, 'old' as title,
                    event_type as channel_title, cast(null as bigint) as category_id,
                    cast(null as varchar) as publish_time, cast(null as varchar) as tags,
@@ -229,7 +224,7 @@ QUERIES = {
     "drop_blank_ids": lambda s, d: cleanse.drop_blank_ids(over(s, d, _BLANKS, "events")),
     "dedup_latest": lambda s, d: portable(dedup.latest_per_key(
         over(s, d, "select event_id, user_id, event_type, cast(ts as date) as day, ts, value from {events}", "events"),
-        ["user_id", "event_type", "day"], [F.col("ts").desc(), F.col("event_id").desc()],
+        ["user_id", "event_type", "day"], ["ts", "event_id"],
     ).drop("ts")),
     "dedup_live": lambda s, d: rows_out(dedup.latest_statistics(
         cleanse.cleanse_live(over(s, d, RAW_LIVE, "events"), "live"))),

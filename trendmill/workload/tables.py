@@ -37,13 +37,18 @@ _FACT_TABLES = ("lineitem", "orders", "customer", "nation", "region", "supplier"
 
 FACT_SQL = _FACT.format(text="varchar", **{name: name for name in _FACT_TABLES})
 
-STATS_SQL = f"""
-    select *,
-           case when views > 0 then round(likes * 1.0 / views * 100, 4) else 0.0 end as like_ratio,
-           case when views > 0 then round((likes + dislikes + comment_count) * 1.0 / views * 100, 4)
-                else 0.0 end as engagement_rate
-    from ({FACT_SQL})
+
+def half_up(expression: str, places: int) -> str:
+    """SQL that rounds the shortest decimal form of a double half up, not its binary value."""
+    return f"cast(round(cast(cast({expression} as varchar) as decimal(38,18)), {places}) as double)"
+
+
+RATES_SQL = f"""
+    case when views > 0 then {half_up('likes::double / views * 100', 4)} else 0.0 end as like_ratio,
+    case when views > 0 then {half_up('(likes + dislikes + comment_count)::double / views * 100', 4)} else 0.0 end
+        as engagement_rate
 """
+STATS_SQL = f"select *, {RATES_SQL} from ({FACT_SQL})"
 
 # Nations 20-24 have no name, so their rows are 'Unknown'.
 LOOKUP_SQL = "select cast(n_nationkey as bigint) as category_id, n_name as category_name from nation where n_nationkey < 20"
