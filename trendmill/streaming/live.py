@@ -78,4 +78,6 @@ def run_live(
         .start()
     )
     query.awaitTermination()
+    if spark.catalog.tableExists(layout.statistics):
+        spark.catalog.refreshTable(layout.statistics)  # batches run in a session of their own
     return query

@@ -12,7 +12,7 @@ from trendmill.workload import silver_cases
 from trendmill.workload.bronze_cases import write_csv, fresh_layout
 from trendmill.workload.gold_cases import SQL as GOLD_SQL
 from trendmill.workload.silver_cases import RAW_BACKFILL, RAW_LIVE
-from trendmill.workload.tables import over, portable, reference, silver
+from trendmill.workload.tables import FACT_SQL, over, portable, reference, silver
 
 
 def _silver_rows(spark, layout):
@@ -36,7 +36,7 @@ def _live(spark, sf_dir):
 
 def _publish(spark, sf_dir, good_titles: bool):
     layout = fresh_layout(spark)
-    title = F.col("channel_title") if good_titles else F.lit(None).cast("string")
+    title = F.when(F.lit(good_titles) | (F.col("views") > 0), F.col("channel_title"))
     rows = silver(spark, sf_dir).withColumns({"title": title, "_processed_at": F.current_timestamp()})
     write_full(rows, layout.statistics, layout.path("clean_statistics"))
     overwrite_partitions(reference(spark, sf_dir), layout.reference, layout.path("clean_reference_data"))
@@ -66,9 +66,9 @@ SQL = {
     "backfill_job": silver_cases.SQL["backfill_silver"],
     "live_stream": silver_cases.SQL["dedup_live"],
     "gated_publish": GOLD_SQL["gold_category"],
-    "gate_refuses": """
-        select 'null_pct' as "check", 'clean_statistics' as "table", 'title' as "column", 100.0::double as value,
-               'title null 100.00% (max 5.0%)' as message
-        from lineitem limit 1
+    "gate_refuses": f"""
+        select 'null_pct' as "check", 'clean_statistics' as "table", 'title' as "column", round(percent, 2) as value,
+               printf('title null %.2f%% (max 5.0%%)', percent) as message
+        from (select count(*) filter (where views <= 0) * 1.0 / count(*) * 100 as percent from ({FACT_SQL}))
     """,
 }
