@@ -1,0 +1,76 @@
+"""Reading CSV in pieces gives the same rows as reading whole files."""
+
+import random
+
+import pytest
+
+from trendmill.sources.bronze_csv import read_backfill
+from test_sources import GB, US, write_files
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield use
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _rows(df, columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def _random_csv(seed, end):
+    rng = random.Random(seed)
+    words = ["a", "bb", '"', "\n", ",", "é", "\n\n", " ", '""', "\r\n", "z" * 40, "𝄞"]
+    lines = ["video_id,title,description"]
+    for i in range(60):
+        cells = [f"v{i}", "".join(rng.choices(words, k=rng.randint(0, 4))), "".join(rng.choices(words, k=rng.randint(0, 60)))]
+        lines.append(",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in '",\n\r') else c for c in cells))
+    return end.join(lines) + (end if seed % 2 else "")
+
+
+@pytest.mark.parametrize("size", [37, 100, 1000, 1 << 20])
+def test_same_rows_as_whole_files(spark, tmp_path, tiny_splits, size):
+    files = {f"region=r{seed}/a.csv": _random_csv(seed, "\n") for seed in range(3)}
+    path = write_files(tmp_path, {k: v for k, v in files.items()})
+    columns = ["video_id", "title", "description", "region"]
+    want = _rows(read_backfill(spark, path), columns)
+    assert len(want) == 180
+    tiny_splits(size)
+    pieces = read_backfill(spark, path, split_files=True)
+    assert _rows(pieces, columns) == want
+
+
+def test_same_silver_fixture(spark, tmp_path, tiny_splits):
+    path = write_files(tmp_path, {"region=US/a.csv": US, "region=gb/b.csv": GB})
+    want = _rows(read_backfill(spark, path), ["*"])
+    tiny_splits(150)
+    assert _rows(read_backfill(spark, path, split_files=True), ["*"]) == want
+
+
+def test_windows_line_ends(spark, tmp_path, tiny_splits):
+    (tmp_path / "region=us").mkdir()
+    text = 'video_id,title\r\n1,"a\r\nb"\r\n2,c\r\n'
+    (tmp_path / "region=us/a.csv").write_bytes(text.encode())
+    tiny_splits(8)
+    rows = read_backfill(spark, str(tmp_path), split_files=True).collect()
+    assert sorted((r.video_id, r.title) for r in rows) == [("1", "a\r\nb"), ("2", "c")]
+
+
+@pytest.mark.parametrize("text, message", [
+    ('video_id,title\n1,5" disk\n2,b\n3,7" disk\n', "not doubled"),
+    ('video_id,title\n1,"open\n2,b\n', "unclosed"),
+])
+def test_irregular_quotes_fail(spark, tmp_path, text, message):
+    path = write_files(tmp_path, {"region=us/a.csv": text})
+    with pytest.raises(Exception, match=message):
+        read_backfill(spark, path, split_files=True).collect()
+
+
+def test_other_header_fails(spark, tmp_path):
+    path = write_files(tmp_path, {"region=us/a.csv": "video_id,views\na,1\n", "region=us/b.csv": "views,video_id\n2,b\n"})
+    with pytest.raises(Exception, match="another header"):
+        read_backfill(spark, path, split_files=True).collect()

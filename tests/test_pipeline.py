@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import shutil
 
 import pytest
@@ -53,6 +54,11 @@ def test_live_stream(spark, layout, tmp_path, mode):
     run()
     assert silver(spark, layout) == [("us", "a", 9), ("us", "b", 2), *bad_file]
 
+    feed(live, "d", row("d", 4), hour="08")  # very late: the file itself is old
+    os.utime(live / "region=us/date=2024-05-01/hour=08/d.json", (1_500_000_000, 1_500_000_000))
+    run()
+    assert silver(spark, layout) == [("us", "a", 9), ("us", "b", 2), ("us", "d", 4), *bad_file]
+
 
 def test_backfill_and_live_meet_in_one_table(spark, layout, tmp_path):
     run_backfill(spark, write_files(tmp_path / "csv", {"region=US/a.csv": US, "region=gb/b.csv": GB}), layout)

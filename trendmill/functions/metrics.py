@@ -30,7 +30,7 @@ def average_of_rates(col: Column) -> Column:
     decimal only once per group.
     """
     whole = F.floor(col)
-    parts = F.round((col - whole) * 10_000).cast("bigint")
+    parts = F.floor((col - whole) * 10_000 + 0.5)
     total = (F.sum(whole).cast(_SUM) * 10_000 + F.sum(parts).cast(_SUM)) * F.lit(Decimal("0.0001"))
     return F.try_divide(total.cast("double"), F.count(col))
 

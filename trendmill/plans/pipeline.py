@@ -33,12 +33,15 @@ def _backfill_batch(regions: str) -> int:
 
 def run_backfill(
     spark: SparkSession, csv_path: str, layout: Layout, regions: str = "all", job_name: str = BACKFILL_JOB,
-    multi_line: bool = True,
+    multi_line: bool = True, split_files: bool = False,
 ) -> dict:
-    """CSV history to Silver. The input is parsed once: it lands without a shuffle, then Silver is rebuilt."""
+    """CSV history to Silver: the cleaned rows land without a shuffle, then Silver is rebuilt from landing.
+
+    ``multi_line`` and ``split_files`` say how files are read, see ``read_backfill``.
+    """
     use_job_settings(spark)
     read, kept = Observation(), Observation()
-    raw = counted(read_backfill(spark, csv_path, multi_line), read)
+    raw = counted(read_backfill(spark, csv_path, multi_line, split_files=split_files), read)
     land(counted(cleanse_backfill(raw, job_name, regions), kept), layout, _backfill_batch(regions))
     counts = {"rows_read": read.get["rows"], "rows_landed": kept.get["rows"]}
     if counts["rows_landed"]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendmill.schemas import BACKFILL_COLUMNS, CORRUPT, all_strings
+from trendmill.sources.csv_records import read_in_pieces
 
 NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -25,7 +26,9 @@ def region_from_path(df: DataFrame) -> DataFrame:
     return df.withColumn("region", F.regexp_extract(F.col("_metadata.file_path"), r"region=([^/]+)/", 1))
 
 
-def read_backfill(spark: SparkSession, path: str, multi_line: bool = True, keep_corrupt: bool = False) -> DataFrame:
+def read_backfill(
+    spark: SparkSession, path: str, multi_line: bool = True, keep_corrupt: bool = False, split_files: bool = False
+) -> DataFrame:
     """All columns as text, plus region.
 
     Column names come from the header of one file, and every other file has to carry the same header:
@@ -33,8 +36,9 @@ def read_backfill(spark: SparkSession, path: str, multi_line: bool = True, keep_
     here it fails the read. Read such files apart and join them with ``read_backfill_groups``.
     Malformed rows are kept; ``keep_corrupt`` adds their text as ``_corrupt_record``.
 
-    A file with line breaks inside quotes is read by one task. Deliver large files in pieces, or
-    pass ``multi_line=False`` for files without such breaks, which Spark then splits.
+    A file with line breaks inside quotes is read by one task. For large files pass
+    ``split_files=True``, which reads them in pieces if their quoting is regular, and fails if it is
+    not; or ``multi_line=False`` for files without such breaks.
     """
     options = _options(multi_line)
     try:
@@ -44,6 +48,8 @@ def read_backfill(spark: SparkSession, path: str, multi_line: bool = True, keep_
         if error.getCondition() in NOTHING_THERE:
             return spark.createDataFrame([], all_strings((*BACKFILL_COLUMNS, "region")))
         raise
+    if split_files:
+        return read_in_pieces(spark, path, header, keep_corrupt)
     in_path = [name for name in found if name not in header]
     fields = all_strings([*header, *in_path]).fields
     if keep_corrupt:

@@ -1,0 +1,153 @@
+"""Reading multi-line CSV files in pieces.
+
+Spark reads a CSV file with line breaks inside quotes in one task, because a line alone does not tell
+whether it lies inside quotes. It does, once the number of quotes before it is known: an odd number
+means inside. So the files are read as splittable lines, twice:
+
+1. Count the quotes of every file split; the running sum per file tells for each split whether it
+   starts inside a quoted field. One small row per split.
+2. Each task then joins the lines of its split to records. A record that crosses a split boundary
+   comes out in pieces, which are put together per file.
+
+This holds for files that follow RFC 4180 (a quote inside a value is doubled, and its value quoted).
+Every record is checked for that, and an irregular one fails the read instead of shifting rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from trendmill.operators.broadcasting import MAX_BROADCAST_ROWS
+from trendmill.schemas import CORRUPT
+from trendmill.session import enable_checkpoints
+
+WHOLE, START, REST = 0, 1, 2
+_RECORDS = "file string, region string, block bigint, role int, first boolean, text string"
+
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+
+
+def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of one or more splits, in file order, to records and pieces of records."""
+    split = None
+    inside, kind, records = 0, WHOLE, 0
+    pending: list[str] = []
+
+    def output(role: int, texts: list[str] | pa.Array) -> pa.RecordBatch:
+        nonlocal records
+        count = len(texts)
+        first = np.zeros(count, dtype=bool)
+        if role != REST:
+            first[0] = split[2] == 0 and records == 0
+            records += count
+        columns = [pa.array([value] * count, kind_) for value, kind_ in zip(split, (pa.string(), pa.string(), pa.int64()))]
+        columns += [pa.array([role] * count, pa.int32()), pa.array(first), pa.array(texts, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["file", "region", "block", "role", "first", "text"])
+
+    def end_of_split() -> Iterator[pa.RecordBatch]:
+        if pending:
+            yield output(kind if kind == REST or not inside else START, ["\n".join(pending)])
+
+    for batch in batches:
+        blocks = batch.column("block").to_numpy(zero_copy_only=False)
+        files = batch.column("file").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        changes = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(files) != 0)) + 1
+        edges = [0, *changes.tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:]):
+            if low == high:
+                continue
+            here = tuple(batch.column(name)[low].as_py() for name in ("file", "region", "block"))
+            if here != split:
+                yield from end_of_split()
+                split, pending, records = here, [], 0
+                inside = batch.column("inside")[low].as_py()
+                kind = REST if inside else WHOLE
+            lines = batch.column("line").slice(low, high - low)
+            after = inside + np.cumsum(pc.count_substring(lines, '"').to_numpy(zero_copy_only=False))
+            starts = np.flatnonzero(np.concatenate([[inside], after[:-1]]) % 2 == 0)
+            inside = int(after[-1] % 2)
+            if len(starts) == 0:
+                pending += lines.to_pylist()
+                continue
+            pending += lines.slice(0, starts[0]).to_pylist()
+            if pending:
+                yield output(kind, ["\n".join(pending)])
+            if len(starts) > 1:
+                grouped = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), lines)
+                yield output(WHOLE, pc.binary_join(grouped, "\n"))
+            pending, kind = lines.slice(starts[-1]).to_pylist(), WHOLE
+    yield from end_of_split()
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    region = F.col("region").cast("string") if "region" in lines.columns else F.lit(None).cast("string")
+    return lines.select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), region.alias("region"),
+        F.col("_metadata.file_block_start").alias("block"))
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """One row per split: does it start, and does it end, inside quotes? Staged, so that it is read once."""
+    enable_checkpoints(lines.sparkSession)
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"')))
+    counts = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
+    upto = Window.partitionBy("file").orderBy("block")
+    total = F.sum("quotes").over(upto)
+    last = F.lead("block").over(upto).isNull()
+    unclosed = F.raise_error(F.concat(F.lit("unclosed quote in "), F.col("file")))
+    return counts.select(
+        "file", "block", ((total - F.col("quotes")) % 2).cast("int").alias("inside"),
+        F.when(last & (total % 2 == 1), unclosed.cast("int")).otherwise((total % 2).cast("int")).alias("open"),
+    ).checkpoint()
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of all files as text: file, region, text, and whether it is the first of its file."""
+    lines = _lines(spark, path)
+    splits = _splits(lines)
+    if splits.count() > MAX_BROADCAST_ROWS:
+        raise ValueError("more file splits than can be broadcast; raise spark.sql.files.maxPartitionBytes")
+    # The broadcast side never moves the lines, so they stay in file order.
+    placed = lines.join(F.broadcast(splits), ["file", "block"], "left")
+    planned_anew = F.raise_error(F.lit("the files were split differently the second time; run the job again"))
+    inside = F.coalesce(F.col("inside"), planned_anew.cast("int"))
+    columns = ["line", "file", "region", "block", inside.alias("inside")]
+    whole = placed.select(*columns).mapInArrow(join_lines, _RECORDS).filter(F.col("role") == WHOLE)
+    crossing = placed.filter("inside is null or inside = 1 or open = 1").select(*columns)
+    pieces = crossing.mapInArrow(join_lines, _RECORDS).filter(F.col("role") != WHOLE)
+    # A split holds at most the end of one record and then the start of another.
+    in_file = Window.partitionBy("file").orderBy("block", F.col("role").desc())
+    numbered = pieces.withColumn("record", F.count_if(F.col("role") == START).over(in_file))
+    joined = numbered.groupBy("file", "record").agg(
+        F.first("region").alias("region"), F.max("first").alias("first"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda p: p["text"]), "\n").alias("text"),
+    )
+    return whole.select("file", "region", "first", "text").unionByName(joined.drop("record"))
+
+
+def read_in_pieces(spark: SparkSession, path: str, header: list[str], keep_corrupt: bool) -> DataFrame:
+    """Columns of the header (as text) and region. Every file has to start with that header."""
+    schema = ", ".join(f"`{name}` string" for name in [*header, CORRUPT])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+               "multiLine": "true"}
+    text = F.regexp_replace(F.regexp_replace("text", r"\r\z", ""), r"^\x{FEFF}", "")
+    records = read_records(spark, path).withColumn("text", text).filter(F.col("text") != "")
+    irregular = F.raise_error(F.concat(F.lit("quotes are not doubled in "), F.col("file"), F.lit("; read it unsplit")))
+    checked = F.when(F.col("text").rlike(_RECORD), F.col("text")).otherwise(irregular.cast("string"))
+    rows = records.withColumn("row", F.from_csv(checked, schema, options))
+    same = F.lit(True)
+    for name in header:
+        same = same & F.col("row")[name].eqNullSafe(F.lit(name))
+    other = F.raise_error(F.concat(F.lit("another header in "), F.col("file")))
+    rows = rows.filter(F.when(~F.col("first"), F.lit(True)).when(same, F.lit(False)).otherwise(other.cast("boolean")))
+    names = [*header, CORRUPT] if keep_corrupt else header
+    region = [] if "region" in header else [F.coalesce("region", F.regexp_extract("file", r"region=([^/]+)/", 1)).alias("region")]
+    return rows.select(*[F.col("row")[name].alias(name) for name in names], *region)

@@ -28,8 +28,11 @@ def live_source(
     spark: SparkSession, path: str, on_bad_record: str = "drop_line", files_per_batch: int | None = None,
     files: str = FILES,
 ) -> DataFrame:
-    """The feed as a stream: text columns of LIVE_FIELDS plus the text of bad lines."""
-    reader = spark.readStream.option("pathGlobFilter", files)
+    """The feed as a stream: text columns of LIVE_FIELDS plus the text of bad lines.
+
+    The file source would skip files much older than the newest one; here no file is too old.
+    """
+    reader = spark.readStream.options(pathGlobFilter=files, maxFileAge="36500d")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if on_bad_record == "drop_file":

@@ -44,8 +44,8 @@ def _documents_csv(spark, sf_dir):
     return path
 
 
-def _csv_scan(spark, sf_dir):
-    return read_backfill(spark, _documents_csv(spark, sf_dir)).select(
+def _csv_scan(spark, sf_dir, split_files=False):
+    return read_backfill(spark, _documents_csv(spark, sf_dir), split_files=split_files).select(
         "video_id", "title", "views", "description", "region")
 
 
@@ -194,6 +194,7 @@ def _cleanse_audit(spark, sf_dir):
 
 QUERIES = {
     "bronze_csv_scan": _csv_scan,
+    "bronze_csv_split_scan": lambda s, d: _csv_scan(s, d, split_files=True),
     "bronze_csv_groups": _csv_groups,
     "bronze_region_from_path": _region_from_path,
     "bronze_live_jsonl_scan": _live_scan,
@@ -226,12 +227,15 @@ _FLAT_VIDEOS = f"""
     from events
 """
 
+_DOCUMENTS = """
+    select cast(doc_id as varchar) as video_id, source as title, cast(n_chars as varchar) as views,
+           text as description, upper(lang) as region
+    from documents
+"""
+
 SQL = {
-    "bronze_csv_scan": """
-        select cast(doc_id as varchar) as video_id, source as title, cast(n_chars as varchar) as views,
-               text as description, upper(lang) as region
-        from documents
-    """,
+    "bronze_csv_scan": _DOCUMENTS,
+    "bronze_csv_split_scan": _DOCUMENTS,
     "bronze_csv_groups": """
         select cast(o_orderkey as varchar) as video_id, o_orderpriority as title, cast(null as varchar) as views,
                lower(o_orderstatus) as region from orders
