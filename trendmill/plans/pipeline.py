@@ -22,7 +22,7 @@ from trendmill.sources.tables import (
 )
 from trendmill.streaming.live import run_live
 
-BACKFILL_JOB = "bronze_to_silver"
+BACKFILL_JOB = "backfill"
 
 
 def _backfill_batch(regions: str) -> int:

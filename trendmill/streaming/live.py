@@ -21,7 +21,7 @@ from trendmill.session import use_job_settings
 from trendmill.sources.bronze_json import FILES, drop_bad_files, parse_lines
 from trendmill.sources.tables import Layout, land, rebuild_touched
 
-JOB = "live_to_silver"
+JOB = "live"
 
 
 def live_source(
