@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from trendmill.operators.quality import Rules, check_table, check_tables, verdict
-from trendmill.plans.pipeline import build_gold_if_clean, check_silver, run_backfill, run_live_cycle, run_reference
+from trendmill.plans.pipeline import (
+    build_gold_if_clean, check_silver, run_backfill, run_ingest, run_live_cycle, run_reference,
+)
 from trendmill.sources import tables
 from trendmill.streaming.live import run_live
 
@@ -158,6 +160,26 @@ def test_unreadable_table_fails_alone(spark, layout):
         "quality_passed": True, "checks_passed": 0, "checks_total": 0}
 
 
+# --- ingest ------------------------------------------------------------------------------------------
+
+
+def test_ingest_feeds_the_live_run(spark, layout, tmp_path):
+    good = json.dumps({"items": [{"id": "a", "statistics": {"viewCount": "5"}}, {"id": "b"}]})
+    names = json.dumps({"items": [{"id": "10", "snippet": {"title": "Music"}}]})
+    columns = "region string, payload string"
+    report = run_ingest(
+        spark.createDataFrame([("US", good), ("GB", '{"items": ['), ("FR", "{}")], columns),
+        spark.createDataFrame([("US", names)], columns),
+        str(tmp_path / "live"), str(tmp_path / "ref"), "2024-05-01T10:00:00+00:00")
+    assert sorted((r.kind, r.region, r.payloads_ok, r.payloads_bad, r["items"], r.succeeded) for r in report.collect()) == [
+        ("categories", "us", 1, 0, 1, True), ("trending", "fr", 1, 0, 0, True),
+        ("trending", "gb", 0, 1, 0, False), ("trending", "us", 1, 0, 2, True)]
+    run_live(spark, str(tmp_path / "live"), layout, str(tmp_path / "state"))
+    assert silver(spark, layout) == [("us", "a", 5), ("us", "b", 0)]
+    assert run_reference(spark, str(tmp_path / "ref"), layout)
+    assert [(r.category_id, r.category_name, r.region) for r in spark.table(layout.reference).collect()] == [(10, "Music", "us")]
+
+
 # --- whole run --------------------------------------------------------------------------------------
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendmill import functions as fn
-from trendmill.schemas import CATEGORY_PAYLOAD, VIDEO_PAYLOAD
+from trendmill.schemas import CATEGORY_PAYLOAD, CORRUPT, VIDEO_PAYLOAD
 
 DEFAULT_SOURCE = "video_data_api"
+_COUNTABLE = f"items array<string>, `{CORRUPT}` string"
 
 
 def _items(payloads: DataFrame, schema) -> DataFrame:
@@ -60,3 +61,15 @@ def flatten_categories(payloads: DataFrame, source: str = DEFAULT_SOURCE) -> Dat
         "_ingested_at",
         F.lit(source).alias("_source"),
     )
+
+
+def payload_summary(payloads: DataFrame) -> DataFrame:
+    """Per region: payloads that can be read, payloads that cannot, and the items they hold."""
+    parsed = F.from_json("payload", _COUNTABLE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    read = payloads.select(fn.normalize_region(F.col("region")).alias("region"), "payload", parsed.alias("p"))
+    good = F.col("payload").isNotNull() & F.col(f"p.{CORRUPT}").isNull()
+    return read.groupBy("region").agg(
+        F.count_if(good).alias("payloads_ok"),
+        F.count_if(~good).alias("payloads_bad"),
+        F.coalesce(F.sum(F.when(good, F.coalesce(F.size("p.items"), F.lit(0)))), F.lit(0)).cast("bigint").alias("items"),
+    ).withColumn("succeeded", F.col("payloads_bad") == 0)

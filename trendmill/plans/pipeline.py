@@ -1,4 +1,4 @@
-"""The jobs a user runs: backfill, live run, reference load, quality gate, Gold build."""
+"""The jobs a user runs: ingest, backfill, live run, reference load, quality gate, Gold build."""
 
 from __future__ import annotations
 
@@ -12,11 +12,12 @@ from trendmill import functions as fn
 from trendmill.operators import gold
 from trendmill.operators.audit import counted
 from trendmill.operators.cleanse import cleanse_backfill
+from trendmill.operators.flatten import DEFAULT_SOURCE, flatten_categories, flatten_videos, payload_summary
 from trendmill.operators.quality import Rules, check_tables, verdict
 from trendmill.operators.reference import clean_reference, measured_lookup
 from trendmill.session import use_job_settings
 from trendmill.sources.bronze_csv import read_backfill
-from trendmill.sources.bronze_json import read_reference
+from trendmill.sources.bronze_json import read_reference, write_bronze
 from trendmill.sources.tables import (
     Layout, land, overwrite_partitions, read_or_none, rebuild_all, write_full,
 )
@@ -25,6 +26,24 @@ from trendmill.streaming.live import run_live
 BACKFILL_JOB = "backfill"
 
 
+def run_ingest(
+    videos: DataFrame, categories: DataFrame, live_path: str, reference_path: str, ingested_at: str,
+    source: str = DEFAULT_SOURCE,
+) -> DataFrame:
+    """Nested payloads (region, payload) to Bronze files; returns what could be read per region and kind.
+
+    A payload that is no JSON gives no rows and is counted as failed; the other regions are not affected.
+    """
+    use_job_settings(videos.sparkSession)
+    at = F.lit(ingested_at)
+    write_bronze(flatten_videos(videos.withColumn("_ingested_at", at), source), live_path, ingested_at)
+    write_bronze(flatten_categories(categories.withColumn("_ingested_at", at), source), reference_path, ingested_at,
+                 hourly=False)
+    kinds = (("trending", videos), ("categories", categories))
+    summaries = [payload_summary(rows).withColumn("kind", F.lit(kind)) for kind, rows in kinds]
+    return summaries[0].unionByName(summaries[1])
+
+
 def _backfill_batch(regions: str) -> int:
     """Negative batch id that belongs to the region list, so that repeating a job replaces its own rows."""
     wanted = fn.parse_region_list(regions)

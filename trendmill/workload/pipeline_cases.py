@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trendmill.plans.pipeline import build_gold_if_clean, run_backfill
+from trendmill.plans.pipeline import build_gold_if_clean, run_backfill, run_ingest
 from trendmill.session import fresh_path
 from trendmill.sources.tables import overwrite_partitions, write_full
 from trendmill.streaming.live import run_live
 from trendmill.workload import silver_cases
-from trendmill.workload.bronze_cases import write_csv, fresh_layout
+from trendmill.workload.bronze_cases import INGESTED_AT, fresh_layout, write_csv
 from trendmill.workload.gold_cases import SQL as GOLD_SQL
 from trendmill.workload.silver_cases import RAW_BACKFILL, RAW_LIVE
 from trendmill.workload.tables import FACT_SQL, over, portable, reference, silver
@@ -55,7 +55,21 @@ def _refused(spark, sf_dir):
     return result.failed.select("check", "table", "column", "value", "message")
 
 
+_PAYLOADS = """
+    select event_type as region, case when value < 100 then '{{"items": [{{"id"' else concat(
+        '{{"items": [{{"id": "', event_id, '", "statistics": {{"viewCount": "', cast(value as bigint), '"}}}}, {{}}]}}') end as payload
+    from {events}
+"""
+
+
+def _ingest(spark, sf_dir):
+    """Payloads, some of them cut off, to Bronze files; the report per region and kind."""
+    payloads = over(spark, sf_dir, _PAYLOADS, "events")
+    return run_ingest(payloads, payloads, fresh_path(spark, "live"), fresh_path(spark, "reference"), INGESTED_AT)
+
+
 QUERIES = {
+    "ingest_job": _ingest,
     "backfill_job": _backfill,
     "live_stream": _live,
     "gated_publish": _published,
@@ -63,6 +77,13 @@ QUERIES = {
 }
 
 SQL = {
+    "ingest_job": """
+        select event_type as region, kind, count(*) filter (where value >= 100) as payloads_ok,
+               count(*) filter (where value < 100) as payloads_bad,
+               2 * count(*) filter (where value >= 100) as items,
+               count(*) filter (where value < 100) = 0 as succeeded
+        from events, (values ('trending'), ('categories')) as k(kind) group by event_type, kind
+    """,
     "backfill_job": silver_cases.SQL["backfill_silver"],
     "live_stream": silver_cases.SQL["dedup_live"],
     "gated_publish": GOLD_SQL["gold_category"],
