@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from trendmill.operators import gold
 from trendmill.operators.reference import measured_lookup
 from trendmill.plans import reports
+from trendmill.session import initial_partitions
 from trendmill.sources.tables import write_full
 
 
@@ -66,3 +67,7 @@ def test_large_lookup_is_joined_by_shuffle(spark, stats, monkeypatch):
         assert rows.filter(F.col("category_name") == "Unknown").select("category_id").distinct().count() == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitions_grow_with_the_input():
+    assert [initial_partitions(n) for n in (0, 10**9, 10**12, 10**14)] == [200, 200, 3726, 100_000]

@@ -132,6 +132,15 @@ def test_one_bad_line_drops_its_file_on_request(spark, tmp_path):
     assert [r[CORRUPT] for r in kept if r[CORRUPT]] == ["{bad"]
 
 
+@pytest.mark.parametrize("mode", ["drop_line", "drop_file"])
+def test_unreadable_files(spark, tmp_path, mode):
+    path = write_files(tmp_path, {"region=us/a.json": line(video_id="a"), "region=us/b.json.gz": "this is no archive"})
+    with pytest.raises(Exception):
+        read_live(spark, path, mode, files="*.json*").collect()
+    rows = read_live(spark, path, mode, files="*.json*", skip_unreadable=True)
+    assert [r.video_id for r in rows.collect()] == ["a"]
+
+
 def test_absent_folders_give_no_rows(spark, tmp_path):
     for read in (read_live, read_reference):
         for mode in ("drop_line", "drop_file"):

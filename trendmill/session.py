@@ -18,11 +18,31 @@ SESSION_CONF = {
 }
 
 
-def build_session(app_name: str = "trendmill", master: str | None = None, conf: dict | None = None) -> SparkSession:
+# What one shuffle partition should hold, and more partitions than a shuffle can index well.
+_PARTITION_BYTES = 256 * 1024 * 1024
+_MOST_PARTITIONS = 100_000
+
+
+def initial_partitions(input_bytes: int) -> int:
+    """Shuffle partitions to start with for an input of that size; adaptive execution merges small ones."""
+    return max(200, min(_MOST_PARTITIONS, -(-input_bytes // _PARTITION_BYTES)))
+
+
+def build_session(
+    app_name: str = "trendmill", master: str | None = None, conf: dict | None = None, input_bytes: int | None = None
+) -> SparkSession:
+    """A session with the settings the jobs rely on.
+
+    ``input_bytes`` is the rough size of the largest table a job will shuffle. Spark's fixed default of
+    200 partitions would give each task gigabytes of a large table.
+    """
+    sized = {}
+    if input_bytes:
+        sized["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions(input_bytes))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **(conf or {})}.items():
+    for key, value in {**SESSION_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -30,10 +50,12 @@ def build_session(app_name: str = "trendmill", master: str | None = None, conf:
 def use_job_settings(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session somebody else built.
 
-    Dates are cut from timestamps in UTC, and arithmetic overflow must raise instead of wrapping.
+    Dates are cut from timestamps in UTC, arithmetic overflow must raise instead of wrapping, and
+    adaptive execution has to be there to split hot partitions.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.ansi.enabled", "true")
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled",
+                "spark.sql.adaptive.skewJoin.enabled"):
+        spark.conf.set(key, SESSION_CONF[key])
     return spark
 
 

@@ -35,16 +35,18 @@ def drop_bad_files(rows: DataFrame) -> DataFrame:
 
 
 def _read(
-    spark: SparkSession, path: str, fields: tuple[str, ...], on_bad_record: str, keep_corrupt: bool, files: str
+    spark: SparkSession, path: str, fields: tuple[str, ...], on_bad_record: str, keep_corrupt: bool, files: str,
+    skip_unreadable: bool,
 ) -> DataFrame:
     columns = [*fields, CORRUPT] if keep_corrupt else list(fields)
+    found = spark.read.options(pathGlobFilter=files, ignoreCorruptFiles=str(skip_unreadable).lower())
     try:
         if on_bad_record == "drop_file":
-            lines = spark.read.option("pathGlobFilter", files).text(path)
+            lines = found.text(path)
             extra = [F.col("region").cast("string").alias("region")] if "region" in lines.columns else []
             lines = lines.select("value", F.col("_metadata.file_path").alias("_file"), *extra)
             return drop_bad_files(parse_lines(lines, fields)).select(*columns)
-        reader = spark.read.options(pathGlobFilter=files, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        reader = found.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
         return reader.schema(all_strings(columns)).json(path).select(*columns)
     except AnalysisException as error:
         if error.getCondition() in NOTHING_THERE:
@@ -54,23 +56,24 @@ def _read(
 
 def read_live(
     spark: SparkSession, path: str, on_bad_record: str = "drop_line", keep_corrupt: bool = False,
-    files: str = FILES,
+    files: str = FILES, skip_unreadable: bool = False,
 ) -> DataFrame:
     """Live rows, every scalar as text.
 
     ``on_bad_record="drop_line"``: a line that is no JSON becomes a row of nulls, which cleaning drops;
     ``keep_corrupt`` adds its text for counting. ``"drop_file"``: all lines of its file are dropped.
-    A missing folder gives no rows.
+    A missing folder gives no rows. A file that cannot be read at all (a broken archive) fails the read;
+    with ``skip_unreadable`` it is skipped, as far as it could not be read.
     """
-    return _read(spark, path, LIVE_FIELDS, on_bad_record, keep_corrupt, files)
+    return _read(spark, path, LIVE_FIELDS, on_bad_record, keep_corrupt, files, skip_unreadable)
 
 
 def read_reference(
     spark: SparkSession, path: str, on_bad_record: str = "drop_line", keep_corrupt: bool = False,
-    files: str = FILES,
+    files: str = FILES, skip_unreadable: bool = False,
 ) -> DataFrame:
     """Category rows, every scalar as text; options as for ``read_live``."""
-    return _read(spark, path, REFERENCE_FIELDS, on_bad_record, keep_corrupt, files)
+    return _read(spark, path, REFERENCE_FIELDS, on_bad_record, keep_corrupt, files, skip_unreadable)
 
 
 def write_bronze(rows: DataFrame, path: str, ingested_at: str, hourly: bool = True) -> None:
