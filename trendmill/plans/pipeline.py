@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,7 +20,7 @@ from trendmill.session import use_job_settings
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
 from trendmill.sources.tables import (
-    Layout, land, overwrite_partitions, read_or_none, rebuild_all, write_full,
+    Layout, land, overwrite_mode, overwrite_partitions, read_or_none, rebuild_all, write_full,
 )
 from trendmill.streaming.live import run_live
 
@@ -79,17 +80,26 @@ def run_reference(spark: SparkSession, json_path: str, layout: Layout, on_bad_re
 
 
 def build_gold(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild the three Gold tables. Without a usable reference table all categories are 'Unknown'."""
+    """Rebuild the three Gold tables. Without a usable reference table all categories are 'Unknown'.
+
+    The builds do not depend on each other and run side by side, so that one fills the executors the
+    last tasks of another leave idle.
+    """
     use_job_settings(spark)
     stats = spark.table(layout.statistics)
     reference = read_or_none(spark, layout.reference)
     lookup = None if reference is None else measured_lookup(reference)
-    for name, rows in (
-        ("trending_analytics", gold.trending_analytics(stats)),
-        ("channel_analytics", gold.channel_analytics(stats, lookup)),
-        ("category_analytics", gold.category_analytics(stats, lookup)),
-    ):
-        write_full(gold.stamp_aggregated(rows), layout.table(name), layout.path(name))
+    builds = {
+        "channel_analytics": lambda: gold.channel_analytics(stats, lookup),
+        "category_analytics": lambda: gold.category_analytics(stats, lookup),
+        "trending_analytics": lambda: gold.trending_analytics(stats),
+    }
+
+    def build(name: str) -> None:
+        write_full(gold.stamp_aggregated(builds[name]()), layout.table(name), layout.path(name))
+
+    with overwrite_mode(spark, "static"), ThreadPoolExecutor(len(builds)) as pool:
+        list(pool.map(build, builds))
 
 
 @dataclass(frozen=True)

@@ -38,7 +38,7 @@ class Layout:
 
 
 @contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str):
+def overwrite_mode(spark: SparkSession, mode: str):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, mode)
@@ -58,7 +58,7 @@ def write_full(
 ) -> None:
     """Replace a table: Parquet, Snappy, partitioned, registered in the catalog."""
     df = _sized_files(df, partition_by) if rebalance else df
-    with _overwrite_mode(df.sparkSession, "static"):
+    with overwrite_mode(df.sparkSession, "static"):
         (
             df.write.format("parquet").mode("overwrite").option("compression", "snappy").option("path", path)
             .partitionBy(*partition_by).saveAsTable(table)
@@ -83,7 +83,7 @@ def overwrite_partitions(
         return
     add_new_columns(spark, table, df)
     rows = _sized_files(align_columns(df, spark.table(table).schema), partition_by)
-    with _overwrite_mode(spark, "dynamic"):
+    with overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(table, overwrite=True)
 
 
@@ -101,7 +101,7 @@ def land(rows: DataFrame, layout: Layout, batch_id: int) -> None:
     """Keep a cleaned batch; a batch that is repeated replaces itself. No shuffle."""
     landed = rows.withColumn("trending_month", fn.month_of(F.col("trending_date_parsed")))
     landed = align_columns(landed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), LANDING).drop("batch_id")
-    with _overwrite_mode(rows.sparkSession, "static"):
+    with overwrite_mode(rows.sparkSession, "static"):
         (
             landed.write.mode("overwrite").option("compression", "snappy")
             .partitionBy(*[c for c in LANDING_PARTITIONS if c != "batch_id"])
