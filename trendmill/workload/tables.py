@@ -50,8 +50,9 @@ RATES_SQL = f"""
 """
 STATS_SQL = f"select *, {RATES_SQL} from ({FACT_SQL})"
 
-# Nations 20-24 have no name, so their rows are 'Unknown'.
-LOOKUP_SQL = "select cast(n_nationkey as bigint) as category_id, n_name as category_name from nation where n_nationkey < 20"
+# The last nations have no category name, so their rows are 'Unknown'.
+_CATEGORY_NAME = "case when n_nationkey < 20 then n_name end"
+LOOKUP_SQL = f"select cast(n_nationkey as bigint) as category_id, {_CATEGORY_NAME} as category_name from nation"
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,12 +65,9 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").filter("n_nationkey < 20")
-    return nations.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("bigint").alias("category_id"),
-        F.col("n_name").alias("category_name"),
-        F.lower("r_name").alias("region"),
-    )
+    return over(spark, sf_dir, f"""
+        select cast(n_nationkey as bigint) as category_id, {_CATEGORY_NAME} as category_name, lower(r_name) as region
+        from {{nation}} join {{region}} on n_regionkey = r_regionkey""", "nation", "region")
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
