@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import license_scan, quality_rules
+from trendmill.llm import license_scan, quality_rules, simhash
 from trendmill.llm.common import table
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -15,6 +15,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.measure(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in _MEASURES])
@@ -22,6 +26,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_license_scan": op3_license_scan,
+    "op7_simhash": op7_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
