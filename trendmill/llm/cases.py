@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import license_scan, quality_rules, simhash
-from trendmill.llm.common import table
+from trendmill.llm import license_scan, quality_rules, simhash, token_files
+from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -15,6 +15,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_files.write_and_read(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end=2)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,6 +31,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_license_scan": op3_license_scan,
+    "op5_token_files": op5_token_files,
     "op7_simhash": op7_simhash,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends, and executors may be lost."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def open_store(path: str) -> tuple[pa_fs.FileSystem, str]:
+    """The file system of a shared folder, as tasks use it for files of their own, and the folder's name there."""
+    if path.startswith("file:"):
+        return pa_fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" not in path:
+        return pa_fs.LocalFileSystem(), path
+    return pa_fs.FileSystem.from_uri(path)
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer file, as installed on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
     """Column names that the input does not use (Spark compares names without case)."""
     used = {name.lower() for name in taken}
