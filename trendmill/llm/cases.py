@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import license_scan, quality_rules, simhash, token_files
+from trendmill.llm import license_scan, packing, quality_rules, simhash, token_files
 from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -20,6 +20,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end=1)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op5_token_files": op5_token_files,
+    "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
