@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import license_scan, packing, quality_rules, simhash, token_files
+from trendmill.llm import license_scan, line_dedup, packing, quality_rules, simhash, token_files
 from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -29,6 +29,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("removed_chars"),
+        F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), " ").alias("spans"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.measure(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in _MEASURES])
@@ -39,10 +48,12 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_line_dedup": op8_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL = {
     "op3_license_scan": license_scan.scan_sql("documents"),
+    "op8_line_dedup": line_dedup.removal_sql("documents"),
     "op10_quality_rules": quality_rules.measure_sql("documents"),
 }
