@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill.llm import license_scan, line_dedup, packing, quality_rules, simhash, token_files
+import corpus_pipeline
+from trendmill.llm import exact_dedup, license_scan, line_dedup, packing, quality_rules, simhash, token_files
 from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -38,6 +39,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.measure(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in _MEASURES])
@@ -49,11 +54,14 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op8_line_dedup": op8_line_dedup,
+    "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
     "op3_license_scan": license_scan.scan_sql("documents"),
     "op8_line_dedup": line_dedup.removal_sql("documents"),
+    "op9_exact_dedup": exact_dedup.copies_sql("documents"),
     "op10_quality_rules": quality_rules.measure_sql("documents"),
 }
