@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendmill.llm import exact_dedup, license_scan, line_dedup, packing, quality_rules, simhash, token_files
+from trendmill.llm import bpe, exact_dedup, license_scan, line_dedup, packing, quality_rules, simhash, token_files
 from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -16,6 +16,14 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_files.write_and_read(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end=2)
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -50,6 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_license_scan": op3_license_scan,
+    "op4_bpe": op4_bpe,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
