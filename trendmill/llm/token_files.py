@@ -31,33 +31,25 @@ from trendmill.session import fresh_path
 SHARD_IDS = 8_000_000
 BLOCK_IDS = 1 << 18
 _HEADER = struct.Struct("<3Q")
-# Of each control byte: the bytes of its four ranks.
-_LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+# Of each control byte: which of the 16 bytes of its four ranks are written.
+_WRITTEN = (np.arange(4) <= (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)[:, :, None]).reshape(256, 16)
 
 
 def code_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control, data) of ranks whose number is a multiple of four."""
-    ranks = ranks.astype(np.uint32)
-    lengths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF).astype(np.int64) + (ranks > 0xFFFFFF)
-    fields = (lengths - 1).reshape(-1, 4) << np.array([0, 2, 4, 6])
-    starts = np.cumsum(lengths) - lengths
-    data = np.zeros(int(lengths.sum()), np.uint8)
-    for k in range(4):
-        wide = slice(None) if k == 0 else lengths > k
-        data[starts[wide] + k] = (ranks[wide] >> 8 * k) & 0xFF
-    return fields.sum(axis=1).astype(np.uint8).tobytes(), data.tobytes()
+    ranks = ranks.astype("<u4")
+    extra = (ranks > 0xFF).view(np.uint8) + (ranks > 0xFFFF).view(np.uint8) + (ranks > 0xFFFFFF).view(np.uint8)
+    four = extra.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 16)[_WRITTEN[control]].tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes) -> np.ndarray:
-    """The ranks again; the lengths come from a table that is looked up by control byte."""
-    lengths = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()
-    starts = np.cumsum(lengths) - lengths
-    source = np.frombuffer(data, np.uint8)
-    ranks = source[starts].astype(np.uint32)
-    for k in range(1, 4):
-        wide = np.flatnonzero(lengths > k)
-        ranks[wide] |= source[starts[wide] + k].astype(np.uint32) << np.uint32(8 * k)
-    return ranks
+    """The ranks again; which of their bytes the data holds comes from a table that is looked up by control byte."""
+    written = _WRITTEN[np.frombuffer(control, np.uint8)]
+    ranks = np.zeros(written.shape, np.uint8)
+    ranks[written] = np.frombuffer(data, np.uint8)
+    return ranks.view("<u4").ravel()
 
 
 def _block(names: list, texts: list[np.ndarray], rank_of: np.ndarray) -> bytes:
@@ -105,8 +97,9 @@ def id_counts(ids: DataFrame, dtype: str, size: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for some in batch.column(0):
-                total += np.bincount(np.frombuffer(some.as_py(), dtype), minlength=size)
+            for at in range(0, batch.num_rows, 256):
+                some = b"".join(x.as_py() for x in batch.column(0).slice(at, 256))
+                total += np.bincount(np.frombuffer(some, dtype), minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 

@@ -22,10 +22,11 @@ _RUN = re.compile(r"[^\W\d_²³¹¼½¾]+|(?:[\d_²³¹¼½¾]|[^\w\x20\x09-\x0D
 _WHOLE = re.compile(r"['İɐ-\U0010ffff]|<\|")
 # The parts of a tokenizer file under which chunks are independent.
 _DROPPED_SPACE = re.compile(r"\[\^\\s\\p\{L\}\\p\{N\}\]\+$")
-_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 # Chunks remembered by a worker: two generations of at most this many each.
-REMEMBERED = 300_000
-_GROUP_BYTES = 1 << 20
+REMEMBERED = 600_000
+_GROUP_BYTES = 1 << 17
 
 
 class Encoder:
@@ -44,7 +45,12 @@ class Encoder:
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         with open(path, encoding="utf-8") as file:
-            self.by_chunk, suffix = _independent_chunks(json.load(file))
+            described = json.load(file)
+        self.by_chunk, suffix = _independent_chunks(described)
+        # The same model for words of lower-case letters only, to which the file's other steps do nothing.
+        described |= {"normalizer": None, "added_tokens": [], "truncation": None, "padding": None, "pre_tokenizer": {
+            "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, _BYTE_LEVEL]}}
+        self.words_only = Tokenizer.from_str(json.dumps(described)) if self.by_chunk else None
         ends = np.zeros(size, bool)
         if suffix:
             for token, i in self.library.get_vocab(with_added_tokens=True).items():
@@ -56,7 +62,7 @@ class Encoder:
         return next(self.encode_all([text]))
 
     def encode_all(self, texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
-        """The ids of each text, in order. Texts are taken in groups of about a megabyte."""
+        """The ids of each text, in order. Texts are taken in groups of about a hundred kilobytes."""
         group, size = [], 0
         for text in texts:
             group.append(text or b"")
@@ -74,45 +80,52 @@ class Encoder:
         # bytes.split() splits at ASCII white space and nothing else.
         chunks = [t.split() for t in texts]
         parts = [list(map(self.recent.get, c)) for c in chunks]
-        unknown = {c for cs, ps in zip(chunks, parts) if None in ps for c, p in zip(cs, ps) if p is None}
-        if unknown:
+        gaps = [[i for i, p in enumerate(ps) if p is None] if None in ps else () for ps in parts]
+        if unknown := {cs[i] for cs, at in zip(chunks, gaps) for i in at}:
             self._learn(unknown)
-        for cs, ps in zip(chunks, parts):
-            if None in ps:
-                ps = map(self.recent.__getitem__, cs)
+        for cs, ps, at in zip(chunks, parts, gaps):
+            for i in at:
+                ps[i] = self.recent[cs[i]]
             yield np.frombuffer(b"".join(ps), self.dtype)
         if len(self.recent) > self.remembered:
             self.older, self.recent = self.recent, {}
 
     def _learn(self, chunks: set[bytes]) -> None:
         """Ids of chunks not met since two generations, from the library."""
-        recent, words, rest, compound, whole = self.recent, set(), set(), {}, []
+        recent, older = self.recent, self.older
+        runs, known, words, rest, whole = {}, {}, set(), set(), []
         for chunk in chunks:
-            if (ids := self.older.get(chunk)) is not None:
+            if (ids := older.get(chunk)) is not None:
                 recent[chunk] = ids
                 continue
             text = chunk.decode()
             if _WHOLE.search(text):
                 whole.append(text)
-            elif text.isalpha():
-                words.add(text)
-            else:
-                compound[chunk] = pieces = _RUN.findall(text)
-                for piece in pieces:
-                    (words if piece.isalpha() else rest).add(piece)
-        known = self._words(list(words)) | self._one_by_one(list(rest))
-        for piece, ids in known.items():
+                continue
+            # The tokenizer makes the runs lower case; so may we, and meet more that are known.
+            runs[chunk] = pieces = (text.lower(),) if text.isalpha() else _RUN.findall(text.lower())
+            for piece in pieces:
+                if piece not in known and piece not in words and piece not in rest:
+                    key = piece.encode()
+                    ids = recent.get(key) or older.get(key)
+                    if ids is not None:
+                        known[piece] = ids
+                    else:
+                        (words if piece.isalpha() else rest).add(piece)
+        new = self._words(list(words)) | self._one_by_one(list(rest))
+        for piece, ids in new.items():
             recent[piece.encode()] = ids
+        known |= new
         for text, ids in self._one_by_one(whole).items():
             recent[text.encode()] = ids
-        for chunk, pieces in compound.items():
-            recent[chunk] = b"".join(map(known.__getitem__, pieces))
+        for chunk, pieces in runs.items():
+            recent[chunk] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """Words of letters in one call: each one's last id is an end-of-word token."""
         if not words:
             return {}
-        [joined] = self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        [joined] = self.words_only.encode_batch_fast([" ".join(words)], add_special_tokens=False)
         ids = np.array(joined.ids, self.dtype)
         after = np.flatnonzero(self.ends[ids]) + 1
         if len(after) != len(words) or after[-1] != len(ids):
@@ -138,10 +151,8 @@ def _independent_chunks(file: dict) -> tuple[bool, str]:
     first = splits[0] if splits else {}
     drops_space = (first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert"))
                    and bool(_DROPPED_SPACE.search(first.get("pattern", {}).get("Regex", ""))))
-    rest_is_bytes = all(s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex")
-                        for s in splits[1:])
-    simple = all(n.get("type") in _NORMALIZERS and (n["type"] != "Replace" or n.get("pattern") == {"Regex": r"\s+"})
-                 for n in normalizers)
+    rest_is_bytes = [{**_BYTE_LEVEL, **s, "trim_offsets": True} for s in splits[1:]] == [_BYTE_LEVEL]
+    simple = [n.get("type") for n in normalizers] == _NORMALIZERS and normalizers[1]["pattern"] == {"Regex": r"\s+"}
     plain_added = all(not t.get("lstrip") and not t.get("rstrip") and not t.get("single_word")
                       and t["content"].startswith("<|") and not _space(t["content"]) for t in file["added_tokens"])
     suffix = file["model"].get("end_of_word_suffix") or ""
