@@ -22,8 +22,12 @@ from pyspark.sql import types as T
 from trendmill.llm.common import free_names, open_store, stage
 from trendmill.session import fresh_path
 
-_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Otherwise each of the stores, one per shuffle partition, reserves megabytes of disk before it holds a row.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _ORDER = ("doc_id", "file", "offset")
 _CLASSES = "digest string, keeper struct<doc_id: bigint, file: string, offset: bigint, size: bigint>, n long"
 # Checking a digest fetches contents in the order of the store; so many files stay open.
@@ -93,8 +97,9 @@ class Deduplicator:
     def update(self) -> None:
         """Run the stream over what arrived since the last time; the checkpoint in ``folder`` remembers how far it got."""
         spark, folder = self.spark, self.folder
-        before = spark.conf.get(_STATE_STORE, None)
-        spark.conf.set(_STATE_STORE, _ROCKS)
+        before = {key: spark.conf.get(key, None) for key in _STATE_CONF}
+        for key, value in _STATE_CONF.items():
+            spark.conf.set(key, value)
         try:
             # So that there is a table to read even if nothing has arrived.
             spark.createDataFrame([], _CLASSES).write.mode("overwrite").parquet(f"{folder}/classes/batch=-1")
@@ -110,10 +115,11 @@ class Deduplicator:
             state.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/checkpoint") \
                 .trigger(availableNow=True).foreachBatch(changed).start().awaitTermination()
         finally:
-            if before is None:
-                spark.conf.unset(_STATE_STORE)
-            else:
-                spark.conf.set(_STATE_STORE, before)
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
     def arrivals(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.folder}/arrivals")
