@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendmill.llm import bpe, chat_format, exact_dedup, license_scan, line_dedup, packing, quality_rules, simhash, token_files
+from trendmill.llm import bpe, chat_format, exact_dedup, license_scan, line_dedup, packing, quality_rules, simhash, token_files, toxicity
 from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -19,6 +19,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows.union(probe)))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), F.col("toxic"), grades=4, refine=True)
+    return toxicity.predict(docs, model)
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_toxicity": op2_toxicity,
     "op3_license_scan": op3_license_scan,
     "op4_bpe": op4_bpe,
     "op5_token_files": op5_token_files,
