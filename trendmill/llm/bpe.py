@@ -24,7 +24,8 @@ _OTHER = r"(?:[^\w\x09-\x0D \x85\xA0]|_)"
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_LETTER}+| ?{_NUMBER}+| ?{_OTHER}+|{_SPACE}+(?![^\x09-\x0D \x85\xA0])|{_SPACE}+")
 _BEYOND = re.compile("[ɐ-\U0010ffff]")
 # Words remembered by a worker: two generations of at most this many each.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+_PAIRS = 500_000
 _GROUP_CHARS = 1 << 18
 
 
@@ -35,27 +36,34 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _described(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def token_bytes(described: dict) -> list[bytes]:
+    """What each id stands for; added tokens stand for their own text."""
+    alphabet = byte_alphabet()
+    added = {t["content"]: t["id"] for t in described["added_tokens"]}
+    ids = described["model"]["vocab"] | added
+    found = [b""] * (1 + max(ids.values(), default=-1))
+    for token, i in ids.items():
+        found[i] = token.encode() if token in added else bytes(alphabet[c] for c in token)
+    return found
+
+
 class Vocabulary:
     """A byte-level vocabulary: tokens as bytes, and which token may follow which."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            described = json.load(file)
+        described = _described(path)
         model, split = described["model"], described["pre_tokenizer"] or {}
         if (described["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space")
                 or not split.get("use_regex") or model.get("ignore_merges") or model.get("end_of_word_suffix")):
             raise ValueError(f"{path} is not a plain byte-level vocabulary")
-        alphabet = byte_alphabet()
         ids = model["vocab"]
-        size = 1 + max(ids.values(), default=0)
         self.added = {t["content"]: t["id"] for t in described["added_tokens"]}
-        size = max(size, 1 + max(self.added.values(), default=0))
-        self.bytes = [b""] * size
-        for token, i in ids.items():
-            if token not in self.added:
-                self.bytes[i] = bytes(alphabet[c] for c in token)
-        for token, i in self.added.items():
-            self.bytes[i] = token.encode()
+        self.bytes = token_bytes(described)
         self.ids = {self.bytes[i]: i for t, i in ids.items() if t not in self.added}
         # pair of tokens -> rank, and token -> its two parts
         self.rank, self.parts = {}, {}
@@ -108,7 +116,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._follows.get(key)
         if known is None:
-            if len(self._follows) > 2_000_000:
+            if len(self._follows) > _PAIRS:
                 self._follows.clear()
             known = self._follows[key] = not self._merge_across(left, right, False)
         return known
@@ -266,10 +274,6 @@ class Coder:
         for data, ids in self.vocabulary.encode_words(new).items():
             self.recent[new[data]] = np.array(ids, "<u4").tobytes()
 
-    def decode(self, ids: bytes) -> str:
-        tokens = self.vocabulary.bytes
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=4)
 def coder(path: str) -> Coder:
@@ -277,6 +281,17 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+@lru_cache(maxsize=4)
+def decoder(path: str) -> list[bytes]:
+    """All that decoding needs; its workers do not hold the tables of the encoder."""
+    return token_bytes(_described(path))
+
+
+def decode_ids(ids: bytes, tokens: list[bytes]) -> str:
+    """The text of little-endian 32-bit ids; bytes that are no UTF-8 become replacement characters."""
+    return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+
+
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id and ids (little-endian, 32 bits) of every row's whole text.
 
@@ -299,10 +314,10 @@ def decode(coded: DataFrame, vocabulary: str) -> DataFrame:
     names = coded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(vocabulary)
+        tokens = decoder(vocabulary)
         for batch in batches:
             ids = batch.column(names.index("ids"))
-            texts = pa.array((words.decode(x.as_py()) if x.is_valid else None for x in ids), pa.string())
+            texts = pa.array((decode_ids(x.as_py(), tokens) if x.is_valid else None for x in ids), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*names, "text"])
 
     return coded.mapInArrow(run, coded.withColumn("text", F.lit("")).schema)
