@@ -4,7 +4,6 @@ import random
 
 import pytest
 
-from trendmill.sources import csv_records
 from trendmill.sources.bronze_csv import read_backfill
 from test_sources import GB, US, write_files
 
@@ -52,15 +51,6 @@ def test_same_silver_fixture(spark, tmp_path, tiny_splits):
     assert _rows(read_backfill(spark, path, split_files=True), ["*"]) == want
 
 
-def test_same_rows_when_splits_are_too_many_to_broadcast(spark, tmp_path, tiny_splits, monkeypatch):
-    path = write_files(tmp_path, {f"region=r{seed}/a.csv": _random_csv(seed, "\n") for seed in range(2)})
-    columns = ["video_id", "title", "description", "region"]
-    want = _rows(read_backfill(spark, path), columns)
-    tiny_splits(300)
-    monkeypatch.setattr(csv_records, "MAX_BROADCAST_ROWS", 0)
-    assert _rows(read_backfill(spark, path, split_files=True), columns) == want
-
-
 def test_windows_line_ends(spark, tmp_path, tiny_splits):
     (tmp_path / "region=us").mkdir()
     text = 'video_id,title\r\n1,"a\r\nb"\r\n2,c\r\n'

@@ -53,8 +53,8 @@ def test_has_text(spark):
 
 
 def test_region_list():
-    assert fn.parse_region_list(" US, gb ,,") == ["us", "gb"]
-    assert fn.parse_region_list(" ALL ") is None
+    assert fn.region_codes(" US, gb ,,") == ["us", "gb"]
+    assert fn.region_codes(" ALL ") is None
 
 
 def test_rates(spark):

@@ -87,19 +87,11 @@ def test_replay_restores_a_lost_partition(spark, layout, tmp_path):
     spark.catalog.refreshTable(layout.statistics)
     untouched = tmp_path / "tables/clean_statistics/region=us/trending_month=2024-05"
     files = sorted(p.name for p in untouched.iterdir())
-    tables.rebuild_touched(spark, layout, 1)
+    tables.rebuild(spark, layout, [("us", "2024-06")])
     assert silver(spark, layout) == want
     assert sorted(p.name for p in untouched.iterdir()) == files
 
 
-def test_many_touched_partitions_use_a_join(spark, layout, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
-    live = tmp_path / "live"
-    feed(live, "a", row("a", 1), row("a", 2, "2024-06-01T00:00:00+00:00"), row("x", 3, "never"))
-    run_live(spark, str(live), layout, str(tmp_path / "state"))
-    assert silver(spark, layout) == [("us", "a", 1), ("us", "a", 2), ("us", "x", 3)]
-
-
 # --- quality ----------------------------------------------------------------------------------------
 
 
@@ -116,7 +108,6 @@ def stats(spark, n=20, null_titles=0, views="id", extra=()):
 
 def test_row_count(spark):
     assert [checks(stats(spark, n))["row_count", None].passed for n in (9, 10)] == [False, True]
-    assert checks(stats(spark, 30), sample_limit=9)["row_count", None].value == 9
 
 
 def test_null_percentage(spark):

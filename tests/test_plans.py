@@ -70,4 +70,4 @@ def test_large_lookup_is_joined_by_shuffle(spark, stats, monkeypatch):
 
 
 def test_partitions_grow_with_the_input():
-    assert [initial_partitions(n) for n in (0, 10**9, 10**12, 10**14)] == [200, 200, 3726, 100_000]
+    assert [initial_partitions(n) for n in (0, 10**9, 10**12, 10**14)] == [200, 200, 3726, 372_530]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +22,7 @@ def pipe_join(col: Column) -> Column:
     return F.when(F.size(col) > 0, F.array_join(col, "|"))
 
 
-def parse_region_list(regions: str) -> list[str] | None:
-    """A job argument such as ' US, gb ' -> ['us', 'gb']; 'all' -> None, which means no filter."""
-    if regions.strip().lower() == "all":
-        return None
-    return [code.strip().lower() for code in regions.split(",") if code.strip()]
+def region_codes(argument: str) -> list[str] | None:
+    """The regions a job is asked for, as in ' US, gb '; None for 'all', which is any region."""
+    codes = re.findall(r"[^\s,](?:[^,]*[^\s,])?", argument.lower())
+    return None if codes == ["all"] else codes

@@ -80,7 +80,7 @@ def drop_blank_ids(df: DataFrame) -> DataFrame:
 
 def filter_regions(df: DataFrame, regions: str = "all") -> DataFrame:
     """Keep the regions of a comma list. Region is normalised first, so ' US' matches 'us'."""
-    wanted = fn.parse_region_list(regions)
+    wanted = fn.region_codes(regions)
     if wanted is None:
         return df
     return df.filter(fn.normalize_region(F.col("region")).isin(wanted))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trendmill.schemas import REFERENCE_KEY, STATISTICS_KEY
 
 # Set by the run itself, so they only break ties between rows that are otherwise equal.
-_VOLATILE = ("_processed_at", "_job_name", "batch_id")
+_VOLATILE = ("_processed_at", "_job_name", "feed", "batch_id")
 
 
 def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], newest: list[str]) -> DataFrame:
@@ -21,8 +21,9 @@ def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], newest: lis
     """
     rest = [c for c in df.columns if c not in {*keys, *newest, *_VOLATILE}]
     order = [*newest, *rest, *(c for c in _VOLATILE if c in df.columns)]
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    placed = df.select("*", F.row_number().over(newest_first).alias("_place_in_key"))
+    return placed.where("_place_in_key = 1").select(*df.columns)
 
 
 def latest_statistics(df: DataFrame) -> DataFrame:

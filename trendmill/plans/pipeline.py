@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ from trendmill.session import use_job_settings
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
 from trendmill.sources.tables import (
-    Layout, land, overwrite_mode, overwrite_partitions, read_or_none, rebuild_all, write_full,
+    Layout, land, overwrite_mode, overwrite_partitions, read_or_none, rebuild, write_full,
 )
 from trendmill.streaming.live import run_live
 
@@ -45,38 +44,38 @@ def run_ingest(
     return summaries[0].unionByName(summaries[1])
 
 
-def _backfill_batch(regions: str) -> int:
-    """Negative batch id that belongs to the region list, so that repeating a job replaces its own rows."""
-    wanted = fn.parse_region_list(regions)
-    return -1 if wanted is None else -2 - zlib.crc32(",".join(sorted(wanted)).encode())
-
-
 def run_backfill(
     spark: SparkSession, csv_path: str, layout: Layout, regions: str = "all", job_name: str = BACKFILL_JOB,
     multi_line: bool = True, split_files: bool = False,
 ) -> dict:
-    """CSV history to Silver: the cleaned rows land without a shuffle, then Silver is rebuilt from landing.
+    """CSV history to Silver: the cleaned rows land, then the partitions they touch are rebuilt from landing.
+
+    All backfills are one batch. A run replaces the rows of its regions: what is corrected downward or gone from the
+    files leaves Silver too. ``rows_landed`` counts all rows of the batch, earlier regions included.
 
     ``multi_line`` and ``split_files`` say how files are read, see ``read_backfill``.
     """
     use_job_settings(spark)
-    read, kept = Observation(), Observation()
+    read = Observation()
     raw = counted(read_backfill(spark, csv_path, multi_line, split_files=split_files), read)
-    land(counted(cleanse_backfill(raw, job_name, regions), kept), layout, _backfill_batch(regions))
-    counts = {"rows_read": read.get["rows"], "rows_landed": kept.get["rows"]}
-    if counts["rows_landed"]:
-        rebuild_all(spark, layout)
-    return counts
+    wanted = fn.region_codes(regions)
+    within = None if wanted is None else F.col("region").isin(wanted)
+    landed, changed = land(cleanse_backfill(raw, job_name, regions), layout, BACKFILL_JOB, 0, within)
+    if changed:
+        rebuild(spark, layout, changed)
+    return {"rows_read": read.get["rows"], "rows_landed": landed}
 
 
 def run_reference(spark: SparkSession, json_path: str, layout: Layout, on_bad_record: str = "drop_line") -> bool:
     """Category names to Silver, replacing the regions that occur; False if there was nothing to load."""
     use_job_settings(spark)
     rows = clean_reference(read_reference(spark, json_path, on_bad_record))
-    if rows.isEmpty():
-        return False
-    overwrite_partitions(rows, layout.reference, layout.path("clean_reference_data"))
-    return True
+    known = spark.catalog.tableExists(layout.reference)
+    if overwrite_partitions(rows, layout.reference, layout.path("clean_reference_data")):
+        return True
+    if not known:
+        spark.sql(f"DROP TABLE {layout.reference}")
+    return False
 
 
 def build_gold(spark: SparkSession, layout: Layout) -> None:
@@ -98,7 +97,8 @@ def build_gold(spark: SparkSession, layout: Layout) -> None:
     def build(name: str) -> None:
         write_full(gold.stamp_aggregated(builds[name]()), layout.table(name), layout.path(name))
 
-    with overwrite_mode(spark, "static"), ThreadPoolExecutor(len(builds)) as pool:
+    # The builds share one session; each write wants the same mode.
+    with overwrite_mode(spark, "dynamic"), ThreadPoolExecutor(len(builds)) as pool:
         list(pool.map(build, builds))
 
 
@@ -115,9 +115,7 @@ def check_silver(
     tables: tuple[str, ...] = ("clean_statistics", "clean_reference_data"),
 ) -> tuple[GateResult, DataFrame]:
     """The verdict on Silver and all check rows. One pass per table; only the check rows are kept."""
-    found = check_tables(spark, {name: layout.table(name) for name in tables}, rules, as_of)
-    rows = found.collect()  # at most a dozen rows per table, by construction
-    checks = spark.createDataFrame(rows, found.schema)
+    checks = check_tables(spark, {name: layout.table(name) for name in tables}, rules, as_of)
     answer = verdict(checks).first()
     return GateResult(**answer.asDict(), failed=checks.filter(~F.col("passed"))), checks
 

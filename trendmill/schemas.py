@@ -78,7 +78,7 @@ REFERENCE = _struct(
 REFERENCE_KEY = ("region", "category_id")
 
 # Landing keeps every cleaned row that ever arrived, with the time its source gave it.
-LANDING_PARTITIONS = ("region", "trending_month", "batch_id")
+LANDING_PARTITIONS = ("region", "trending_month", "feed", "batch_id")
 SILVER_PARTITIONS = ("region", "trending_month")
 LANDING = T.StructType(
     [f for f in STATISTICS.fields if f.name != "region"]
@@ -86,6 +86,7 @@ LANDING = T.StructType(
         T.StructField("_source_time", T.TimestampType(), True),
         T.StructField("region", T.StringType(), True),
         T.StructField("trending_month", T.StringType(), True),
+        T.StructField("feed", T.StringType(), True),
         T.StructField("batch_id", T.LongType(), True),
     ]
 )

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 SESSION_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,14 +19,13 @@ SESSION_CONF = {
 }
 
 
-# What one shuffle partition should hold, and more partitions than a shuffle can index well.
+# What one shuffle partition should hold.
 _PARTITION_BYTES = 256 * 1024 * 1024
-_MOST_PARTITIONS = 100_000
 
 
 def initial_partitions(input_bytes: int) -> int:
     """Shuffle partitions to start with for an input of that size; adaptive execution merges small ones."""
-    return max(200, min(_MOST_PARTITIONS, -(-input_bytes // _PARTITION_BYTES)))
+    return max(200, -(-input_bytes // _PARTITION_BYTES))
 
 
 def build_session(

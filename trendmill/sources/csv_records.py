@@ -23,7 +23,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendmill.operators.broadcasting import MAX_BROADCAST_ROWS
 from trendmill.schemas import CORRUPT
 from trendmill.session import enable_checkpoints
 
@@ -113,15 +112,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of all files as text: file, region, text, and whether it is the first of its file."""
     lines = _lines(spark, path)
     splits = _splits(lines)
-    if splits.count() <= MAX_BROADCAST_ROWS:
-        # The broadcast side never moves the lines, so they stay in file order.
-        placed = lines.join(F.broadcast(splits), ["file", "block"], "left")
-    else:
-        placed = (
-            lines.withColumn("at", F.monotonically_increasing_id())
-            .join(splits, ["file", "block"], "left")
-            .repartition("file", "block").sortWithinPartitions("file", "block", "at")
-        )
+    # The order of the lines of a split is a column of its own, whatever the join does to it.
+    placed = (
+        lines.withColumn("at", F.monotonically_increasing_id())
+        .join(splits, ["file", "block"], "left")
+        .repartition("file", "block").sortWithinPartitions("file", "block", "at")
+    )
     planned_anew = F.raise_error(F.lit("the files were split differently the second time; run the job again"))
     inside = F.coalesce(F.col("inside"), planned_anew.cast("int"))
     columns = ["line", "file", "region", "block", inside.alias("inside")]

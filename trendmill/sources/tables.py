@@ -6,17 +6,17 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendmill import functions as fn
-from trendmill.operators.broadcasting import broadcast_if_small
 from trendmill.operators.cleanse import align_columns
 from trendmill.operators.dedup import latest_statistics
 from trendmill.schemas import LANDING, LANDING_PARTITIONS, SILVER_PARTITIONS, STATISTICS
 from trendmill.sources.bronze_csv import NOTHING_THERE
 
-MAX_LISTED_PARTITIONS = 1000
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ class Layout:
 
     statistics = property(lambda self: self.table("clean_statistics"))
     reference = property(lambda self: self.table("clean_reference_data"))
-    landing = property(lambda self: self.path("landing/statistics"))
+    landing = property(lambda self: self.table("landing_statistics"))
 
 
 @contextmanager
@@ -53,16 +53,73 @@ def _sized_files(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
+def ensure_table(spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: tuple[str, ...]) -> None:
+    """Have a catalog entry over whatever the folder holds, so that a lost entry neither hides nor drops rows.
+
+    Columns that only the files know are kept.
+    """
+    if spark.catalog.tableExists(table):
+        return
+    fields, there = {f.name: f for f in schema.fields}, False
+    try:
+        for field in spark.read.parquet(path).schema.fields:
+            fields.setdefault(field.name, field)
+        there = True
+    except AnalysisException as error:
+        if error.getCondition() not in NOTHING_THERE:
+            raise
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.values())
+    parts = ", ".join(f"`{c}`" for c in partition_by)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    if there:
+        spark.catalog.recoverPartitions(table)
+
+
+def _partitions(df: DataFrame, keys: tuple[str, ...]) -> set[tuple]:
+    """The partitions that have rows: names, not data."""
+    return {tuple(r) for r in df.select(*keys).distinct().collect()}
+
+
+def _empty_partitions(spark: SparkSession, table: str, keys: tuple[str, ...], gone: set[tuple]) -> None:
+    """Take away all rows of some partitions."""
+    if not gone:
+        return
+    columns = [f for f in spark.table(table).schema.fields if f.name not in keys]
+    nothing = spark.createDataFrame([], T.StructType(columns))
+    with overwrite_mode(spark, "static"):
+        for values in gone:
+            text = [_NULL_PARTITION if v is None else str(v).replace("\\", "\\\\").replace("'", "\\'") for v in values]
+            spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, text))
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{nothing}}", nothing=nothing)
+    spark.catalog.refreshTable(table)
+
+
+def _insert(df: DataFrame, table: str, partition_by: tuple[str, ...], rebalance: bool = True) -> set[tuple]:
+    """Replace the partitions that occur in ``df``, all at once when the write commits; returns them."""
+    spark = df.sparkSession
+    add_new_columns(spark, table, df)
+    rows = align_columns(df, spark.table(table).schema)
+    rows = _sized_files(rows, partition_by) if rebalance else rows
+    seen = Observation()
+    rows = rows.observe(seen, F.collect_set(F.struct(*partition_by)).alias("partitions"))
+    with overwrite_mode(spark, "dynamic"):
+        rows.write.insertInto(table, overwrite=True)
+    return {tuple(p) for p in seen.get["partitions"]}
+
+
 def write_full(
     df: DataFrame, table: str, path: str, partition_by: tuple[str, ...] = ("region",), rebalance: bool = True
 ) -> None:
-    """Replace a table: Parquet, Snappy, partitioned, registered in the catalog."""
-    df = _sized_files(df, partition_by) if rebalance else df
-    with overwrite_mode(df.sparkSession, "static"):
-        (
-            df.write.format("parquet").mode("overwrite").option("compression", "snappy").option("path", path)
-            .partitionBy(*partition_by).saveAsTable(table)
-        )
+    """Replace all rows of a table: Parquet, Snappy, partitioned, registered in the catalog.
+
+    The new files are put beside the old ones and take their place when the write commits; only then are partitions
+    emptied that no longer occur. A build that fails leaves the old rows as they were, and the table never goes away.
+    A column the table has and ``df`` lacks is null.
+    """
+    spark = df.sparkSession
+    ensure_table(spark, table, path, df.schema, partition_by)
+    before = _partitions(spark.table(table), partition_by)
+    _empty_partitions(spark, table, partition_by, before - _insert(df, table, partition_by, rebalance))
 
 
 def add_new_columns(spark: SparkSession, table: str, df: DataFrame) -> None:
@@ -75,16 +132,10 @@ def add_new_columns(spark: SparkSession, table: str, df: DataFrame) -> None:
 
 def overwrite_partitions(
     df: DataFrame, table: str, path: str, partition_by: tuple[str, ...] = ("region",)
-) -> None:
-    """Replace only the partitions that occur in ``df``; create the table if needed, widen it if needed."""
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        write_full(df, table, path, partition_by)
-        return
-    add_new_columns(spark, table, df)
-    rows = _sized_files(align_columns(df, spark.table(table).schema), partition_by)
-    with overwrite_mode(spark, "dynamic"):
-        rows.write.insertInto(table, overwrite=True)
+) -> int:
+    """Replace only the partitions that occur in ``df`` and return their number; the table is made or widened if needed."""
+    ensure_table(df.sparkSession, table, path, df.schema, partition_by)
+    return len(_insert(df, table, partition_by))
 
 
 def read_or_none(spark: SparkSession, table: str) -> DataFrame | None:
@@ -93,29 +144,36 @@ def read_or_none(spark: SparkSession, table: str) -> DataFrame | None:
 
 # --- landing and rebuild -------------------------------------------------------------------------
 # Silver is never rewritten from itself: an overwrite that dies half way would lose rows for good.
-# Every cleaned batch is first kept under its batch id, then the touched Silver partitions are rebuilt
-# from all kept batches. Repeating either step gives the same files again.
+# Every cleaned batch is first kept under its feed and batch id, then the touched Silver partitions are
+# rebuilt from all kept batches. Repeating either step gives the same rows again. Landing is partitioned by
+# region and month first, so a rebuild opens only the months it is for.
 
 
-def land(rows: DataFrame, layout: Layout, batch_id: int) -> None:
-    """Keep a cleaned batch; a batch that is repeated replaces itself. No shuffle."""
-    landed = rows.withColumn("trending_month", fn.month_of(F.col("trending_date_parsed")))
-    landed = align_columns(landed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), LANDING).drop("batch_id")
-    with overwrite_mode(rows.sparkSession, "static"):
-        (
-            landed.write.mode("overwrite").option("compression", "snappy")
-            .partitionBy(*[c for c in LANDING_PARTITIONS if c != "batch_id"])
-            .parquet(f"{layout.landing}/batch_id={batch_id}")
-        )
+def _landing(spark: SparkSession, layout: Layout) -> DataFrame:
+    ensure_table(spark, layout.landing, layout.path("landing/statistics"), LANDING, LANDING_PARTITIONS)
+    return spark.table(layout.landing)
 
 
-def read_landing(spark: SparkSession, layout: Layout) -> DataFrame:
-    try:
-        return spark.read.schema(LANDING).parquet(layout.landing)
-    except AnalysisException as error:
-        if error.getCondition() in NOTHING_THERE:
-            return spark.createDataFrame([], LANDING)
-        raise
+def land(
+    rows: DataFrame, layout: Layout, feed: str, batch_id: int, within: Column | None = None
+) -> tuple[int, list[tuple]]:
+    """Keep a cleaned batch of a feed; returns its number of rows and the (region, month) partitions it changes.
+
+    A batch that is repeated replaces itself: partitions it no longer has rows for are emptied, and count as changed.
+    ``within`` limits what is replaced, for a feed that brings some regions only. Rows of a partition are brought
+    together first, so the number of files does not grow with the number of tasks.
+    """
+    spark = rows.sparkSession
+    mine = (F.col("feed") == feed) & (F.col("batch_id") == batch_id)
+    kept = _landing(spark, layout).filter(mine)
+    before = _partitions(kept if within is None else kept.filter(within), LANDING_PARTITIONS)
+    landed = rows.withColumns({
+        "trending_month": fn.month_of(F.col("trending_date_parsed")), "feed": F.lit(feed),
+        "batch_id": F.lit(batch_id).cast("bigint")})
+    after = _insert(landed, layout.landing, LANDING_PARTITIONS)
+    _empty_partitions(spark, layout.landing, LANDING_PARTITIONS, before - after)
+    count = spark.table(layout.landing).filter(mine).count()
+    return count, sorted({p[:len(SILVER_PARTITIONS)] for p in before | after}, key=str)
 
 
 def _silver(landed: DataFrame) -> DataFrame:
@@ -124,35 +182,21 @@ def _silver(landed: DataFrame) -> DataFrame:
 
 def rebuild_all(spark: SparkSession, layout: Layout) -> None:
     """Silver statistics from everything that ever landed."""
-    rows = _silver(read_landing(spark, layout))
-    write_full(rows, layout.statistics, layout.path("clean_statistics"), SILVER_PARTITIONS)
+    write_full(_silver(_landing(spark, layout)), layout.statistics, layout.path("clean_statistics"), SILVER_PARTITIONS)
 
 
-def _in_partitions(df: DataFrame, wanted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Rows of ``df`` in the partitions ``wanted``, null partitions included.
+def rebuild(spark: SparkSession, layout: Layout, partitions: list[tuple]) -> None:
+    """Silver statistics of some (region, month) partitions from all that landed for them.
 
-    A short list becomes a filter, so that the other folders are not even opened. The list is partition
-    names, not data, and its length is checked; a longer one is a semi join.
+    The filter is on partition names alone, so other folders of landing are not opened, however many there are. If there
+    is no Silver table, all of it is built.
     """
-    listed = wanted.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        match: Column = F.lit(False)
-        for row in listed:
-            one: Column = F.lit(True)
-            for key in keys:
-                one = one & (F.col(key).isNull() if row[key] is None else F.col(key) == row[key])
-            match = match | one
-        return df.filter(match)
-    other = broadcast_if_small(wanted.select([F.col(k).alias(f"_w_{k}") for k in keys]))
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_w_{key}"))
-    return df.join(other, same, "left_semi")
-
-
-def rebuild_touched(spark: SparkSession, layout: Layout, batch_id: int) -> None:
-    """Rebuild the Silver partitions that batch ``batch_id`` has rows for."""
-    landed = read_landing(spark, layout)
-    touched = landed.filter(F.col("batch_id") == batch_id).select(*SILVER_PARTITIONS).distinct()
-    rows = _silver(_in_partitions(landed, touched, SILVER_PARTITIONS))
-    overwrite_partitions(rows, layout.statistics, layout.path("clean_statistics"), SILVER_PARTITIONS)
+    landed = _landing(spark, layout)
+    if not spark.catalog.tableExists(layout.statistics):
+        rebuild_all(spark, layout)
+        return
+    name = F.concat_ws("\0", *[F.coalesce(F.col(k), F.lit("\1")) for k in SILVER_PARTITIONS])
+    wanted = ["\0".join("\1" if v is None else v for v in p) for p in partitions]
+    rows = _silver(landed.filter(name.isin(wanted)))
+    done = _insert(rows, layout.statistics, SILVER_PARTITIONS)
+    _empty_partitions(spark, layout.statistics, SILVER_PARTITIONS, set(partitions) - done)

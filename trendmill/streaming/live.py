@@ -1,7 +1,7 @@
 """Live JSON lines to Silver with Structured Streaming.
 
 Every run takes the files that arrived since the last one (``availableNow``), lands them under the
-batch id and rebuilds the touched Silver partitions. There is no watermark: a late file is still
+feed's and the batch's id and rebuilds the touched Silver partitions. There is no watermark: a late file is still
 welcome, and the ingestion time inside the rows decides which row of a key is newest. A batch that is
 repeated after a failure replaces itself.
 """
@@ -19,7 +19,7 @@ from trendmill.operators.cleanse import cleanse_live
 from trendmill.schemas import CORRUPT, LIVE_FIELDS, all_strings
 from trendmill.session import use_job_settings
 from trendmill.sources.bronze_json import FILES, drop_bad_files, parse_lines
-from trendmill.sources.tables import Layout, land, rebuild_touched
+from trendmill.sources.tables import Layout, land, rebuild
 
 JOB = "live"
 
@@ -45,18 +45,18 @@ def live_source(
 
 
 def load_batch(
-    raw: DataFrame, layout: Layout, batch_id: int, job_name: str = JOB, missing_category: int | None = 0
+    raw: DataFrame, layout: Layout, batch_id: int, feed: str = JOB, job_name: str = JOB,
+    missing_category: int | None = 0,
 ) -> dict:
-    """Land one batch of raw rows and rebuild what it touches; returns the row counts of the landing."""
-    read, kept = Observation(), Observation()
+    """Land one batch of a feed and rebuild what it touches; returns the row counts of the landing."""
+    read = Observation()
     if "_file" in raw.columns:
         raw = drop_bad_files(raw)
     raw = counted(raw, read, bad=F.count_if(F.col(CORRUPT).isNotNull()))
-    land(counted(cleanse_live(raw, job_name, missing_category), kept), layout, batch_id)
-    counts = {"batch_id": batch_id, "rows_read": read.get["rows"], "rows_bad": read.get["bad"],
-              "rows_landed": kept.get["rows"]}
-    if counts["rows_landed"]:
-        rebuild_touched(raw.sparkSession, layout, batch_id)
+    landed, changed = land(cleanse_live(raw, job_name, missing_category), layout, feed, batch_id)
+    counts = {"batch_id": batch_id, "rows_read": read.get["rows"], "rows_bad": read.get["bad"], "rows_landed": landed}
+    if changed:
+        rebuild(raw.sparkSession, layout, changed)
     return counts
 
 
@@ -69,7 +69,9 @@ def run_live(
     use_job_settings(spark)
 
     def process(raw: DataFrame, batch_id: int) -> None:
-        counts = load_batch(raw, layout, batch_id, missing_category=missing_category)
+        # The query's id is kept in its checkpoint: batch numbers are unique within it and only there.
+        feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        counts = load_batch(raw, layout, batch_id, feed, missing_category=missing_category)
         if on_counts:
             on_counts(counts)
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trendmill.plans.pipeline import build_gold_if_clean, run_backfill, run_ingest
+from trendmill.operators.quality import Rules
+from trendmill.plans.pipeline import (
+    build_gold_if_clean, check_silver, run_backfill, run_ingest, run_reference,
+)
 from trendmill.session import fresh_path
 from trendmill.sources.tables import overwrite_partitions, write_full
 from trendmill.streaming.live import run_live
@@ -12,7 +15,7 @@ from trendmill.workload import silver_cases
 from trendmill.workload.bronze_cases import INGESTED_AT, fresh_layout, write_csv
 from trendmill.workload.gold_cases import SQL as GOLD_SQL
 from trendmill.workload.silver_cases import RAW_BACKFILL, RAW_LIVE
-from trendmill.workload.tables import FACT_SQL, over, portable, reference, silver
+from trendmill.workload.tables import FACT_SQL, over, portable, reference, silver, table
 
 
 def _silver_rows(spark, layout):
@@ -34,6 +37,51 @@ def _live(spark, sf_dir):
     return _silver_rows(spark, layout)
 
 
+def _two_feeds(spark, sf_dir):
+    """Two feeds with checkpoints of their own; then the first one again from the start, with a new checkpoint."""
+    layout, paths = fresh_layout(spark), [fresh_path(spark, "live"), fresh_path(spark, "live")]
+    rows = over(spark, sf_dir, RAW_LIVE, "events")
+    for path, wanted in zip(paths, ("even", "odd")):
+        is_even = F.col("comment_count").cast("bigint") % 2 == 0
+        rows.filter(is_even if wanted == "even" else ~is_even).write.partitionBy("region").json(path)
+        run_live(spark, path, layout, fresh_path(spark, "stream"))
+    return layout, paths
+
+
+def _live_two_feeds(spark, sf_dir):
+    layout, _ = _two_feeds(spark, sf_dir)
+    return _silver_rows(spark, layout)
+
+
+def _replay(spark, sf_dir):
+    layout, paths = _two_feeds(spark, sf_dir)
+    run_live(spark, paths[0], layout, fresh_path(spark, "stream"))
+    return _silver_rows(spark, layout)
+
+
+def _unreadable(spark, sf_dir):
+    """One table whose folder has a file that is no Parquet, and one good table, checked together."""
+    layout = fresh_layout(spark)
+    write_full(silver(spark, sf_dir), layout.statistics, layout.path("clean_statistics"))
+    overwrite_partitions(reference(spark, sf_dir), layout.reference, layout.path("clean_reference_data"))
+    folder = layout.path("clean_reference_data") + "/region=asia"
+    table(spark, sf_dir, "nation").select("n_name").write.mode("append").text(folder)
+    spark.catalog.refreshTable(layout.reference)
+    rules = Rules(critical={"clean_statistics": ("video_id", "views", "region"), "clean_reference_data": ("region",)})
+    _, checks = check_silver(spark, layout, rules)
+    return checks.select("check", "table", "column", "passed", F.col("check") == "read_table").toDF(
+        "check", "table", "column", "passed", "unreadable").filter(F.col("check").isin("row_count", "read_table", "null_pct"))
+
+
+def _reference_job(spark, sf_dir):
+    """Category names as JSON lines, loaded twice: the second load replaces the regions it brings."""
+    layout, path = fresh_layout(spark), fresh_path(spark, "reference")
+    over(spark, sf_dir, silver_cases.RAW_REFERENCE, "events").write.json(path)
+    for _ in range(2):
+        run_reference(spark, path, layout)
+    return spark.table(layout.reference).drop("_processed_at")
+
+
 def _publish(spark, sf_dir, good_titles: bool):
     layout = fresh_layout(spark)
     title = F.when(F.lit(good_titles) | (F.col("views") > 0), F.col("channel_title"))
@@ -68,7 +116,20 @@ def _ingest(spark, sf_dir):
     return run_ingest(payloads, payloads, fresh_path(spark, "live"), fresh_path(spark, "reference"), INGESTED_AT)
 
 
+def _published_table(name, *left_out):
+    def query(spark, sf_dir):
+        layout, _ = _publish(spark, sf_dir, True)
+        return portable(spark.table(layout.table(name)).drop("_aggregated_at", *left_out))
+    return query
+
+
 QUERIES = {
+    "live_two_feeds": _live_two_feeds,
+    "silver_replay": _replay,
+    "dq_unreadable": _unreadable,
+    "reference_job": _reference_job,
+    "gated_trending": _published_table("trending_analytics"),
+    "gated_channel": _published_table("channel_analytics"),
     "ingest_job": _ingest,
     "backfill_job": _backfill,
     "live_stream": _live,
@@ -77,6 +138,19 @@ QUERIES = {
 }
 
 SQL = {
+    "live_two_feeds": silver_cases.SQL["dedup_live"],
+    "silver_replay": silver_cases.SQL["dedup_live"],
+    "dq_unreadable": f"""
+        select * from (values ('row_count', null), ('null_pct', 'video_id'), ('null_pct', 'views'), ('null_pct', 'region'))
+                      as c("check", "column"),
+             (select 'clean_statistics' as "table", count(*) >= 10 as passed, false as unreadable from ({FACT_SQL}))
+        union all by name
+        select 'read_table' as "check", 'clean_reference_data' as "table", null as "column", false as passed,
+               true as unreadable
+    """,
+    "reference_job": silver_cases.SQL["silver_reference_clean"],
+    "gated_trending": GOLD_SQL["gold_trending"],
+    "gated_channel": GOLD_SQL["gold_channel"],
     "ingest_job": """
         select event_type as region, kind, count(*) filter (where value >= 100) as payloads_ok,
                count(*) filter (where value < 100) as payloads_bad,

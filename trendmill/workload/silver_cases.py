@@ -132,29 +132,29 @@ LIVE_ROWS_SQL = f"""
 
 # --- the same keys from both sides ------------------------------------------------------------------
 _OLD = """
-    select cast(user_id as string) as video_id, date_format(ts, 'yy.dd.MM') as trending_date, 'old' as title,
+    select cast(user_id + event_id % 2 as string) as video_id, date_format(ts, 'yy.dd.MM') as trending_date, 'old' as title,
            event_type as channel_title, cast(null as string) as category_id, cast(null as string) as publish_time,
            cast(null as string) as tags, cast(event_id * 1000 as string) as views, '1' as likes, '2' as dislikes,
            '3' as comment_count, 'False' as comments_disabled, 'False' as ratings_disabled, event_type as region
-    from {events} where value < 250
+    from {events}
 """
 _UNION_SQL = f"""
     select * exclude (source_time), source_time from (
         select * from ({LIVE_ROWS_SQL})
         union all by name
         select *, {RATES_SQL}, cast(null as timestamp) as source_time from (
-            select cast(user_id as varchar) as video_id, strftime(ts, '%y.%d.%m') as trending_date, 'old' as title,
+            select cast(user_id + event_id % 2 as varchar) as video_id, strftime(ts, '%y.%d.%m') as trending_date, 'old' as title,
                    event_type as channel_title, cast(null as bigint) as category_id,
                    cast(null as varchar) as publish_time, cast(null as varchar) as tags,
                    event_id * 1000 as views, cast(1 as bigint) as likes, cast(2 as bigint) as dislikes,
                    cast(3 as bigint) as comment_count, false as comments_disabled, false as ratings_disabled,
                    event_type as region, cast(ts as date) as trending_date_parsed
-            from events where value < 250
+            from events
         )
     )
 """
 
-_RAW_REFERENCE = f"""
+RAW_REFERENCE = f"""
     select case when event_type = 'error' then 'x1' else get_json_object(props, '$.k') end as category_id,
            concat(event_type, cast(event_id as string)) as category_name,
            concat(' R', cast(user_id as string)) as region,
@@ -229,7 +229,7 @@ QUERIES = {
     "dedup_live": lambda s, d: rows_out(dedup.latest_statistics(
         cleanse.cleanse_live(over(s, d, RAW_LIVE, "events"), "live"))),
     "union_silver": _union,
-    "silver_reference_clean": lambda s, d: clean_reference(over(s, d, _RAW_REFERENCE, "events")).drop("_processed_at"),
+    "silver_reference_clean": lambda s, d: clean_reference(over(s, d, RAW_REFERENCE, "events")).drop("_processed_at"),
 }
 
 SQL = {
