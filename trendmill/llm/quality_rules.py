@@ -61,9 +61,9 @@ def js_divergence(p: list[Column], q: list[Column]) -> Column:
     return reduce(add, (term(a, b) + term(b, a) for a, b in zip(p, q, strict=True))) / 2
 
 
-def _per_language(lang: str, values: dict) -> Column:
+def _per_language(lang: Column, values: dict) -> Column:
     """The value of a row's language; null for a language without a reference."""
-    return reduce(lambda rest, item: F.when(F.col(lang) == item[0], F.lit(item[1])).otherwise(rest),
+    return reduce(lambda rest, item: F.when(lang == item[0], F.lit(item[1])).otherwise(rest),
                   values.items(), F.lit(None))
 
 
@@ -106,61 +106,72 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang", into: str =
     ``into`` is replaced.
     """
     rest = [c for c in docs.columns if c.lower() != into.lower()]
-    row, t, lg, w, chars, other = free_names([into], "row", "t", "lg", "w", "chars", "other")
-    base = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in rest]).alias(row),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(t),
-        F.col(f"`{lang}`").alias(lg),
-    )
-    split = base.withColumn(w, F.filter(F.split(t, SPACE), lambda x: x != "")) \
-        .withColumn(chars, F.regexp_replace(t, SPACE, ""))
-    # Lower-case letters are nine tenths of most texts: once they are gone, the other counts are cheap.
-    split = split.withColumn(other, F.regexp_replace(chars, f"[{CLASSES['lower']}]+", ""))
-    lines = F.filter(F.split(t, "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
-    n_dup = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-
-    def without(source: str, ranges: str) -> Column:
-        return (F.length(source) - F.length(F.regexp_replace(source, f"[{ranges}]+", ""))).cast("double")
-
-    judged_words = (F.size(w) >= MIN_JUDGED_WORDS) & F.col(lg).isin(*WORD_REFERENCE)
-    listed = _per_language(lg, {k: list(v) for k, v in WORD_REFERENCE.items()})
-    places = F.when(judged_words, let(listed, lambda known: F.filter(
-        F.transform(w, lambda x: F.array_position(known, F.lower(F.btrim(x, F.lit(EDGES))))), lambda at: at > 0)))
-    counted = split.select(
-        row, lg,
-        F.size(w).cast("long").alias("n_words"),
-        F.length(chars).cast("long").alias("word_chars"),
-        (F.length(other) - F.length(F.regexp_replace(other, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        n_dup.alias("n_dup_lines"),
-        repeated_words(F.col(w)).alias("n_repeat_words"),
-        *[without(chars if name == "lower" else other, ranges).alias(f"c_{name}") for name, ranges in CLASSES.items()],
-        places.alias("places"),
-    )
+    # One expression with every step bound to a name: as a chain of columns, a filter on the verdict would be pushed down
+    # through it and repeat each step for each use.
+    judged = let(F.coalesce(F.col(f"`{text}`"), F.lit("")), lambda t: let(
+        _counts(t, F.col(f"`{lang}`")), lambda m: _verdict(m, F.col(f"`{lang}`"))))
+    return docs.select(*[F.col(f"`{c}`") for c in rest], judged.alias(into))
+
+
+def _counts(t: Column, lang: Column) -> Column:
+    """The counts of one text, as a struct."""
+    def lines(t: Column) -> Column:
+        worded = F.filter(F.split(t, "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
+        return let(worded, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+
+    def without(source: Column, ranges: str) -> Column:
+        return F.length(source) - F.length(F.regexp_replace(source, f"[{ranges}]+", ""))
+
+    def characters(chars: Column) -> Column:
+        # Lower-case letters are nine tenths of most texts: once they are gone, the other counts are cheap.
+        return let(F.regexp_replace(chars, f"[{CLASSES['lower']}]+", ""), lambda other: F.struct(
+            F.length(chars).cast("long").alias("all"),
+            (F.length(other) - F.length(F.regexp_replace(other, SYMBOLS, ""))).cast("long").alias("symbols"),
+            (F.length(chars) - F.length(other)).cast("double").alias("lower"),
+            *[without(other, ranges).cast("double").alias(name) for name, ranges in CLASSES.items() if name != "lower"]))
+
+    def common(w: Column) -> Column:
+        listed = _per_language(lang, {k: list(v) for k, v in WORD_REFERENCE.items()})
+        places = let(listed, lambda known: F.filter(
+            F.transform(w, lambda x: F.array_position(known, F.lower(F.btrim(x, F.lit(EDGES))))), lambda at: at > 0))
+        return F.when((F.size(w) >= MIN_JUDGED_WORDS) & lang.isin(*WORD_REFERENCE), places)
+
+    return let(F.filter(F.split(t, SPACE), lambda x: x != ""), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), lines(t).alias("n_dup_lines"),
+        repeated_words(w).alias("n_repeat_words"), common(w).alias("places"),
+        let(F.regexp_replace(t, SPACE, ""), characters).alias("chars")))
+
+
+def _verdict(m: Column, lang: Column) -> Column:
+    """The result struct from the counts ``m``."""
+    chars, n_words, places = m["chars"], m["n_words"], m["places"]
     n_common = len(next(iter(WORD_REFERENCE.values())))
-    shares = [F.col(f"c_{name}") / F.col("word_chars") for name in CLASSES]
-    shares.append((F.col("word_chars") - reduce(add, (F.col(f"c_{name}") for name in CLASSES))) / F.col("word_chars"))
-    expected = [_per_language(lg, {k: v[i] for k, v in CLASS_REFERENCE.items()}) for i in range(len(CLASS_NAMES))]
-    word_shares = [F.size(F.filter("places", lambda at, i=i: at == i + 1)) / F.col("n_words") for i in range(n_common)]
-    word_shares.append((F.col("n_words") - F.size("places")) / F.col("n_words"))
-    word_expected = [_per_language(lg, {k: list(v.values())[i] for k, v in WORD_REFERENCE.items()})
+    shares = [chars[name] / chars["all"] for name in CLASSES]
+    shares.append((chars["all"] - reduce(add, (chars[name] for name in CLASSES))) / chars["all"])
+    expected = [_per_language(lang, {k: v[i] for k, v in CLASS_REFERENCE.items()}) for i in range(len(CLASS_NAMES))]
+    word_shares = [F.size(F.filter(places, lambda at, i=i: at == i + 1)) / n_words for i in range(n_common)]
+    word_shares.append((n_words - F.size(places)) / n_words)
+    word_expected = [_per_language(lang, {k: list(v.values())[i] for k, v in WORD_REFERENCE.items()})
                      for i in range(n_common)]
-    word_expected.append(_per_language(lg, {k: 1 - sum(v.values()) for k, v in WORD_REFERENCE.items()}))
-    judged = counted.select(
-        row, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.when((F.col("word_chars") >= MIN_JUDGED_CHARS) & F.col(lg).isin(*CLASS_REFERENCE),
-               js_divergence(shares, expected)).alias("class_divergence"),
-        F.when(F.col("places").isNotNull(), js_divergence(word_shares, word_expected)).alias("word_divergence"),
-        ((F.col("n_words") < MIN_WORDS)
-         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
-    )
-    kept = (~F.col("base_failed")
-            & (F.coalesce("class_divergence", F.lit(0.0)) <= MAX_CLASS_DIVERGENCE)
-            & (F.coalesce("word_divergence", F.lit(0.0)) <= MAX_WORD_DIVERGENCE))
-    fields = [c for c in judged.columns if c != row]
-    return judged.select(
-        *[F.col(row)[c].alias(c) for c in rest],
-        F.struct(*fields, kept.alias("kept")).alias(into),
-    )
+    word_expected.append(_per_language(lang, {k: 1 - sum(v.values()) for k, v in WORD_REFERENCE.items()}))
+    of_chars = F.when((chars["all"] >= MIN_JUDGED_CHARS) & lang.isin(*CLASS_REFERENCE),
+                      _divergence_of(shares, expected))
+    of_words = F.when(places.isNotNull(), _divergence_of(word_shares, word_expected))
+    failed = (n_words < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * n_words)
+    judged = F.struct(failed.alias("base_failed"), of_chars.alias("of_chars"), of_words.alias("of_words"))
+    return let(judged, lambda v: F.struct(
+        n_words.alias("n_words"), chars["all"].alias("word_chars"), chars["symbols"].alias("n_symbols"),
+        m["n_dup_lines"].alias("n_dup_lines"), m["n_repeat_words"].alias("n_repeat_words"),
+        v["of_chars"].alias("class_divergence"), v["of_words"].alias("word_divergence"),
+        v["base_failed"].alias("base_failed"),
+        (~v["base_failed"] & (F.coalesce(v["of_chars"], F.lit(0.0)) <= MAX_CLASS_DIVERGENCE)
+         & (F.coalesce(v["of_words"], F.lit(0.0)) <= MAX_WORD_DIVERGENCE)).alias("kept")))
+
+
+def _divergence_of(p: list[Column], q: list[Column]) -> Column:
+    """js_divergence with every share worked out once."""
+    values = F.struct(*[x.alias(f"p{i}") for i, x in enumerate(p)], *[x.alias(f"q{i}") for i, x in enumerate(q)])
+    return let(values, lambda s: js_divergence([s[f"p{i}"] for i in range(len(p))], [s[f"q{i}"] for i in range(len(q))]))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
