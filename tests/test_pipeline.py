@@ -245,3 +245,91 @@ def test_fresh_silver_passes_with_default_clock(spark, layout, tmp_path):
     run_backfill(spark, write_files(tmp_path / "csv", {"region=US/a.csv": US, "region=gb/b.csv": GB}), layout)
     result, found = check_silver(spark, layout, Rules(min_rows=1), tables=("clean_statistics",))
     assert result.quality_passed, json.dumps([r.message for r in found.collect()])
+
+
+# --- tables that stay whole ---------------------------------------------------------------------------
+
+
+def test_two_feeds_with_checkpoints_of_their_own(spark, layout, tmp_path):
+    for name in ("a", "b"):
+        feed(tmp_path / name, name, row(name, 1))
+        run_live(spark, str(tmp_path / name), layout, str(tmp_path / f"state-{name}"))
+    assert silver(spark, layout) == [("us", "a", 1), ("us", "b", 1)]
+    shutil.rmtree(tmp_path / "a/region=us/date=2024-05-01/hour=10")  # the old file is gone, and so is the checkpoint
+    feed(tmp_path / "a", "c", row("c", 3), hour="11")
+    run_live(spark, str(tmp_path / "a"), layout, str(tmp_path / "state-new"))
+    assert silver(spark, layout) == [("us", "a", 1), ("us", "b", 1), ("us", "c", 3)]
+
+
+def test_failing_full_write_leaves_the_old_rows(spark, layout, tmp_path):
+    feed(tmp_path / "live", "a", row("a", 1), row("b", 2, "2024-06-01T00:00:00+00:00"))
+    run_live(spark, str(tmp_path / "live"), layout, str(tmp_path / "state"))
+    want = silver(spark, layout)
+    bad = spark.table(layout.statistics).limit(0).unionByName(
+        spark.createDataFrame([("x", "us", "2024-05")], "video_id string, region string, trending_month string"),
+        allowMissingColumns=True).withColumn("title", F.raise_error(F.lit("half way")).cast("string"))
+    with pytest.raises(Exception, match="half way"):
+        tables.write_full(bad, layout.statistics, layout.path("clean_statistics"), tables.SILVER_PARTITIONS)
+    assert silver(spark, layout) == want
+    feed(tmp_path / "live", "c", row("c", 3, "2024-07-01T00:00:00+00:00"), hour="11")
+    run_live(spark, str(tmp_path / "live"), layout, str(tmp_path / "state"))
+    assert silver(spark, layout) == [*want, ("us", "c", 3)]
+
+
+@pytest.mark.parametrize("lost", ["statistics", "landing"])
+def test_lost_catalog_entry_loses_no_rows(spark, layout, tmp_path, lost):
+    feed(tmp_path / "live", "a", row("a", 1), row("b", 2, "2024-06-01T00:00:00+00:00"), row("n", 3, "never"))
+    run_live(spark, str(tmp_path / "live"), layout, str(tmp_path / "state"))
+    spark.sql(f"DROP TABLE {getattr(layout, lost)}")
+    feed(tmp_path / "live", "c", row("c", 3, "2024-06-02T00:00:00+00:00"), hour="11")
+    run_live(spark, str(tmp_path / "live"), layout, str(tmp_path / "state"))
+    assert silver(spark, layout) == [("us", "a", 1), ("us", "b", 2), ("us", "c", 3), ("us", "n", 3)]
+
+
+def test_backfill_replaces_the_rows_of_its_regions(spark, layout, tmp_path):
+    head = "video_id,trending_date,title,channel_title,views\n"
+    def load(us, gb, regions):  # noqa: E306
+        path = write_files(tmp_path / f"csv{us}{gb}", {
+            "region=us/a.csv": f"{head}v,24.01.05,t,c,{us}\n", "region=gb/b.csv": f"{head}v,24.01.05,t,c,{gb}\n"})
+        return run_backfill(spark, path, layout, regions)
+    load(500, 600, "all")
+    assert silver(spark, layout) == [("gb", "v", 600), ("us", "v", 500)]
+    load(100, 1, "us")  # corrected downward; gb is not asked for
+    assert silver(spark, layout) == [("gb", "v", 600), ("us", "v", 100)]
+    path = write_files(tmp_path / "gone", {"region=us/a.csv": head, "region=gb/b.csv": f"{head}v,24.01.05,t,c,7\n"})
+    run_backfill(spark, path, layout)
+    assert silver(spark, layout) == [("gb", "v", 7)]
+
+
+def test_landing_has_few_files_and_old_months_are_not_opened(spark, layout, tmp_path):
+    import datetime
+
+    rows = spark.range(0, 4000, 1, 16).selectExpr(
+        "cast(id as string) as video_id", "'us' as region", "id as views",
+        "date_add(date'2024-01-01', cast(id % 60 as int)) as trending_date_parsed")
+    n, changed = tables.land(rows, layout, "f", 0)
+    assert (n, changed) == (4000, [("us", "2024-01"), ("us", "2024-02")])
+    files = list((tmp_path / "tables/landing/statistics").rglob("*.parquet"))
+    assert len(files) <= 4
+    tables.rebuild(spark, layout, changed)
+    for file in files:
+        file.write_bytes(b"damaged")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    late = rows.limit(5).withColumn("trending_date_parsed", F.lit(datetime.date(2024, 9, 1)))
+    _, changed = tables.land(late, layout, "f", 1)
+    tables.rebuild(spark, layout, changed)
+    assert spark.table(layout.statistics).count() == 4005
+
+
+def test_damaged_table_fails_its_own_check_only(spark, layout, tmp_path):
+    tables.write_full(stats(spark), layout.statistics, layout.path("clean_statistics"))
+    tables.write_full(stats(spark).select("region", F.lit(1).alias("category_id")), layout.reference,
+                      layout.path("clean_reference_data"))
+    for file in (tmp_path / "tables/clean_reference_data").rglob("*.parquet"):
+        file.write_bytes(b"damaged")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    spark.catalog.refreshTable(layout.reference)
+    result, found = check_silver(spark, layout)
+    assert not result.quality_passed
+    assert [(r.check, r.passed) for r in found.filter("table = 'clean_reference_data'").collect()] == [("read_table", False)]
+    assert found.filter("table = 'clean_statistics'").count() > 4
