@@ -74,3 +74,27 @@ def test_other_header_fails(spark, tmp_path):
     path = write_files(tmp_path, {"region=us/a.csv": "video_id,views\na,1\n", "region=us/b.csv": "views,video_id\n2,b\n"})
     with pytest.raises(Exception, match="another header"):
         read_backfill(spark, path, split_files=True).collect()
+
+
+@pytest.mark.parametrize("text", [
+    ",video_id,views\n0,a,1\n1,b,2\n",            # an index column without a name
+    "video_id,views,views\na,1,10\nb,2,20\n",     # a repeated name
+    "\n\nvideo_id,views\na,1\nb,2\n",             # blank lines before the header
+    "video_id,views\na\nb,2,3\n\nc,3\n",          # short and long rows, a blank line
+])
+@pytest.mark.parametrize("size", [9, 1 << 20])
+def test_both_readers_agree_on_odd_files(spark, tmp_path, tiny_splits, text, size):
+    path = write_files(tmp_path, {"region=us/a.csv": text, "region=gb/b.csv": text})
+    want = read_backfill(spark, path)
+    rows = _rows(want, want.columns)
+    assert {r[want.columns.index("video_id")] for r in rows} >= {"a", "b"}
+    tiny_splits(size)
+    pieces = read_backfill(spark, path, split_files=True)
+    assert pieces.columns == want.columns and _rows(pieces, want.columns) == rows
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_other_unnamed_header_fails(spark, tmp_path, split):
+    path = write_files(tmp_path, {"region=us/a.csv": ",video_id,views\n0,a,1\n", "region=us/b.csv": ",views,video_id\n0,2,b\n"})
+    with pytest.raises(Exception, match="header"):
+        read_backfill(spark, path, split_files=split).collect()

@@ -26,6 +26,17 @@ def region_from_path(df: DataFrame) -> DataFrame:
     return df.withColumn("region", F.regexp_extract(F.col("_metadata.file_path"), r"region=([^/]+)/", 1))
 
 
+def _need_one_header(spark: SparkSession, path: str) -> None:
+    """Fail unless all files begin with the same line. Spark's own check does not know renamed columns."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("at"))
+    firsts = lines.filter(F.col("value").rlike(r"\S")).groupBy("file").agg(F.min_by("value", "at").alias("top"))
+    top = F.regexp_replace(F.regexp_replace("top", r"\r\z", ""), r"^\x{FEFF}", "")
+    if firsts.select(top).distinct().limit(2).count() > 1:
+        raise ValueError(f"the files below {path} have different headers")
+
+
 def read_backfill(
     spark: SparkSession, path: str, multi_line: bool = True, keep_corrupt: bool = False, split_files: bool = False
 ) -> DataFrame:
@@ -48,13 +59,19 @@ def read_backfill(
         if error.getCondition() in NOTHING_THERE:
             return spark.createDataFrame([], all_strings((*BACKFILL_COLUMNS, "region")))
         raise
+    # Spark renames columns without a name and repeated names; files are compared by what they really say.
+    top = spark.read.options(**{**options, "header": "false"}, recursiveFileLookup="true").csv(path).first()
+    raw = [] if top is None else list(top)
     if split_files:
-        return read_in_pieces(spark, path, header, keep_corrupt)
+        return read_in_pieces(spark, path, header, keep_corrupt, raw)
     in_path = [name for name in found if name not in header]
     fields = all_strings([*header, *in_path]).fields
     if keep_corrupt:
         fields = [*fields, T.StructField(CORRUPT, T.StringType(), True)]
-    reader = spark.read.options(**options, enforceSchema="false", columnNameOfCorruptRecord=CORRUPT)
+    renamed = raw != header
+    if renamed:
+        _need_one_header(spark, path)
+    reader = spark.read.options(**options, enforceSchema=str(renamed).lower(), columnNameOfCorruptRecord=CORRUPT)
     return region_from_path(reader.schema(T.StructType(fields)).csv(path))
 
 

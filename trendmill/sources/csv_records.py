@@ -44,8 +44,11 @@ def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = len(texts)
         first = np.zeros(count, dtype=bool)
         if role != REST:
-            first[0] = split[2] == 0 and records == 0
-            records += count
+            # Blank lines are no records: the first of a file is the first that says something.
+            said = np.array([bool(str(t).strip("\r\ufeff")) for t in texts]) if split[2] == 0 and not records else None
+            if said is not None and said.any():
+                first[int(np.argmax(said))] = True
+                records += count
         columns = [pa.array([value] * count, kind_) for value, kind_ in zip(split, (pa.string(), pa.string(), pa.int64()))]
         columns += [pa.array([role] * count, pa.int32()), pa.array(first), pa.array(texts, pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["file", "region", "block", "role", "first", "text"])
@@ -134,8 +137,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("file", "region", "first", "text").unionByName(joined.drop("record"))
 
 
-def read_in_pieces(spark: SparkSession, path: str, header: list[str], keep_corrupt: bool) -> DataFrame:
-    """Columns of the header (as text) and region. Every file has to start with that header."""
+def read_in_pieces(
+    spark: SparkSession, path: str, header: list[str], keep_corrupt: bool, raw: list[str | None] | None = None
+) -> DataFrame:
+    """Columns of the header (as text) and region. Every file has to start with that header.
+
+    ``raw`` is what the files say where ``header`` had to be made unique: null for no name, or a repeated name.
+    """
     schema = ", ".join(f"`{name}` string" for name in [*header, CORRUPT])
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
                "multiLine": "true"}
@@ -145,8 +153,8 @@ def read_in_pieces(spark: SparkSession, path: str, header: list[str], keep_corru
     checked = F.when(F.col("text").rlike(_RECORD), F.col("text")).otherwise(irregular.cast("string"))
     rows = records.withColumn("row", F.from_csv(checked, schema, options))
     same = F.lit(True)
-    for name in header:
-        same = same & F.col("row")[name].eqNullSafe(F.lit(name))
+    for name, said in zip(header, raw or header):
+        same = same & F.col("row")[name].eqNullSafe(F.lit(said))
     other = F.raise_error(F.concat(F.lit("another header in "), F.col("file")))
     rows = rows.filter(F.when(~F.col("first"), F.lit(True)).when(same, F.lit(False)).otherwise(other.cast("boolean")))
     names = [*header, CORRUPT] if keep_corrupt else header
