@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trendmill.operators.cleanse import cleanse_backfill, cleanse_live
+from trendmill.operators.dedup import latest_statistics
 from trendmill.operators.quality import Rules
 from trendmill.plans.pipeline import (
-    build_gold_if_clean, check_silver, run_backfill, run_ingest, run_reference,
+    build_gold_if_clean, check_silver, run_backfill, run_ingest, run_live_cycle, run_reference,
 )
 from trendmill.session import fresh_path
+from trendmill.sources.bronze_json import read_live
 from trendmill.sources.tables import overwrite_partitions, write_full
 from trendmill.streaming.live import run_live
 from trendmill.workload import silver_cases
@@ -82,6 +85,32 @@ def _reference_job(spark, sf_dir):
     return spark.table(layout.reference).drop("_processed_at")
 
 
+def _cycle(spark, sf_dir):
+    """One scheduled run over all events: feed, names, gate and Gold; the gate has to pass."""
+    layout, live, names = fresh_layout(spark), fresh_path(spark, "live"), fresh_path(spark, "reference")
+    over(spark, sf_dir, RAW_LIVE, "events").write.partitionBy("region").json(live)
+    over(spark, sf_dir, silver_cases.RAW_REFERENCE, "events").write.json(names)
+    result = run_live_cycle(spark, live, names, layout, fresh_path(spark, "stream"), Rules(max_null_pct=100.0))
+    if not result.quality_passed or not spark.catalog.tableExists(layout.table("trending_analytics")):
+        raise AssertionError("Gold was not built")
+    return _silver_rows(spark, layout)
+
+
+def _with_missing_folders(spark, sf_dir):
+    """A feed whose other source has no folder yet: it adds no rows and no error."""
+    there = fresh_path(spark, "live")
+    over(spark, sf_dir, RAW_LIVE, "events").write.partitionBy("region").json(there)
+    rows = read_live(spark, there).unionByName(read_live(spark, fresh_path(spark, "nothing")))
+    return silver_cases.rows_out(latest_statistics(cleanse_live(rows, "live")))
+
+
+def _provenance(spark, sf_dir):
+    """Rows by the job that made them, and how many have no time of processing."""
+    rows = cleanse_backfill(over(spark, sf_dir, RAW_BACKFILL, "lineitem"), "history job")
+    return latest_statistics(rows).groupBy("_job_name").agg(
+        F.count("*").alias("n"), F.count_if(F.col("_processed_at").isNull()).alias("untimed"))
+
+
 def _publish(spark, sf_dir, good_titles: bool):
     layout = fresh_layout(spark)
     title = F.when(F.lit(good_titles) | (F.col("views") > 0), F.col("channel_title"))
@@ -124,6 +153,9 @@ def _published_table(name, *left_out):
 
 
 QUERIES = {
+    "live_cycle": _cycle,
+    "empty_input": _with_missing_folders,
+    "provenance": _provenance,
     "live_two_feeds": _live_two_feeds,
     "silver_replay": _replay,
     "dq_unreadable": _unreadable,
@@ -138,6 +170,12 @@ QUERIES = {
 }
 
 SQL = {
+    "live_cycle": silver_cases.SQL["dedup_live"],
+    "empty_input": silver_cases.SQL["dedup_live"],
+    "provenance": f"""
+        select 'history job' as _job_name, count(*) as n, cast(0 as bigint) as untimed
+        from ({silver_cases.SQL["backfill_silver"]})
+    """,
     "live_two_feeds": silver_cases.SQL["dedup_live"],
     "silver_replay": silver_cases.SQL["dedup_live"],
     "dq_unreadable": f"""
