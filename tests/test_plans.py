@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from trendmill.operators import gold
 from trendmill.operators.reference import measured_lookup
 from trendmill.plans import reports
-from trendmill.session import initial_partitions
+from trendmill.session import folder_bytes, initial_partitions
 from trendmill.sources.tables import write_full
 
 
@@ -69,5 +69,18 @@ def test_large_lookup_is_joined_by_shuffle(spark, stats, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_job_sizes_its_shuffles_by_its_input(spark, layout, stats, monkeypatch):
+    from trendmill.plans import pipeline
+
+    key, seen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", []
+    monkeypatch.setattr(pipeline, "folder_bytes", lambda *_: 10**11)
+    monkeypatch.setattr(pipeline, "write_full", lambda *_: seen.append(spark.conf.get(key)))
+    before = spark.conf.get(key, None)
+    pipeline.build_gold(spark, layout)
+    assert seen == ["373"] * 3 and spark.conf.get(key, None) == before
+    assert folder_bytes(spark, layout.path("clean_statistics")) > 1000
+    assert folder_bytes(spark, layout.path("nothing")) == 0
+
+
 def test_partitions_grow_with_the_input():
     assert [initial_partitions(n) for n in (0, 10**9, 10**12, 10**14)] == [200, 200, 3726, 372_530]

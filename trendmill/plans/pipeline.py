@@ -15,7 +15,7 @@ from trendmill.operators.cleanse import cleanse_backfill
 from trendmill.operators.flatten import DEFAULT_SOURCE, flatten_categories, flatten_videos, payload_summary
 from trendmill.operators.quality import Rules, check_tables, verdict
 from trendmill.operators.reference import clean_reference, measured_lookup
-from trendmill.session import use_job_settings
+from trendmill.session import folder_bytes, sized_shuffles, use_job_settings
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
 from trendmill.sources.tables import (
@@ -60,9 +60,11 @@ def run_backfill(
     raw = counted(read_backfill(spark, csv_path, multi_line, split_files=split_files), read)
     wanted = fn.region_codes(regions)
     within = None if wanted is None else F.col("region").isin(wanted)
-    landed, changed = land(cleanse_backfill(raw, job_name, regions), layout, BACKFILL_JOB, 0, within)
+    with sized_shuffles(spark, folder_bytes(spark, csv_path)):
+        landed, changed = land(cleanse_backfill(raw, job_name, regions), layout, BACKFILL_JOB, 0, within)
     if changed:
-        rebuild(spark, layout, changed)
+        with sized_shuffles(spark, folder_bytes(spark, layout.path("landing/statistics"))):
+            rebuild(spark, layout, changed)
     return {"rows_read": read.get["rows"], "rows_landed": landed}
 
 
@@ -98,7 +100,8 @@ def build_gold(spark: SparkSession, layout: Layout) -> None:
         write_full(gold.stamp_aggregated(builds[name]()), layout.table(name), layout.path(name))
 
     # The builds share one session; each write wants the same mode.
-    with overwrite_mode(spark, "dynamic"), ThreadPoolExecutor(len(builds)) as pool:
+    size = folder_bytes(spark, layout.path("clean_statistics"))
+    with overwrite_mode(spark, "dynamic"), sized_shuffles(spark, size), ThreadPoolExecutor(len(builds)) as pool:
         list(pool.map(build, builds))
 
 

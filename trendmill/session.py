@@ -6,8 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 SESSION_CONF = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -47,6 +50,36 @@ def build_session(
     return builder.getOrCreate()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder, from their listing; 0 if there is none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        return files.load(path).agg(F.sum("length")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Start the shuffles of a job with enough partitions for its input, never with fewer than the session has.
+
+    Adaptive execution merges small partitions, but it does not add any for aggregates and windows.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    least = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(key, str(max(least, -(-input_bytes // _PARTITION_BYTES))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def use_job_settings(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session somebody else built.
 
