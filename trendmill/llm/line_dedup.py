@@ -64,7 +64,7 @@ def remove_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "do
     """
     rest = [c for c in docs.columns if c.lower() != into.lower()]
     row, cuts = free_names([*rest, into], "row", "cuts")
-    source = stage(numbered(docs.select(*[F.col(f"`{c}`") for c in rest]), row), "numbered")
+    source = stage(numbered(docs.select(*[F.col(f"`{c}`") for c in rest]), row), "numbered", "zstd")
     found = repeated_lines(source, row, text, doc_id, min_words).select(
         F.col("row").alias(row), F.col("cuts").alias(cuts))
     joined = source.join(found, row, "left").drop(row)

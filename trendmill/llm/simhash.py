@@ -231,7 +231,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     Among rows of that doc_id one stays; a class in which every doc_id is null keeps one row as well.
     """
     row, print_ = free_names(docs.columns, "row", "fingerprint")
-    source = stage(numbered(docs, row), "numbered")
+    source = stage(numbered(docs, row), "numbered", "zstd")
     prints = stage(with_fingerprints(source.select(
         F.col(row).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))), "prints")
     kept = prints.join(classes(prints), "fingerprint").groupBy("root").agg(
