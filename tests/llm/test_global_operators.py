@@ -329,3 +329,58 @@ def test_pipeline_of_nothing(spark, clashing, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/odd").count() == 0
     clashing.withColumn("text", F.lit(prose(300))).write.parquet(f"{tmp_path}/same/documents.parquet")
     assert [r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/same").collect()] == [7]
+
+
+# --- near copies -----------------------------------------------------------------------------------------------------
+
+def brute_sets(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def brute_near(rows):
+    """Smallest doc_id of every class of texts connected by Jaccard >= 0.8, and the similarities of linked pairs."""
+    sets = [brute_sets(t) for _, t in rows]
+    label, found = list(range(len(rows))), []
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                found.append(both / (len(sets[i]) + len(sets[j]) - both))
+                label = [label[j] if x == label[i] else x for x in label]
+    low = {}
+    for (d, _), x in zip(rows, label):
+        low[x] = min(d, low.get(x, d))
+    return sorted(low.values()), found
+
+
+def test_planted_near_copies_of_080_to_095_leave_one(documents):
+    from trendmill.llm import near_copies
+
+    rng = random.Random(9)
+    rows = []
+    for base in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append((2 * base, " ".join(words)))
+        for at in rng.sample(range(5, 295), rng.randint(3, 8)):
+            words[at] = "edited"
+        rows.append((2 * base + 1, " ".join(words).upper()))
+    # A hub whose copies are near it, or only near one another, and a chain that no single centre reaches.
+    chain = [f"c{i}" for i in range(400)]
+    rows += [(200 + k, " ".join(chain[k * 15:k * 15 + 200])) for k in range(10)]
+    want, found = brute_near(rows)
+    assert sum(s < 0.95 for s in found) > 20 and len(want) < 60
+    assert sorted(r.doc_id for r in near_copies.keep_one(documents(rows)).collect()) == want
+    prints = [simhash.fingerprint(t) for _, t in rows]
+    near = [bin(prints[2 * i] ^ prints[2 * i + 1]).count("1") <= 3 for i in range(40)]
+    assert sum(near) < 20  # three bits would miss them
+
+
+def test_near_copies_of_odd_rows(clashing):
+    from trendmill.llm import near_copies
+
+    kept = near_copies.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    texts = [tuple(sorted(brute_sets(r.text))) for r in clashing.collect()]
+    assert kept.count() == len(set(texts))
+    assert near_copies.keep_one(clashing.limit(0)).count() == 0

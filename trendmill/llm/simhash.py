@@ -29,6 +29,19 @@ _ROWS_AT_ONCE = 256
 _HASHES_AT_ONCE = 65_536
 
 
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The hash of every run of ``shingle`` words; a shorter text is one run."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    joined = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
+    if len(words) <= shingle:
+        return np.array([digest(joined, seed)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    starts, ends = starts[:len(words) - shingle + 1], ends[shingle - 1:]
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """64 bits; a bit is set if it is set in over half of the shingles' hashes. No words: 0."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
