@@ -52,11 +52,6 @@ def test_has_text(spark):
         True, True, False, False, False, False, False, False]
 
 
-def test_region_list():
-    assert fn.region_codes(" US, gb ,,") == ["us", "gb"]
-    assert fn.region_codes(" ALL ") is None
-
-
 def test_rates(spark):
     rows = spark.createDataFrame([(5, 0, 10, 1000), (7, 0, 1, 0), (1, 0, 0, 500), (45, 0, 0, 80000)],
                                  "l long, d long, c long, v long")

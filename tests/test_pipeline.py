@@ -10,7 +10,8 @@ from trendmill.operators.quality import Rules, check_table, check_tables, verdic
 from trendmill.plans.pipeline import (
     build_gold_if_clean, check_silver, run_backfill, run_ingest, run_live_cycle, run_reference,
 )
-from trendmill.sources import tables
+from trendmill.plans import pipeline
+from trendmill.sources import landing, ledger, published, tables
 from trendmill.streaming.live import run_live
 
 from test_sources import GB, JAN, NOV, US, line, write_files
@@ -87,7 +88,7 @@ def test_replay_restores_a_lost_partition(spark, layout, tmp_path):
     spark.catalog.refreshTable(layout.statistics)
     untouched = tmp_path / "tables/clean_statistics/region=us/trending_month=2024-05"
     files = sorted(p.name for p in untouched.iterdir())
-    tables.rebuild(spark, layout, [("us", "2024-06")])
+    landing.rebuild(spark, layout, [("us", "2024-06")])
     assert silver(spark, layout) == want
     assert sorted(p.name for p in untouched.iterdir()) == files
 
@@ -113,7 +114,7 @@ def test_row_count(spark):
 def test_null_percentage(spark):
     five, six = (checks(stats(spark, 100, n))["null_pct", "title"] for n in (5, 6))
     assert (five.passed, five.value, six.passed, six.value) == (True, 5.0, False, 6.0)
-    assert six.message == "title null 6.00% (max 5.0%)"
+    assert six.message == "6.00 % of title are empty, 5.0 % allowed"
     assert checks(stats(spark, 0))["null_pct", "title"].value == 0.0
 
 
@@ -269,7 +270,7 @@ def test_failing_full_write_leaves_the_old_rows(spark, layout, tmp_path):
         spark.createDataFrame([("x", "us", "2024-05")], "video_id string, region string, trending_month string"),
         allowMissingColumns=True).withColumn("title", F.raise_error(F.lit("half way")).cast("string"))
     with pytest.raises(Exception, match="half way"):
-        tables.write_full(bad, layout.statistics, layout.path("clean_statistics"), tables.SILVER_PARTITIONS)
+        tables.write_full(bad, layout.statistics, layout.path("clean_statistics"), landing.SILVER_PARTITIONS)
     assert silver(spark, layout) == want
     feed(tmp_path / "live", "c", row("c", 3, "2024-07-01T00:00:00+00:00"), hour="11")
     run_live(spark, str(tmp_path / "live"), layout, str(tmp_path / "state"))
@@ -286,19 +287,159 @@ def test_lost_catalog_entry_loses_no_rows(spark, layout, tmp_path, lost):
     assert silver(spark, layout) == [("us", "a", 1), ("us", "b", 2), ("us", "c", 3), ("us", "n", 3)]
 
 
-def test_backfill_replaces_the_rows_of_its_regions(spark, layout, tmp_path):
-    head = "video_id,trending_date,title,channel_title,views\n"
-    def load(us, gb, regions):  # noqa: E306
-        path = write_files(tmp_path / f"csv{us}{gb}", {
-            "region=us/a.csv": f"{head}v,24.01.05,t,c,{us}\n", "region=gb/b.csv": f"{head}v,24.01.05,t,c,{gb}\n"})
-        return run_backfill(spark, path, layout, regions)
-    load(500, 600, "all")
-    assert silver(spark, layout) == [("gb", "v", 600), ("us", "v", 500)]
-    load(100, 1, "us")  # corrected downward; gb is not asked for
+HEAD = "video_id,trending_date,title,channel_title,views\n"
+
+
+def test_backfills_add_up_and_a_corrected_file_replaces_its_own_rows(spark, layout, tmp_path):
+    def load(folder, regions=None, **files):
+        path = write_files(tmp_path / folder, {f"region={r}/{r}.csv": HEAD + rows for r, rows in files.items()})
+        return run_backfill(spark, path, layout, regions)["files_read"]
+
+    assert load("a", us="v,24.05.01,t,c,500\nw,24.05.02,t,c,5\n") == 1
+    assert load("b", gb="v,24.05.01,t,c,600\n", us="v,24.05.01,t,c,100\n") == 2
+    want = [("gb", "v", 600), ("us", "v", 500), ("us", "w", 5)]
+    assert silver(spark, layout) == want
+    assert load("a") == load("b") == 0 and silver(spark, layout) == want
+    # Corrected downward, and w's month is gone; the other folder's row of the same key counts now.
+    assert load("a", us="v,24.05.01,t,c,90\n") == 1
     assert silver(spark, layout) == [("gb", "v", 600), ("us", "v", 100)]
-    path = write_files(tmp_path / "gone", {"region=us/a.csv": head, "region=gb/b.csv": f"{head}v,24.01.05,t,c,7\n"})
+    assert load("b", us="x,24.05.01,t,c,70\n", gb="v,24.05.01,t,c,601\n", regions=["US"]) == 1  # gb is not asked for
+    assert silver(spark, layout) == [("gb", "v", 600), ("us", "v", 90), ("us", "x", 70)]
+    assert load("b", us="") == 2  # no row left; and the gb file is taken now
+    assert silver(spark, layout) == [("gb", "v", 601), ("us", "v", 90)]
+    tables_before = silver(spark, layout)
+    landing.rebuild_all(spark, layout)
+    assert silver(spark, layout) == tables_before
+
+
+def test_a_backfill_that_dies_is_taken_again(spark, layout, tmp_path, monkeypatch):
+    path = write_files(tmp_path / "a", {"region=us/a.csv": HEAD + "v,24.05.01,t,c,1\nw,24.05.03,t,c,1\n"})
+    real = ledger.record
+    monkeypatch.setattr(ledger, "record", lambda *_: (_ for _ in ()).throw(RuntimeError("half way")))
+    with pytest.raises(RuntimeError, match="half way"):
+        run_backfill(spark, path, layout)
+    monkeypatch.setattr(ledger, "record", real)
+    write_files(tmp_path / "a", {"region=us/a.csv": HEAD + "v,24.05.02,t,c,2\n"})
+    run_backfill(spark, path, layout)
+    assert silver(spark, layout) == [("us", "v", 2)]
+    # The file is gone by the time of the next try: what the dead run left goes away.
+    monkeypatch.setattr(ledger, "record", lambda *_: (_ for _ in ()).throw(RuntimeError("half way")))
+    more = write_files(tmp_path / "b", {"region=gb/b.csv": HEAD + "z,24.05.02,t,c,9\n"})
+    with pytest.raises(RuntimeError, match="half way"):
+        run_backfill(spark, more, layout)
+    monkeypatch.setattr(ledger, "record", real)
+    (tmp_path / "b/region=gb/b.csv").unlink()
+    run_backfill(spark, more, layout)
+    assert silver(spark, layout) == [("us", "v", 2)]
+
+
+def test_folding_bounds_the_files_of_a_rebuild(spark, layout, tmp_path):
+    live, state = tmp_path / "live", str(tmp_path / "state")
+    path = write_files(tmp_path / "a", {"region=us/a.csv": HEAD + "a,24.05.01,t,c,500\n"})
     run_backfill(spark, path, layout)
-    assert silver(spark, layout) == [("gb", "v", 7)]
+    for i in range(5):
+        feed(live, f"f{i}", row("a", i, "2024-05-01T10:00:00+00:00"), row(f"b{i}", i), hour=f"1{i}")
+        run_live(spark, str(live), layout, state)
+    want = silver(spark, layout)
+    rebuilt = landing.fold(spark, layout, max_batches=2)
+    assert rebuilt == [("us", "2024-05")]
+    left = [k for k in tables.partition_names(spark, layout.landing) if k[3] == "2024-05"]
+    assert sorted(k[0] == landing.FOLDED for k in left) == [False, True]  # the folded one and the open one
+    files = list((tmp_path / "tables/landing/statistics").rglob("region=us/trending_month=2024-05/*.parquet"))
+    assert len(files) <= 3
+    landing.rebuild_all(spark, layout)
+    assert silver(spark, layout) == want
+    # A closed batch that comes again after all changes nothing.
+    run_live(spark, str(live), layout, str(tmp_path / "another"))
+    assert silver(spark, layout) == want
+    # Corrections reach rows that were folded with others of the same key.
+    for views in (400, 300, 200):
+        write_files(tmp_path / "a", {"region=us/a.csv": HEAD + f"a,24.05.01,t,c,{views}\nk,24.05.01,t,c,{views}\n"})
+        run_backfill(spark, path, layout)
+    other = write_files(tmp_path / "o", {"region=us/o.csv": HEAD + "a,24.05.01,t,c,50\n"})
+    run_backfill(spark, other, layout)
+    assert landing.fold(spark, layout, max_batches=1) == [("us", "2024-01")]
+    write_files(tmp_path / "a", {"region=us/a.csv": HEAD})
+    run_backfill(spark, path, layout)
+    assert [r for r in silver(spark, layout) if r[1] in "ak" and r[2] in (50, 200, 300)] == [("us", "a", 50)]
+
+
+def test_processed_files_move_to_the_archive(spark, layout, tmp_path):
+    live, state, archive = tmp_path / "live", str(tmp_path / "state"), tmp_path / "archive"
+    for i in range(3):
+        feed(live, f"f{i}", row(f"a{i}", i), hour=f"1{i}")
+        run_live(spark, str(live), layout, state, archive=str(archive))
+    left = sorted(p.name for p in live.rglob("*.json"))
+    moved = sorted(p.name for p in archive.rglob("*.json"))
+    assert sorted(left + moved) == ["f0.json", "f1.json", "f2.json"] and len(moved) >= 1
+    want = silver(spark, layout)
+    spark.sql(f"DROP TABLE {layout.statistics}")
+    shutil.rmtree(tmp_path / "tables/clean_statistics")
+    run_live(spark, f"{archive}{live}", layout, str(tmp_path / "again"))
+    assert silver(spark, layout) == want
+
+
+# --- publishing -------------------------------------------------------------------------------------
+
+
+def gold_inputs(spark, layout, n):
+    rows = stats(spark, n, extra=["date'2024-05-01' as trending_date_parsed", "id as category_id", "1L as likes",
+                                  "0L as comment_count", "1.0D as like_ratio", "1.0D as engagement_rate"])
+    rows = rows.withColumn("region", F.when(F.col("video_id") % 2 == 0, F.lit("us")).otherwise(F.lit("gb")))
+    tables.write_full(rows, layout.statistics, layout.path("clean_statistics"))
+
+
+def totals(spark, layout):
+    return {name: spark.table(layout.table(f"{name}_analytics")).agg(F.sum("total_views")).first()[0]
+            for name in ("trending", "channel", "category")}
+
+
+@pytest.mark.parametrize("dies", ["write_version", "point_to"])
+def test_a_build_that_dies_changes_nothing_for_readers(spark, layout, monkeypatch, dies):
+    gold_inputs(spark, layout, 20)
+    pipeline.build_gold(spark, layout)
+    old = totals(spark, layout)
+    gold_inputs(spark, layout, 30)
+    real = getattr(pipeline, dies)
+
+    def die(*args):
+        if dies == "write_version" and "category" not in args[1]:
+            return real(*args)
+        raise RuntimeError("before the switch")
+
+    monkeypatch.setattr(pipeline, dies, die)
+    with pytest.raises(RuntimeError, match="before the switch"):
+        pipeline.build_gold(spark, layout)
+    assert totals(spark, layout) == old == dict.fromkeys(old, 190)
+    monkeypatch.undo()
+    pipeline.build_gold(spark, layout)
+    assert totals(spark, layout) == dict.fromkeys(old, 435)
+
+
+def test_readers_see_one_version_and_old_ones_go(spark, layout):
+    name, path = layout.table("trending_analytics"), layout.path("trending_analytics")
+    gold_inputs(spark, layout, 20)
+    made = [pipeline.build_gold(spark, layout)["trending_analytics"]]
+    planned = spark.table(name).select("region", "total_videos")  # a reader that has begun
+    for n in (30, 40):
+        gold_inputs(spark, layout, n)
+        made.append(pipeline.build_gold(spark, layout)["trending_analytics"])
+        if n == 30:
+            assert {tuple(r) for r in planned.collect()} == {("us", 10), ("gb", 10)}
+    assert published.current_version(spark, name) == made[-1] == max(made)
+    assert published.versions(spark, path) == made[1:]
+    published.point_to(spark, name, made[1])  # back to the version before
+    assert {tuple(r) for r in spark.table(name).select("region", "total_videos").collect()} == {("us", 15), ("gb", 15)}
+    assert published.remove_old_versions(spark, name, path) == [] and published.versions(spark, path) == made[1:]
+
+
+def test_a_plain_table_becomes_a_published_one(spark, layout):
+    where = layout.table("t"), layout.path("t")
+    tables.write_full(spark.createDataFrame([(1, "us"), (2, "gb")], "v long, region string"), *where)
+    published.publish(spark.createDataFrame([(3, "us")], "v long, region string"), *where)
+    assert [tuple(r) for r in spark.table(where[0]).collect()] == [(3, "us")]
+    published.publish(spark.createDataFrame([], "v long, region string"), *where)
+    assert spark.table(where[0]).isEmpty()
 
 
 def test_landing_has_few_files_and_old_months_are_not_opened(spark, layout, tmp_path):
@@ -307,17 +448,17 @@ def test_landing_has_few_files_and_old_months_are_not_opened(spark, layout, tmp_
     rows = spark.range(0, 4000, 1, 16).selectExpr(
         "cast(id as string) as video_id", "'us' as region", "id as views",
         "date_add(date'2024-01-01', cast(id % 60 as int)) as trending_date_parsed")
-    n, changed = tables.land(rows, layout, "f", 0)
+    n, changed = landing.land(rows, layout, "f", 0)
     assert (n, changed) == (4000, [("us", "2024-01"), ("us", "2024-02")])
     files = list((tmp_path / "tables/landing/statistics").rglob("*.parquet"))
     assert len(files) <= 4
-    tables.rebuild(spark, layout, changed)
+    landing.rebuild(spark, layout, changed)
     for file in files:
         file.write_bytes(b"damaged")
         (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
     late = rows.limit(5).withColumn("trending_date_parsed", F.lit(datetime.date(2024, 9, 1)))
-    _, changed = tables.land(late, layout, "f", 1)
-    tables.rebuild(spark, layout, changed)
+    _, changed = landing.land(late, layout, "f", 1)
+    landing.rebuild(spark, layout, changed)
     assert spark.table(layout.statistics).count() == 4005
 
 

@@ -62,21 +62,20 @@ GOLDEN = [
 
 
 def test_backfill_golden_and_rerun(spark, layout, csv_root):
-    for _ in range(2):
-        counts = run_backfill(spark, csv_root, layout)
-        assert counts == {"rows_read": 8, "rows_landed": 7}
+    for counts in ({"files_read": 2, "rows_read": 8, "rows_landed": 7}, {"files_read": 0, "rows_read": 0, "rows_landed": 0}):
+        assert run_backfill(spark, csv_root, layout) == counts
         assert golden(spark.table(layout.statistics)) == GOLDEN
 
 
 def test_backfill_region_argument(spark, layout, csv_root):
-    run_backfill(spark, csv_root, layout, regions=" US")
+    run_backfill(spark, csv_root, layout, regions=[" US"])
     assert golden(spark.table(layout.statistics)) == GOLDEN[2:]
-    run_backfill(spark, csv_root, layout, regions="gb")
+    run_backfill(spark, csv_root, layout, regions={"gb"})
     assert golden(spark.table(layout.statistics)) == GOLDEN
 
 
 def test_backfill_of_nothing_writes_nothing(spark, layout, tmp_path):
-    assert run_backfill(spark, str(tmp_path / "absent"), layout) == {"rows_read": 0, "rows_landed": 0}
+    assert run_backfill(spark, str(tmp_path / "absent"), layout) == {"files_read": 0, "rows_read": 0, "rows_landed": 0}
     assert not spark.catalog.tableExists(layout.statistics)
 
 
@@ -174,9 +173,9 @@ def test_flatten_categories(spark):
 def test_bronze_write_and_read_back(spark, tmp_path):
     rows = flatten_videos(_payload(spark, [{"id": "ü", "statistics": {"viewCount": "5"}}]))
     path = str(tmp_path / "live")
-    for _ in range(2):  # every run adds its files
-        write_bronze(rows, path, "2024-05-01T09:30:00+00:00")
-    files = list((tmp_path / "live").glob("region=us/date=2024-05-01/hour=09/*.json"))
+    for run in ("one", "two", "two"):  # every run has its files, a repeated one replaces them
+        write_bronze(rows, path, "2024-05-01T09:30:00+00:00", run_id=run)
+    files = list((tmp_path / "live").glob("region=us/date=2024-05-01/hour=09/run=*/*.json"))
     assert len(files) == 2
     text = files[0].read_text(encoding="utf-8")
     assert '"ü"' in text and '"tags":null' in text

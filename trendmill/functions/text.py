@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,9 +18,3 @@ def has_text(col: Column) -> Column:
 def pipe_join(col: Column) -> Column:
     """['a', 'b'] -> 'a|b'; an empty or missing array -> null."""
     return F.when(F.size(col) > 0, F.array_join(col, "|"))
-
-
-def region_codes(argument: str) -> list[str] | None:
-    """The regions a job is asked for, as in ' US, gb '; None for 'all', which is any region."""
-    codes = re.findall(r"[^\s,](?:[^,]*[^\s,])?", argument.lower())
-    return None if codes == ["all"] else codes

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendmill import functions as fn
 from trendmill.schemas import BACKFILL_COLUMNS, STATISTICS
@@ -23,8 +26,11 @@ def align_columns(df: DataFrame, schema) -> DataFrame:
     ])
 
 
-def enforce_backfill_types(raw: DataFrame) -> DataFrame:
-    """The 14 backfill columns with their types. A value that does not fit its type becomes null."""
+def enforce_backfill_types(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 14 backfill columns with their types, and the columns ``keep`` as they are.
+
+    A value that does not fit its type becomes null.
+    """
     text = {name: column_or_null(raw, name).cast("string") for name in (*BACKFILL_COLUMNS, "region")}
     longs = {"category_id", *METRICS}
     flags = {"comments_disabled", "ratings_disabled"}
@@ -39,6 +45,7 @@ def enforce_backfill_types(raw: DataFrame) -> DataFrame:
     return raw.select(
         *[typed(name).alias(name) for name in BACKFILL_COLUMNS],
         fn.normalize_region(text["region"]).alias("region"),
+        *keep,
     )
 
 
@@ -78,12 +85,12 @@ def drop_blank_ids(df: DataFrame) -> DataFrame:
     return df.filter(fn.has_text(F.col("video_id")))
 
 
-def filter_regions(df: DataFrame, regions: str = "all") -> DataFrame:
-    """Keep the regions of a comma list. Region is normalised first, so ' US' matches 'us'."""
-    wanted = fn.region_codes(regions)
-    if wanted is None:
+def filter_regions(df: DataFrame, regions: Collection[str] | None = None) -> DataFrame:
+    """Keep the named regions, or all of them (None). Case and outer blanks do not matter, in names and in rows."""
+    if regions is None:
         return df
-    return df.filter(fn.normalize_region(F.col("region")).isin(wanted))
+    asked = F.transform(F.array(*[F.lit(r) for r in regions]).cast("array<string>"), fn.normalize_region)
+    return df.filter(F.array_contains(asked, fn.normalize_region(F.col("region"))))
 
 
 def fill_metric_nulls(df: DataFrame) -> DataFrame:
@@ -107,10 +114,13 @@ def add_provenance(df: DataFrame, job_name: str) -> DataFrame:
     return df.withColumns({"_processed_at": F.current_timestamp(), "_job_name": F.lit(job_name)})
 
 
-def cleanse_backfill(raw: DataFrame, job_name: str, regions: str = "all") -> DataFrame:
-    """Everything the backfill does before de-duplication; no shuffle."""
-    rows = drop_blank_ids(enforce_backfill_types(filter_regions(raw, regions)))
-    return align_columns(add_provenance(add_rates(fill_metric_nulls(add_trending_date(rows))), job_name), STATISTICS)
+def cleanse_backfill(
+    raw: DataFrame, job_name: str, regions: Collection[str] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Everything the backfill does before de-duplication; no shuffle. Columns ``keep`` of ``raw`` come last."""
+    rows = drop_blank_ids(enforce_backfill_types(filter_regions(raw, regions), keep))
+    rows = add_provenance(add_rates(fill_metric_nulls(add_trending_date(rows))), job_name)
+    return align_columns(rows, T.StructType([*STATISTICS.fields, *[raw.schema[name] for name in keep]]))
 
 
 def cleanse_live(raw: DataFrame, job_name: str, missing_category: int | None = 0) -> DataFrame:

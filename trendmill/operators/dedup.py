@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trendmill.schemas import REFERENCE_KEY, STATISTICS_KEY
 
 # Set by the run itself, so they only break ties between rows that are otherwise equal.
-_VOLATILE = ("_processed_at", "_job_name", "feed", "batch_id")
+_VOLATILE = ("_processed_at", "_job_name", "source_file", "origin_batch", "feed", "batch_id")
 
 
 def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], newest: list[str]) -> DataFrame:
@@ -32,8 +32,21 @@ def latest_statistics(df: DataFrame) -> DataFrame:
     The newest source time wins where rows carry one; a row without (the backfill) loses to a row with.
     Then the highest counters win: counters only grow, so the largest are the latest.
     """
+    return latest_per_key(df, STATISTICS_KEY, _newest_statistics(df))
+
+
+def latest_per_file(df: DataFrame) -> DataFrame:
+    """One row per key and source file, by the rule of ``latest_statistics``.
+
+    Rows without a file count as one more file. What this leaves decides every key as all rows would, also after some
+    of the files are taken away.
+    """
+    return latest_per_key(df, [*STATISTICS_KEY, "source_file"], _newest_statistics(df))
+
+
+def _newest_statistics(df: DataFrame) -> list[str]:
     times = [c for c in ("_source_time",) if c in df.columns]
-    return latest_per_key(df, STATISTICS_KEY, [*times, "views", "likes", "comment_count"])
+    return [*times, "views", "likes", "comment_count"]
 
 
 def latest_reference(df: DataFrame) -> DataFrame:

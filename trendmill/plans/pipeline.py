@@ -2,29 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trendmill import functions as fn
 from trendmill.operators import gold
 from trendmill.operators.audit import counted
 from trendmill.operators.cleanse import cleanse_backfill
 from trendmill.operators.flatten import DEFAULT_SOURCE, flatten_categories, flatten_videos, payload_summary
 from trendmill.operators.quality import Rules, check_tables, verdict
 from trendmill.operators.reference import clean_reference, measured_lookup
-from trendmill.session import folder_bytes, sized_shuffles, use_job_settings
+from trendmill.session import enable_checkpoints, folder_bytes, sized_shuffles, use_job_settings
+from trendmill.sources import ledger
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
-from trendmill.sources.tables import (
-    Layout, land, overwrite_mode, overwrite_partitions, read_or_none, rebuild, write_full,
-)
+from trendmill.sources.landing import BACKFILL, batch_partitions, batch_rows, fold, land, rebuild
+from trendmill.sources.published import point_to, remove_old_versions, write_version
+from trendmill.sources.tables import Layout, overwrite_partitions, read_or_none
 from trendmill.streaming.live import run_live
 
-BACKFILL_JOB = "backfill"
-
 
 def run_ingest(
     videos: DataFrame, categories: DataFrame, live_path: str, reference_path: str, ingested_at: str,
@@ -32,7 +31,8 @@ def run_ingest(
 ) -> DataFrame:
     """Nested payloads (region, payload) to Bronze files; returns what could be read per region and kind.
 
-    A payload that is no JSON gives no rows and is counted as failed; the other regions are not affected.
+    A payload that is no JSON gives no rows and is counted as failed; the other regions are not affected. A run that is
+    repeated for the same time replaces its files.
     """
     use_job_settings(videos.sparkSession)
     at = F.lit(ingested_at)
@@ -45,27 +45,43 @@ def run_ingest(
 
 
 def run_backfill(
-    spark: SparkSession, csv_path: str, layout: Layout, regions: str = "all", job_name: str = BACKFILL_JOB,
-    multi_line: bool = True, split_files: bool = False,
+    spark: SparkSession, csv_path: str, layout: Layout, regions: Collection[str] | None = None,
+    job_name: str = BACKFILL, multi_line: bool = True,
 ) -> dict:
-    """CSV history to Silver: the cleaned rows land, then the partitions they touch are rebuilt from landing.
+    """CSV history to Silver: files that are new or changed land as one batch, then what they touch is rebuilt.
 
-    All backfills are one batch. A run replaces the rows of its regions: what is corrected downward or gone from the
-    files leaves Silver too. ``rows_landed`` counts all rows of the batch, earlier regions included.
+    History accumulates: folders can be loaded one after the other, in any order and any number of times. A file that
+    has changed replaces the rows of its earlier version, so what was corrected downward or taken out leaves Silver; all
+    other files keep theirs, also files that are gone from the folder. ``regions`` limits a run to files below these
+    ``region=`` folders. Files are taken by path, size and time; nothing is read of those known already.
 
-    ``multi_line`` and ``split_files`` say how files are read, see ``read_backfill``.
+    Returns the counts of this run: ``files_read``, ``rows_read`` and ``rows_landed``.
     """
     use_job_settings(spark)
+    enable_checkpoints(spark)
+    found = ledger.find_files(spark, csv_path, regions)
+    known = ledger.entries(spark, layout)
+    changed = ledger.changed_files(found, known).checkpoint()
+    size, n_files = changed.agg(F.sum("size"), F.count("*")).first()
+    batch = ledger.next_batch(known, BACKFILL)
+    # A run that died before it was recorded may have left rows under this number.
+    if n_files == 0 and not (spark.catalog.tableExists(layout.landing) and batch_partitions(spark, layout, BACKFILL, batch)):
+        return {"files_read": 0, "rows_read": 0, "rows_landed": 0}
+    only = changed
+    if n_files <= ledger.MAX_NAMED_FILES:
+        only = [r["file"] for r in changed.select("file").collect()]
     read = Observation()
-    raw = counted(read_backfill(spark, csv_path, multi_line, split_files=split_files), read)
-    wanted = fn.region_codes(regions)
-    within = None if wanted is None else F.col("region").isin(wanted)
-    with sized_shuffles(spark, folder_bytes(spark, csv_path)):
-        landed, changed = land(cleanse_backfill(raw, job_name, regions), layout, BACKFILL_JOB, 0, within)
-    if changed:
-        with sized_shuffles(spark, folder_bytes(spark, layout.path("landing/statistics"))):
-            rebuild(spark, layout, changed)
-    return {"rows_read": read.get["rows"], "rows_landed": landed}
+    raw = read_backfill(spark, csv_path, multi_line, file_column="source_file", only=only)
+    rows = cleanse_backfill(counted(raw, read), job_name, regions, keep=("source_file",))
+    with sized_shuffles(spark, size or 0):
+        landed, touched = land(rows, layout, BACKFILL, batch)
+    entries = ledger.entries_of_batch(changed, batch_rows(spark, layout, BACKFILL, batch), BACKFILL, batch).checkpoint()
+    touched = {*touched, *ledger.old_partitions(changed, known)}
+    if touched:
+        rebuild(spark, layout, touched, known.unionByName(entries))
+    ledger.record(entries, layout)
+    fold(spark, layout)
+    return {"files_read": n_files, "rows_read": read.get["rows"], "rows_landed": landed}
 
 
 def run_reference(spark: SparkSession, json_path: str, layout: Layout, on_bad_record: str = "drop_line") -> bool:
@@ -80,11 +96,12 @@ def run_reference(spark: SparkSession, json_path: str, layout: Layout, on_bad_re
     return False
 
 
-def build_gold(spark: SparkSession, layout: Layout) -> None:
-    """Rebuild the three Gold tables. Without a usable reference table all categories are 'Unknown'.
+def build_gold(spark: SparkSession, layout: Layout) -> dict[str, str]:
+    """Rebuild the three Gold tables and let readers see them; returns the version of each.
 
-    The builds do not depend on each other and run side by side, so that one fills the executors the
-    last tasks of another leave idle.
+    Without a usable reference table all categories are 'Unknown'. The builds do not depend on each other and run side by
+    side, so that one fills the executors the last tasks of another leave idle. Readers see the old tables until all
+    three are complete, and then the new ones: if one build fails, none of them changes.
     """
     use_job_settings(spark)
     stats = spark.table(layout.statistics)
@@ -96,13 +113,16 @@ def build_gold(spark: SparkSession, layout: Layout) -> None:
         "trending_analytics": lambda: gold.trending_analytics(stats),
     }
 
-    def build(name: str) -> None:
-        write_full(gold.stamp_aggregated(builds[name]()), layout.table(name), layout.path(name))
+    def build(name: str) -> str:
+        return write_version(gold.stamp_aggregated(builds[name]()), layout.table(name), layout.path(name))
 
-    # The builds share one session; each write wants the same mode.
-    size = folder_bytes(spark, layout.path("clean_statistics"))
-    with overwrite_mode(spark, "dynamic"), sized_shuffles(spark, size), ThreadPoolExecutor(len(builds)) as pool:
-        list(pool.map(build, builds))
+    with sized_shuffles(spark, folder_bytes(spark, layout.path("clean_statistics"))), ThreadPoolExecutor(len(builds)) as pool:
+        built = dict(zip(builds, pool.map(build, builds)))
+    for name, version in built.items():
+        point_to(spark, layout.table(name), version)
+    for name in built:
+        remove_old_versions(spark, layout.table(name), layout.path(name))
+    return built
 
 
 @dataclass(frozen=True)

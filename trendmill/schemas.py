@@ -77,20 +77,36 @@ REFERENCE = _struct(
 )
 REFERENCE_KEY = ("region", "category_id")
 
-# Landing keeps every cleaned row that ever arrived, with the time its source gave it.
-LANDING_PARTITIONS = ("region", "trending_month", "feed", "batch_id")
+# Landing keeps every cleaned row that ever arrived, with the time its source gave it. A batch has one folder, its
+# months lie below; the catalog finds a month's folders in any order of the levels.
 SILVER_PARTITIONS = ("region", "trending_month")
+LANDING_PARTITIONS = ("feed", "batch_id", *SILVER_PARTITIONS)
 LANDING = T.StructType(
     [f for f in STATISTICS.fields if f.name != "region"]
     + [
         T.StructField("_source_time", T.TimestampType(), True),
-        T.StructField("region", T.StringType(), True),
-        T.StructField("trending_month", T.StringType(), True),
+        # Where a row came from: the file (backfill only) and the batch it first landed in, which folding keeps.
+        T.StructField("source_file", T.StringType(), True),
+        T.StructField("origin_batch", T.LongType(), True),
         T.StructField("feed", T.StringType(), True),
         T.StructField("batch_id", T.LongType(), True),
+        T.StructField("region", T.StringType(), True),
+        T.StructField("trending_month", T.StringType(), True),
     ]
 )
 
+# One row per version of a source file that has landed: what it was and which partitions its rows are in.
+FILES_PARTITIONS = ("feed", "batch_id")
+LANDED_FILES = T.StructType([
+    T.StructField("file", T.StringType(), True),
+    T.StructField("size", T.LongType(), True),
+    T.StructField("modified", T.TimestampType(), True),
+    T.StructField("rows", T.LongType(), True),
+    T.StructField("partitions", T.ArrayType(_struct(region=T.StringType(), trending_month=T.StringType())), True),
+    T.StructField("feed", T.StringType(), True),
+    T.StructField("batch_id", T.LongType(), True),
+])
+
 CHECK = T.StructType([
     T.StructField("check", T.StringType(), False),
     T.StructField("table", T.StringType(), False),

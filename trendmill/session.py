@@ -9,7 +9,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SESSION_CONF = {
@@ -61,6 +61,32 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
         raise
 
 
+def planned_bytes(scan: DataFrame) -> int:
+    """The size of the files that a scan of some partitions of a table opens; runs no job.
+
+    ``scan`` has to filter on partition columns: Spark looks up the files of a whole table only when it reads it.
+    """
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of any store Spark reads and writes."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it; one that is not there is no error."""
+    store, place = file_system(spark, path)
+    store.delete(place, True)
+
+
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """The full paths that match a glob pattern."""
+    store, place = file_system(spark, pattern)
+    return [str(found.getPath().toString()) for found in store.globStatus(place) or []]
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int):
     """Start the shuffles of a job with enough partitions for its input, never with fewer than the session has.

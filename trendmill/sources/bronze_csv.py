@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendmill.schemas import BACKFILL_COLUMNS, CORRUPT, all_strings
-from trendmill.sources.csv_records import read_in_pieces
 
 NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -30,15 +29,16 @@ def _need_one_header(spark: SparkSession, path: str) -> None:
     """Fail unless all files begin with the same line. Spark's own check does not know renamed columns."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
         "value", F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")).alias("at"))
-    firsts = lines.filter(F.col("value").rlike(r"\S")).groupBy("file").agg(F.min_by("value", "at").alias("top"))
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    firsts = lines.filter(F.col("value").rlike(r"\S") & (F.col("block") == 0)).groupBy("file").agg(F.min_by("value", "at").alias("top"))
     top = F.regexp_replace(F.regexp_replace("top", r"\r\z", ""), r"^\x{FEFF}", "")
     if firsts.select(top).distinct().limit(2).count() > 1:
         raise ValueError(f"the files below {path} have different headers")
 
 
 def read_backfill(
-    spark: SparkSession, path: str, multi_line: bool = True, keep_corrupt: bool = False, split_files: bool = False
+    spark: SparkSession, path: str, multi_line: bool = True, keep_corrupt: bool = False, file_column: str | None = None,
+    only: list[str] | DataFrame | None = None,
 ) -> DataFrame:
     """All columns as text, plus region.
 
@@ -47,9 +47,11 @@ def read_backfill(
     here it fails the read. Read such files apart and join them with ``read_backfill_groups``.
     Malformed rows are kept; ``keep_corrupt`` adds their text as ``_corrupt_record``.
 
-    A file with line breaks inside quotes is read by one task. For large files pass
-    ``split_files=True``, which reads them in pieces if their quoting is regular, and fails if it is
-    not; or ``multi_line=False`` for files without such breaks.
+    ``file_column`` adds the path of a row's file. ``only`` limits the read to some files: of a list of paths no other
+    file is opened, a frame with the column ``file`` is joined.
+
+    A file with line breaks inside quotes is read by one task; see ``stage_history`` for reading it often, or pass
+    ``multi_line=False`` for files without such breaks.
     """
     options = _options(multi_line)
     try:
@@ -57,13 +59,11 @@ def read_backfill(
         header = spark.read.options(**options, recursiveFileLookup="true").csv(path).columns
     except AnalysisException as error:
         if error.getCondition() in NOTHING_THERE:
-            return spark.createDataFrame([], all_strings((*BACKFILL_COLUMNS, "region")))
+            return spark.createDataFrame([], all_strings((*BACKFILL_COLUMNS, "region", *([file_column] if file_column else []))))
         raise
     # Spark renames columns without a name and repeated names; files are compared by what they really say.
     top = spark.read.options(**{**options, "header": "false"}, recursiveFileLookup="true").csv(path).first()
     raw = [] if top is None else list(top)
-    if split_files:
-        return read_in_pieces(spark, path, header, keep_corrupt, raw)
     in_path = [name for name in found if name not in header]
     fields = all_strings([*header, *in_path]).fields
     if keep_corrupt:
@@ -72,7 +72,43 @@ def read_backfill(
     if renamed:
         _need_one_header(spark, path)
     reader = spark.read.options(**options, enforceSchema=str(renamed).lower(), columnNameOfCorruptRecord=CORRUPT)
-    return region_from_path(reader.schema(T.StructType(fields)).csv(path))
+    rows = reader.schema(T.StructType(fields)).csv(path)
+    name = F.col("_metadata.file_path")
+    if isinstance(only, list):
+        rows = rows.filter(name.isin(only))
+    rows = region_from_path(rows)
+    if file_column is None and not isinstance(only, DataFrame):
+        return rows
+    with_file = rows.select("*", name.alias(file_column or "_file"))
+    if isinstance(only, DataFrame):
+        with_file = with_file.join(only.select(F.col("file").alias(file_column or "_file")), file_column or "_file", "left_semi")
+    return with_file if file_column else with_file.drop("_file")
+
+
+def stage_history(
+    spark: SparkSession, path: str, staged: str, multi_line: bool = True, rows_per_file: int = 1_000_000
+) -> None:
+    """Read a CSV history once and write it as Parquet: text columns below ``region=`` folders.
+
+    CSV with line breaks inside quotes has one task per file, however large. Parquet is read in as many pieces as the
+    split size asks for, and only the columns a job wants. A repeated run replaces the regions it brings.
+    """
+    rows = read_backfill(spark, path, multi_line)
+    (
+        rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file).partitionBy("region").parquet(staged)
+    )
+
+
+def read_staged(spark: SparkSession, staged: str) -> DataFrame:
+    """A staged history as ``read_backfill`` gives it: every column text, regions as they are named."""
+    try:
+        found = spark.read.parquet(staged)
+    except AnalysisException as error:
+        if error.getCondition() in NOTHING_THERE:
+            return spark.createDataFrame([], all_strings((*BACKFILL_COLUMNS, "region")))
+        raise
+    return spark.read.schema(all_strings([*[c for c in found.columns if c != "region"], "region"])).parquet(staged)
 
 
 def read_backfill_groups(spark: SparkSession, paths: list[str], **options) -> DataFrame:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendmill.operators.broadcasting import broadcast_if_small
 from trendmill.schemas import CORRUPT, LIVE_FIELDS, REFERENCE_FIELDS, all_strings
-from trendmill.session import enable_checkpoints
+from trendmill.session import enable_checkpoints, folder_names, remove_folder
 from trendmill.sources.bronze_csv import NOTHING_THERE
 
 FILES = "*.json"
+# The folder of rows without a region.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def parse_lines(lines: DataFrame, fields: tuple[str, ...]) -> DataFrame:
@@ -76,16 +81,32 @@ def read_reference(
     return _read(spark, path, REFERENCE_FIELDS, on_bad_record, keep_corrupt, files, skip_unreadable)
 
 
-def write_bronze(rows: DataFrame, path: str, ingested_at: str, hourly: bool = True) -> None:
-    """Append JSON lines below region/date(/hour) of the ingestion time; nulls are written, text stays UTF-8."""
+def write_bronze(rows: DataFrame, path: str, ingested_at: str, hourly: bool = True, run_id: str | None = None) -> None:
+    """JSON lines below region/date(/hour/run) of the ingestion time; nulls are written, text stays UTF-8.
+
+    A run that is repeated replaces what it wrote: hourly files lie below ``run=<run_id>`` (by default the ingestion
+    time), beside those of other runs of the hour, and regions the repeated run no longer has lose their files. Daily
+    files have one version per region and day, the last.
+    """
+    spark = rows.sparkSession
     time = F.to_timestamp(F.lit(ingested_at))
+    run = re.sub(r"[^0-9A-Za-z]+", "-", run_id or ingested_at)
     parts = {"date": F.date_format(time, "yyyy-MM-dd")}
     if hourly:
-        parts["hour"] = F.date_format(time, "HH")
+        parts |= {"hour": F.date_format(time, "HH"), "run": F.lit(run)}
+    seen = Observation()
     (
         rows.withColumns(parts)
-        .write.mode("append")
+        .observe(seen, F.collect_set(F.coalesce("region", F.lit(""))).alias("regions"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
         .partitionBy("region", *parts)
         .json(path)
     )
+    if hourly:
+        written = {region or NULL_FOLDER for region in seen.get["regions"]}
+        day, hour = spark.range(1).select(parts["date"], parts["hour"]).first()
+        for folder in folder_names(spark, f"{path}/region=*/date={day}/hour={hour}/run={run}"):
+            if unquote(re.search(r"/region=([^/]*)/", folder).group(1)) not in written:
+                remove_folder(spark, folder)

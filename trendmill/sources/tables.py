@@ -1,19 +1,18 @@
-"""Catalog tables: full writes, partition overwrites, landing and rebuild."""
+"""Catalog tables: full writes and partition overwrites."""
 
 from __future__ import annotations
 
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendmill import functions as fn
 from trendmill.operators.cleanse import align_columns
-from trendmill.operators.dedup import latest_statistics
-from trendmill.schemas import LANDING, LANDING_PARTITIONS, SILVER_PARTITIONS, STATISTICS
+from trendmill.session import remove_folder
 from trendmill.sources.bronze_csv import NOTHING_THERE
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -35,6 +34,7 @@ class Layout:
     statistics = property(lambda self: self.table("clean_statistics"))
     reference = property(lambda self: self.table("clean_reference_data"))
     landing = property(lambda self: self.table("landing_statistics"))
+    files = property(lambda self: self.table("landing_files"))
 
 
 @contextmanager
@@ -48,11 +48,15 @@ def overwrite_mode(spark: SparkSession, mode: str):
         spark.conf.set(key, before)
 
 
-def _sized_files(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+def sized_files(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
     """Bring rows of a partition together, but let adaptive execution split a large one over several tasks."""
     return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
+def columns_sql(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def ensure_table(spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: tuple[str, ...]) -> None:
     """Have a catalog entry over whatever the folder holds, so that a lost entry neither hides nor drops rows.
 
@@ -68,43 +72,61 @@ def ensure_table(spark: SparkSession, table: str, path: str, schema: T.StructTyp
     except AnalysisException as error:
         if error.getCondition() not in NOTHING_THERE:
             raise
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.values())
     parts = ", ".join(f"`{c}`" for c in partition_by)
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {table} ({columns_sql(T.StructType(list(fields.values())))}) USING parquet "
+              f"PARTITIONED BY ({parts}) LOCATION '{path}'")
     if there:
         spark.catalog.recoverPartitions(table)
 
 
-def _partitions(df: DataFrame, keys: tuple[str, ...]) -> set[tuple]:
-    """The partitions that have rows: names, not data."""
-    return {tuple(r) for r in df.select(*keys).distinct().collect()}
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _empty_partitions(spark: SparkSession, table: str, keys: tuple[str, ...], gone: set[tuple]) -> None:
-    """Take away all rows of some partitions."""
+def partition_names(spark: SparkSession, table: str, **fixed) -> dict[tuple, str]:
+    """{values: folder name} of the partitions in the catalog, as text; ``fixed`` limits some of the keys.
+
+    Names only: no file is opened, so the cost does not depend on how much the partitions hold.
+    """
+    spec = ", ".join(f"`{key}` = {_sql_text(str(value))}" for key, value in fixed.items())
+    rows = spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({spec})" if spec else "")).collect()
+    names = {}
+    for row in rows:
+        values = [unquote(part.split("=", 1)[1]) for part in row[0].split("/")]
+        names[tuple(None if v == _NULL_PARTITION else v for v in values)] = row[0]
+    return names
+
+
+def drop_partitions(spark: SparkSession, table: str, keys: tuple[str, ...], gone: dict[tuple, str]) -> None:
+    """Take partitions out of the catalog, then delete their folders."""
     if not gone:
         return
-    columns = [f for f in spark.table(table).schema.fields if f.name not in keys]
-    nothing = spark.createDataFrame([], T.StructType(columns))
-    with overwrite_mode(spark, "static"):
-        for values in gone:
-            text = [_NULL_PARTITION if v is None else str(v).replace("\\", "\\\\").replace("'", "\\'") for v in values]
-            spec = ", ".join(f"`{k}` = '{v}'" for k, v in zip(keys, text))
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{nothing}}", nothing=nothing)
+    root = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+    specs = [", ".join(f"`{k}` = {_sql_text(_NULL_PARTITION if v is None else v)}" for k, v in zip(keys, values))
+             for values in gone]
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({spec})" for spec in specs))
+    for name in gone.values():
+        remove_folder(spark, f"{root.rstrip('/')}/{name}")
     spark.catalog.refreshTable(table)
 
 
-def _insert(df: DataFrame, table: str, partition_by: tuple[str, ...], rebalance: bool = True) -> set[tuple]:
-    """Replace the partitions that occur in ``df``, all at once when the write commits; returns them."""
+def insert_partitions(
+    df: DataFrame, table: str, partition_by: tuple[str, ...], rebalance: bool = True
+) -> tuple[set[tuple], int]:
+    """Replace the partitions that occur in ``df``; returns their values as text, and the number of rows.
+
+    The new files are complete before the first partition changes; partitions then change one after the other.
+    """
     spark = df.sparkSession
     add_new_columns(spark, table, df)
     rows = align_columns(df, spark.table(table).schema)
-    rows = _sized_files(rows, partition_by) if rebalance else rows
+    rows = sized_files(rows, partition_by) if rebalance else rows
     seen = Observation()
-    rows = rows.observe(seen, F.collect_set(F.struct(*partition_by)).alias("partitions"))
+    rows = rows.observe(seen, F.collect_set(F.struct(*partition_by)).alias("partitions"), F.count(F.lit(1)).alias("rows"))
     with overwrite_mode(spark, "dynamic"):
         rows.write.insertInto(table, overwrite=True)
-    return {tuple(p) for p in seen.get["partitions"]}
+    # Empty text and null share a folder.
+    return {tuple(None if v in (None, "") else str(v) for v in p) for p in seen.get["partitions"]}, seen.get["rows"]
 
 
 def write_full(
@@ -112,14 +134,15 @@ def write_full(
 ) -> None:
     """Replace all rows of a table: Parquet, Snappy, partitioned, registered in the catalog.
 
-    The new files are put beside the old ones and take their place when the write commits; only then are partitions
-    emptied that no longer occur. A build that fails leaves the old rows as they were, and the table never goes away.
-    A column the table has and ``df`` lacks is null.
+    A build that fails before its files are complete leaves the old rows as they were, and the table never goes away.
+    Partitions change one after the other, those without rows last; ``published.publish`` is for tables whose readers
+    must not see that. A column the table has and ``df`` lacks is null.
     """
     spark = df.sparkSession
     ensure_table(spark, table, path, df.schema, partition_by)
-    before = _partitions(spark.table(table), partition_by)
-    _empty_partitions(spark, table, partition_by, before - _insert(df, table, partition_by, rebalance))
+    before = partition_names(spark, table)
+    after, _ = insert_partitions(df, table, partition_by, rebalance)
+    drop_partitions(spark, table, partition_by, {p: name for p, name in before.items() if p not in after})
 
 
 def add_new_columns(spark: SparkSession, table: str, df: DataFrame) -> None:
@@ -135,68 +158,8 @@ def overwrite_partitions(
 ) -> int:
     """Replace only the partitions that occur in ``df`` and return their number; the table is made or widened if needed."""
     ensure_table(df.sparkSession, table, path, df.schema, partition_by)
-    return len(_insert(df, table, partition_by))
+    return len(insert_partitions(df, table, partition_by)[0])
 
 
 def read_or_none(spark: SparkSession, table: str) -> DataFrame | None:
     return spark.table(table) if spark.catalog.tableExists(table) else None
-
-
-# --- landing and rebuild -------------------------------------------------------------------------
-# Silver is never rewritten from itself: an overwrite that dies half way would lose rows for good.
-# Every cleaned batch is first kept under its feed and batch id, then the touched Silver partitions are
-# rebuilt from all kept batches. Repeating either step gives the same rows again. Landing is partitioned by
-# region and month first, so a rebuild opens only the months it is for.
-
-
-def _landing(spark: SparkSession, layout: Layout) -> DataFrame:
-    ensure_table(spark, layout.landing, layout.path("landing/statistics"), LANDING, LANDING_PARTITIONS)
-    return spark.table(layout.landing)
-
-
-def land(
-    rows: DataFrame, layout: Layout, feed: str, batch_id: int, within: Column | None = None
-) -> tuple[int, list[tuple]]:
-    """Keep a cleaned batch of a feed; returns its number of rows and the (region, month) partitions it changes.
-
-    A batch that is repeated replaces itself: partitions it no longer has rows for are emptied, and count as changed.
-    ``within`` limits what is replaced, for a feed that brings some regions only. Rows of a partition are brought
-    together first, so the number of files does not grow with the number of tasks.
-    """
-    spark = rows.sparkSession
-    mine = (F.col("feed") == feed) & (F.col("batch_id") == batch_id)
-    kept = _landing(spark, layout).filter(mine)
-    before = _partitions(kept if within is None else kept.filter(within), LANDING_PARTITIONS)
-    landed = rows.withColumns({
-        "trending_month": fn.month_of(F.col("trending_date_parsed")), "feed": F.lit(feed),
-        "batch_id": F.lit(batch_id).cast("bigint")})
-    after = _insert(landed, layout.landing, LANDING_PARTITIONS)
-    _empty_partitions(spark, layout.landing, LANDING_PARTITIONS, before - after)
-    count = spark.table(layout.landing).filter(mine).count()
-    return count, sorted({p[:len(SILVER_PARTITIONS)] for p in before | after}, key=str)
-
-
-def _silver(landed: DataFrame) -> DataFrame:
-    return latest_statistics(landed).select(*[c for c in STATISTICS.fieldNames() if c != "region"], *SILVER_PARTITIONS)
-
-
-def rebuild_all(spark: SparkSession, layout: Layout) -> None:
-    """Silver statistics from everything that ever landed."""
-    write_full(_silver(_landing(spark, layout)), layout.statistics, layout.path("clean_statistics"), SILVER_PARTITIONS)
-
-
-def rebuild(spark: SparkSession, layout: Layout, partitions: list[tuple]) -> None:
-    """Silver statistics of some (region, month) partitions from all that landed for them.
-
-    The filter is on partition names alone, so other folders of landing are not opened, however many there are. If there
-    is no Silver table, all of it is built.
-    """
-    landed = _landing(spark, layout)
-    if not spark.catalog.tableExists(layout.statistics):
-        rebuild_all(spark, layout)
-        return
-    name = F.concat_ws("\0", *[F.coalesce(F.col(k), F.lit("\1")) for k in SILVER_PARTITIONS])
-    wanted = ["\0".join("\1" if v is None else v for v in p) for p in partitions]
-    rows = _silver(landed.filter(name.isin(wanted)))
-    done = _insert(rows, layout.statistics, SILVER_PARTITIONS)
-    _empty_partitions(spark, layout.statistics, SILVER_PARTITIONS, set(partitions) - done)

@@ -19,29 +19,35 @@ from trendmill.operators.cleanse import cleanse_live
 from trendmill.schemas import CORRUPT, LIVE_FIELDS, all_strings
 from trendmill.session import use_job_settings
 from trendmill.sources.bronze_json import FILES, drop_bad_files, parse_lines
-from trendmill.sources.tables import Layout, land, rebuild
+from trendmill.sources.landing import fold, land, rebuild
+from trendmill.sources.tables import Layout
 
 JOB = "live"
+# Folder levels of the feed besides region; a feed may lack some of them.
+_FOLDERS = ("date", "hour", "run")
 
 
 def live_source(
     spark: SparkSession, path: str, on_bad_record: str = "drop_line", files_per_batch: int | None = None,
-    files: str = FILES,
+    files: str = FILES, archive: str | None = None,
 ) -> DataFrame:
     """The feed as a stream: text columns of LIVE_FIELDS plus the text of bad lines.
 
-    The file source would skip files much older than the newest one; here no file is too old.
+    The file source would skip files much older than the newest one; here no file is too old. With ``archive``, files
+    move to that folder once a later batch is done with, so the listing of a run does not grow with the feed.
     """
     reader = spark.readStream.options(pathGlobFilter=files, maxFileAge="36500d")
+    if archive:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if on_bad_record == "drop_file":
-        lines = reader.schema(all_strings(("value", "region", "date", "hour"))).text(path)
+        lines = reader.schema(all_strings(("value", "region", *_FOLDERS))).text(path)
         lines = lines.select("value", "region", F.col("_metadata.file_path").alias("_file"))
         return parse_lines(lines, LIVE_FIELDS)
     columns = (*LIVE_FIELDS, CORRUPT)
     reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    return reader.schema(all_strings((*columns, "date", "hour"))).json(path).select(*columns)
+    return reader.schema(all_strings((*columns, *_FOLDERS))).json(path).select(*columns)
 
 
 def load_batch(
@@ -63,9 +69,13 @@ def load_batch(
 def run_live(
     spark: SparkSession, path: str, layout: Layout, checkpoint: str, on_bad_record: str = "drop_line",
     files_per_batch: int | None = None, missing_category: int | None = 0,
-    on_counts: Callable[[dict], None] | None = None, files: str = FILES,
+    on_counts: Callable[[dict], None] | None = None, files: str = FILES, archive: str | None = None,
 ) -> StreamingQuery:
-    """Process every file that has arrived; returns when the stream has caught up."""
+    """Process every file that has arrived; returns when the stream has caught up.
+
+    ``archive``: a folder on the same store, outside ``path``, that takes the files of finished batches. They keep their
+    place below it, so it can be replayed like any feed.
+    """
     use_job_settings(spark)
 
     def process(raw: DataFrame, batch_id: int) -> None:
@@ -76,13 +86,14 @@ def run_live(
             on_counts(counts)
 
     query = (
-        live_source(spark, path, on_bad_record, files_per_batch, files)
+        live_source(spark, path, on_bad_record, files_per_batch, files, archive)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    fold(spark, layout)
     if spark.catalog.tableExists(layout.statistics):
         spark.catalog.refreshTable(layout.statistics)  # batches run in a session of their own
     return query

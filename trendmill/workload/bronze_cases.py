@@ -14,13 +14,13 @@ from trendmill.operators.dedup import latest_statistics
 from trendmill.operators.flatten import flatten_categories, flatten_videos
 from trendmill.operators.gold import category_analytics, stamp_aggregated
 from trendmill.schemas import FLAT_VIDEO
-from trendmill.session import enable_checkpoints, fresh_path, use_job_settings
-from trendmill.sources.bronze_csv import read_backfill, read_backfill_groups, region_from_path
+from trendmill.session import fresh_path, use_job_settings
+from trendmill.sources.bronze_csv import read_backfill, read_backfill_groups, read_staged, region_from_path, stage_history
 from trendmill.sources.bronze_json import read_live, read_reference, write_bronze
-from trendmill.sources.tables import Layout, overwrite_partitions, write_full
+from trendmill.sources.tables import overwrite_partitions, write_full
 from trendmill.workload.gold_cases import SQL as GOLD_SQL
 from trendmill.workload.silver_cases import RAW_BACKFILL
-from trendmill.workload.tables import STATS_SQL, lookup, over, portable, silver
+from trendmill.workload.tables import STATS_SQL, fresh_layout, lookup, over, portable, silver
 
 INGESTED_AT = "2024-02-03T04:05:06+00:00"
 _K = "get_json_object(props, '$.k')"
@@ -51,20 +51,15 @@ def _csv_scan(spark, sf_dir):
 
 
 def _csv_split_scan(spark, sf_dir):
-    """The same with splits so small that records cross them; read at once, since the split size is a setting."""
-    path, key = _documents_csv(spark, sf_dir), "spark.sql.files.maxPartitionBytes"
-    enable_checkpoints(spark)
-    before = spark.conf.get(key)
-    size = spark.read.text(path).agg(F.sum(F.octet_length("value"))).first()[0]
-    spark.conf.set(key, str(max(1000, size // 50)))
-    try:
-        blocks = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start").distinct()
-        if blocks.groupBy("file_path").count().filter("count > 1").isEmpty():
-            raise AssertionError("no file has more than one split")
-        return read_backfill(spark, path, split_files=True).select(
-            "video_id", "title", "views", "description", "region").checkpoint()
-    finally:
-        spark.conf.set(key, before)
+    """The same history staged once, in files of few rows, and read from there in many pieces."""
+    staged = fresh_path(spark, "staged")
+    stage_history(spark, _documents_csv(spark, sf_dir), staged, rows_per_file=100)
+    rows = read_staged(spark, staged)
+    files = rows.select("region", F.col("_metadata.file_path").alias("file")).groupBy("region").agg(
+        F.count_distinct("file").alias("files"), F.count("*").alias("n"))
+    if not files.filter("n > 100 and files < 2").isEmpty():
+        raise AssertionError("a region is one piece")
+    return rows.select("video_id", "title", "views", "description", "region")
 
 
 def _csv_groups(spark, sf_dir):
@@ -153,25 +148,32 @@ _CATEGORY_PAYLOADS = """
 """
 
 
+def _bronze_rewrite(spark, sf_dir):
+    """A run that is repeated, the first time with other rows and a region too many; and the same for daily files."""
+    live, names = fresh_path(spark, "live"), fresh_path(spark, "reference")
+    videos = flatten_videos(over(spark, sf_dir, _VIDEO_PAYLOADS, "events"), "made")
+    names_of = over(spark, sf_dir, "select user_id as category_id, event_type as category_name, event_type as region, "
+                                   "'made' as _source from {events}", "events")
+    first = videos.union(videos.withColumn("region", F.lit("elsewhere")))
+    for rows, other in ((first, names_of.withColumn("category_name", F.lit("old"))), (videos, names_of)):
+        write_bronze(rows, live, INGESTED_AT)
+        write_bronze(other, names, INGESTED_AT, hourly=False)
+    write_bronze(videos.filter("views > 0"), live, INGESTED_AT, run_id="another run of the hour")
+    return read_live(spark, live).select(F.lit("live").alias("kind"), "region", "video_id", "views").unionByName(
+        read_reference(spark, names).select(
+            F.lit("names").alias("kind"), "region", F.col("category_id").alias("video_id"), F.col("category_name").alias("views")))
+
+
 def _bronze_write(spark, sf_dir):
     path = fresh_path(spark, "live")
     write_bronze(flatten_videos(over(spark, sf_dir, _VIDEO_PAYLOADS, "events")), path, INGESTED_AT)
-    raw = spark.read.json(path, schema=FLAT_VIDEO.add("date", "string").add("hour", "string"))
+    raw = spark.read.json(path, schema=FLAT_VIDEO.add("date", "string").add("hour", "string").add("run", "string"))
     return raw.select("video_id", "title", "category_id", "views", "tags", "ratings_disabled", "region", "date", "hour")
 
 
 # --- tables -----------------------------------------------------------------------------------------
 
 
-def fresh_layout(spark) -> Layout:
-    """A database and folder of its own, so that a query never meets another one's tables."""
-    use_job_settings(spark)
-    root = fresh_path(spark, "tables")
-    database = "trendmill_" + root.rsplit("-", 1)[1]
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
-    return Layout(root, database)
-
-
 def _silver_roundtrip(spark, sf_dir):
     layout = fresh_layout(spark)
     write_full(silver(spark, sf_dir), layout.statistics, layout.path("clean_statistics"))
@@ -221,6 +223,7 @@ QUERIES = {
     "flatten_videos": lambda s, d: flatten_videos(over(s, d, _VIDEO_PAYLOADS, "events"), "made"),
     "flatten_categories": lambda s, d: flatten_categories(over(s, d, _CATEGORY_PAYLOADS, "part"), "made"),
     "bronze_jsonl_write": _bronze_write,
+    "bronze_rewrite": _bronze_rewrite,
     "silver_roundtrip": _silver_roundtrip,
     "partition_overwrite": _partition_overwrite,
     "gold_roundtrip": _gold_roundtrip,
@@ -300,6 +303,13 @@ SQL = {
         select video_id, title, category_id, views, tags, ratings_disabled, region, '2024-02-03' as date, '04' as hour
         from ({_FLAT_VIDEOS})
     """,
+    "bronze_rewrite": f"""
+        select 'live' as kind, region, video_id, cast(views as varchar) as views from ({_FLAT_VIDEOS})
+        union all
+        select 'live', region, video_id, cast(views as varchar) from ({_FLAT_VIDEOS}) where views > 0
+        union all
+        select 'names', event_type, cast(user_id as varchar), event_type from events
+    """,
     "silver_roundtrip": f"""
         select * replace (cast(trending_date_parsed as varchar) as trending_date_parsed) from ({STATS_SQL})
     """,

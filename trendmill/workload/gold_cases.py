@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from trendmill.operators import gold, reference
 from trendmill.plans import reports
-from trendmill.workload.tables import LOOKUP_SQL, STATS_SQL, facts, lookup, over, portable, silver
+from trendmill.workload.tables import LOOKUP_SQL, STATS_SQL, facts, lookup, over, portable, published, silver
 
 REGION = "america"
 
@@ -77,17 +77,19 @@ def _trending(spark, sf_dir):
     return gold.trending_analytics(silver(spark, sf_dir))
 
 
-def _channels(spark, sf_dir, region=None):
-    rows = silver(spark, sf_dir)
-    if region:
-        rows = rows.filter(rows.region == region)
-    return gold.channel_analytics(rows, lookup(spark, sf_dir))
+def _channels(spark, sf_dir):
+    return gold.channel_analytics(silver(spark, sf_dir), lookup(spark, sf_dir))
 
 
 def _categories(spark, sf_dir):
     return gold.category_analytics(silver(spark, sf_dir), lookup(spark, sf_dir))
 
 
+def _gold(spark, sf_dir, name):
+    """A Gold table as its readers see it."""
+    return spark.table(published(spark, sf_dir).table(f"{name}_analytics"))
+
+
 QUERIES = {
     "category_lookup": lambda s, d: reference.category_lookup(over(s, d, _PART_REFERENCE, "part")),
     "enrich_category": lambda s, d: portable(
@@ -98,12 +100,11 @@ QUERIES = {
     "gold_trending": lambda s, d: portable(_trending(s, d)),
     "gold_channel": lambda s, d: portable(_channels(s, d)),
     "gold_category": lambda s, d: portable(_categories(s, d)),
-    "q1_top_channels": lambda s, d: portable(reports.top_channels(_channels(s, d, REGION), REGION)),
-    "q2_category_share": lambda s, d: reports.category_share(_categories(s, d), REGION),
-    "q3_region_volume": lambda s, d: reports.region_volume(_trending(s, d)),
-    "q4_peak_day": lambda s, d: portable(reports.peak_day(_trending(s, d))),
-    "q5_versatile_channels": lambda s, d: reports.versatile_channels(
-        gold.channel_totals(silver(s, d), lookup(s, d)), REGION),
+    "q1_top_channels": lambda s, d: portable(reports.top_channels(_gold(s, d, "channel"), REGION)),
+    "q2_category_share": lambda s, d: reports.category_share(_gold(s, d, "category"), REGION),
+    "q3_region_volume": lambda s, d: reports.region_volume(_gold(s, d, "trending")),
+    "q4_peak_day": lambda s, d: portable(reports.peak_day(_gold(s, d, "trending"))),
+    "q5_versatile_channels": lambda s, d: reports.versatile_channels(_gold(s, d, "channel"), REGION),
 }
 
 SQL = {

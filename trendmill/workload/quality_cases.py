@@ -71,7 +71,7 @@ def _null_row(source: str, column: str, condition: str) -> str:
     return f"""
         select '{source}' as source, 'null_pct' as "check", '{column}' as "column", round({percent}, 2) as value,
                5.0::double as threshold, {percent} <= 5.0 as passed,
-               printf('{column} null %.2f%% (max 5.0%%)', {percent}) as message
+               printf('%.2f %% of {column} are empty, 5.0 %% allowed', {percent}) as message
         from {source}
     """
 
@@ -79,7 +79,7 @@ def _null_row(source: str, column: str, condition: str) -> str:
 _NULLS = " union all ".join([
     _null_row("events", "video_id", "user_id is null"),
     _null_row("events", "title", "value < 30"),
-    """select 'events', 'null_pct', 'channel_title', null, null, false, 'column ''channel_title'' missing'""",
+    """select 'events', 'null_pct', 'channel_title', null, null, false, 'there is no channel_title'""",
     _null_row("events", "views", "value is null"),
     _null_row("events", "region", "event_type is null"),
     _null_row("orders", "video_id", "o_orderkey is null"),
@@ -104,24 +104,25 @@ _PASSES = f"""
 SQL = {
     "dq_row_count": """
         select 'events' as source, 'row_count' as "check", count(*)::double as value, 10.0::double as threshold,
-               count(*) >= 10 as passed, count(*) || ' rows (min 10)' as message from events
+               count(*) >= 10 as passed, 'counted ' || count(*) || ', at least 10 wanted' as message from events
         union all
-        select 'orders', 'row_count', count(*)::double, 10.0::double, count(*) >= 10, count(*) || ' rows (min 10)'
+        select 'orders', 'row_count', count(*)::double, 10.0::double, count(*) >= 10, 'counted ' || count(*) || ', at least 10 wanted'
         from orders
     """,
     "dq_nulls": _NULLS,
     "dq_schema": """
         select 'events' as source, 'schema' as "check", 'channel_title' as missing, false as passed,
-               'missing channel_title' as message
-        union all select 'orders', 'schema', '', true, 'all required columns present'
+               'without channel_title' as message
+        union all select 'orders', 'schema', '', true, 'complete'
     """,
     "dq_value_range": f"""
         select *, negative = 0 and extreme = 0 as passed,
-               negative || ' negative, ' || extreme || ' extreme views' as message
+               'views below zero: ' || negative || ', above ' || case source when 'events' then '400' else '50000000000' end
+               || ': ' || extreme as message
         from ({_RANGE})
     """,
     "dq_freshness": f"""
-        select *, 'latest ' || latest || ' vs cutoff 2024-01-30 12:00:00' as message from (
+        select *, 'newest row from ' || latest || ', wanted since 2024-01-30 12:00:00' as message from (
             select 'events' as source, 'freshness' as "check", cast(max(ts) as varchar) as latest,
                    max(ts) >= {_CUTOFF} as passed from events
             union all

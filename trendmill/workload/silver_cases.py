@@ -218,7 +218,7 @@ QUERIES = {
     "column_align": _align,
     "region_normalize": lambda s, d: _customers(s, d).select(
         "c_custkey", fn.normalize_region(F.col("region")).alias("region")),
-    "region_filter": lambda s, d: cleanse.filter_regions(_customers(s, d), " Building, MACHINERY ,").select(
+    "region_filter": lambda s, d: cleanse.filter_regions(_customers(s, d), [" Building", "MACHINERY "]).select(
         "c_custkey", fn.normalize_region(F.col("region")).alias("region")),
     "fill_numeric_nulls": lambda s, d: portable(cleanse.fill_metric_nulls(_gaps(s, d))),
     "drop_blank_ids": lambda s, d: cleanse.drop_blank_ids(over(s, d, _BLANKS, "events")),

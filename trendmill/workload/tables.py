@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from trendmill.operators.cleanse import add_rates
 from trendmill.operators.reference import measured_lookup
+from trendmill.plans.pipeline import build_gold
 from trendmill.session import fresh_path, use_job_settings
+from trendmill.sources.tables import Layout, ensure_table, overwrite_partitions
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_job_settings(spark)
@@ -93,7 +96,17 @@ def over(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
     return spark.sql(text, **{name: table(spark, sf_dir, name) for name in names})
 
 
+def fresh_layout(spark: SparkSession) -> Layout:
+    """A database and folder of its own, so that a query never meets another one's tables."""
+    use_job_settings(spark)
+    root = fresh_path(spark, "tables")
+    database = "trendmill_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    return Layout(root, database)
+
+
 _silver_paths: dict[tuple[str, str], str] = {}
+_published: dict[tuple[str, str], Layout] = {}
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,3 +118,16 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.hint("rebalance", F.col("region")).write.partitionBy("region").parquet(path)
         _silver_paths[key] = path
     return spark.read.schema(rows.schema).parquet(_silver_paths[key])
+
+
+def published(spark: SparkSession, sf_dir: str) -> Layout:
+    """The Gold tables as the build job publishes them over ``silver``, once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    rows = silver(spark, sf_dir)
+    if key not in _published:
+        layout = fresh_layout(spark)
+        ensure_table(spark, layout.statistics, _silver_paths[key], rows.schema, ("region",))
+        overwrite_partitions(reference(spark, sf_dir), layout.reference, layout.path("clean_reference_data"))
+        build_gold(spark, layout)
+        _published[key] = layout
+    return _published[key]
