@@ -1,118 +1,257 @@
-"""Substring de-duplication by lines: of lines that are equal once normalised, the earliest one stays, corpus-wide."""
+"""Substring de-duplication: paragraphs of whole sentences or lines that repeat anywhere in the corpus are cut out.
+
+A text is split into sentences, and once more into lines. From each of them on, as many as hold twenty words form a
+paragraph; its digest stands for it. Digests are grouped globally, the earliest ranked occurrence of a digest stays, and
+runs of repeated paragraphs that are long enough are removed from all other places.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendmill.llm.common import free_names, numbered, stage
 
-# Shorter lines are headings, signs and phrases; they repeat without being copies.
-MIN_WORDS = 10
-_NO_WORD = r"[^\p{L}\p{N}]+"
+# Words of a paragraph that is compared. Shorter ones are headings, signs and phrases; they repeat without being copies.
+PARAGRAPH_WORDS = 20
+# Words that have to repeat in a row. A passage of fifty words keeps its first sentence where the text before it has no
+# end, so fewer are asked for.
+RUN_WORDS = 30
+
+# What ends a sentence; line breaks do not, so a text that is wrapped anew has the same sentences.
+_ENDS = ".!?。！？"
+_SPLIT = (re.compile(rf"[^{_ENDS}]+[{_ENDS}]*"), re.compile(r"[^\n]+"))
+_NO_WORD = regex.compile(r"[^\p{L}\p{N}]+")
+# Scripts that are written without spaces: two of their letters count as a word.
+_UNSPACED = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿"
+_UNSPACED_LETTER = re.compile(f"[{_UNSPACED}]")
+
+
+def units(text: str, kind: int) -> list[tuple[int, int, str, int]]:
+    """(start, end, form, words) of the sentences (kind 0) or lines (kind 1) of a text that have a letter or digit.
+
+    Offsets are in code points, without white space around the unit; form is lower case, words apart by single spaces.
+    """
+    found = []
+    for match in _SPLIT[kind].finditer(text):
+        raw = match.group()
+        form = _NO_WORD.sub(" ", raw.lower()).strip()
+        if form:
+            start = match.start() + len(raw) - len(raw.lstrip())
+            words = form.count(" ") + 1
+            if not form.isascii():
+                words += len(_UNSPACED_LETTER.findall(form)) // 2
+            found.append((start, match.start() + len(raw.rstrip()), form, words))
+    return found
 
 
-def normalized(line: Column) -> Column:
-    """Lower case, words separated by single spaces, nothing else."""
-    return F.btrim(F.regexp_replace(F.lower(line), _NO_WORD, " "))
+def paragraphs(parts: list[tuple[int, int, str, int]], least: int = PARAGRAPH_WORDS) -> list[tuple[int, int]]:
+    """(first, last) unit of every paragraph: from each unit on, the fewest that hold ``least`` words."""
+    spans, end, words = [], 0, 0
+    for first in range(len(parts)):
+        while end < len(parts) and words < least:
+            words += parts[end][3]
+            end += 1
+        if words < least:
+            break
+        spans.append((first, end - 1))
+        words -= parts[first][3]
+    return spans
 
 
-def repeated_lines(source: DataFrame, row: str, text: str, doc_id: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(row, cuts) of rows with lines to remove; cuts has the line number (from 0) and the doc_id that keeps the line.
+def repeated_paragraphs(source: DataFrame, row: str, text: str, doc_id: str) -> DataFrame:
+    """(row, places) of rows with paragraphs that have an earlier occurrence; a place is twice the first unit plus the kind.
 
-    A digest is grouped globally with its earliest line as the only other value, so a line that a third of all documents
-    share costs one small row per task. The earliest line is that of the smallest doc_id (null last), then of the
-    smallest row number and line number. Lines of fewer than ``min_words`` words always stay.
+    The earliest occurrence is that in the smallest doc_id (null last), then in the smallest row, then the first in the
+    text. A task first looks for repeats among the texts of a batch: of a passage that a third of all documents share it
+    passes on one place per batch, all others are repeats whatever the rest of the corpus holds. What is left is dealt out
+    by digest, sorted, and read as a stream in which every row that has the digest of the row before it is a repeat.
     """
-    lines = source.select(F.col(row).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"),
-                          F.posexplode(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n")).alias("line", "x"))
-    words = lines.select("row", "doc_id", "line", normalized(F.col("x")).alias("x")) \
-        .filter(F.length("x") - F.length(F.replace("x", F.lit(" "), F.lit(""))) + 1 >= min_words)
-    units = stage(words.select("row", "doc_id", "line", F.unhex(F.md5("x")).alias("digest")), "units", "zstd")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "line")
-    groups = units.groupBy("digest").agg(F.min(rank).alias("keeper"), F.count("*").alias("n")).filter("n > 1")
-    return units.join(groups, "digest") \
-        .filter((F.col("row") != F.col("keeper.row")) | (F.col("line") != F.col("keeper.line"))) \
-        .groupBy("row").agg(F.collect_list(F.struct("line", F.col("keeper.doc_id").alias("kept_in"))).alias("cuts"))
-
-
-def cut_lines(text: str, cuts: dict[int, int | None]) -> tuple[str, list[dict]]:
-    """(text without the lines, removed spans in offsets of the original text); a span leaves out its line break."""
-    kept, removed, at = [], [], 0
-    for number, line in enumerate(text.split("\n")):
-        if number in cuts:
-            removed.append({"start": at, "end": at + len(line), "kept_in": cuts[number]})
+    def batch_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            order = sorted(range(len(rows)), key=lambda i: (names[i] is None, 0 if names[i] is None else names[i], rows[i]))
+            digests, at, place = [], [], []
+            for i in order:
+                value = batch.column(2)[i].as_py()
+                for kind in (0, 1) if value else ():
+                    parts = units(value, kind)
+                    forms = [p[2] for p in parts]
+                    for first, last in paragraphs(parts):
+                        digests.append(xxhash.xxh3_128_digest(" ".join(forms[first:last + 1]).encode("utf-8", "surrogatepass"), seed=kind))
+                        at.append(i)
+                        place.append(2 * first + kind)
+            both = np.frombuffer(b"".join(digests), ">u8").reshape(-1, 2)
+            high, low = both[:, 0].astype("<u8").view(np.int64), (both[:, 1] >> 32).astype(np.uint32).view(np.int32)
+            # Places came in the order of rank, and the sort keeps it among equal digests.
+            turn = np.lexsort((low, high))
+            repeat = np.zeros(len(turn), bool)
+            repeat[1:] = (high[turn][1:] == high[turn][:-1]) & (low[turn][1:] == low[turn][:-1])
+            at, place = np.array(at, np.int64)[turn], np.array(place, np.int64)[turn]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(rows, np.int64)[at]), batch.column(1).take(pa.array(at)), pa.array(place),
+                 pa.array(high[turn]), pa.array(low[turn]), pa.array(repeat)],
+                ["row", "doc_id", "place", "high", "low", "repeat"])
+
+    def stream_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            high, low = (batch.column(i).to_numpy() for i in (0, 1))
+            repeat = np.zeros(batch.num_rows, bool)
+            repeat[1:] = (high[1:] == high[:-1]) & (low[1:] == low[:-1])
+            repeat[0] = before == (high[0], low[0])
+            before = (high[-1], low[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3)], ["row", "place"]).filter(pa.array(repeat))
+
+    texts = source.select(F.col(row).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    kind = texts.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", kind), T.StructField("place", T.LongType()),
+                           T.StructField("high", T.LongType()), T.StructField("low", T.IntegerType()), T.StructField("repeat", T.BooleanType())])
+    found = stage(texts.mapInArrow(batch_repeats, schema), "paragraphs", "zstd")
+    dealt = found.filter("not repeat").repartition("high", "low").sortWithinPartitions(
+        "high", "low", F.col("doc_id").asc_nulls_last(), "row", F.col("place") % 2, "place")
+    across = dealt.select("high", "low", "row", "place").mapInArrow(stream_repeats, "row long, place long")
+    return across.union(found.filter("repeat").select("row", "place")).groupBy("row").agg(F.collect_list("place").alias("places"))
+
+
+def cut_runs(text: str, places: list[int]) -> tuple[str, list[tuple[int, int]]]:
+    """(text without the runs of repeated paragraphs, removed spans in offsets of the original text)."""
+    spans = []
+    for kind in (0, 1):
+        firsts = {p >> 1 for p in places if p & 1 == kind}
+        if not firsts:
+            continue
+        parts = units(text, kind)
+        covered = np.zeros(len(parts), bool)
+        for first, last in paragraphs(parts):
+            if first in firsts:
+                covered[first:last + 1] = True
+        i = 0
+        while i < len(parts):
+            j = i
+            while j < len(parts) and covered[j]:
+                j += 1
+            if sum(p[3] for p in parts[i:j]) >= RUN_WORDS:
+                spans.append((parts[i][0], parts[j - 1][1]))
+            i = max(j, i + 1)
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
         else:
-            kept.append(line)
-        at += len(line) + 1
-    return "\n".join(kept), removed
+            merged.append((start, end))
+    at, kept = 0, []
+    for start, end in merged:
+        kept.append(text[at:start])
+        at = end
+    return "".join(kept) + text[at:], merged
 
 
-def remove_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "removed",
-                          min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated lines cut out of the text, and the column ``into`` with the spans that are gone.
+def remove_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "removed") -> DataFrame:
+    """``docs`` with repeated passages cut out of the text, and the column ``into`` with the spans that are gone.
 
-    Each span has start and end, in code points of the original text, and kept_in, the doc_id that keeps the line; so
-    every offset of the shorter text can be traced back. Lines that repeat within one document are cut as well. Null text
-    stays null, empty text empty, and a text of which every line is cut becomes empty; no row is dropped. A repeated row
-    loses its long lines to the first of its copies. A null doc_id ranks last. Other columns pass through, whatever their
-    names; a column already named ``into`` is replaced.
+    A passage is a run of whole sentences, or of whole lines, of which every part lies in a paragraph that occurs earlier in
+    the corpus, and which has at least RUN_WORDS words. A span has start and end, in code points of the original text, so
+    every offset of the shorter text can be traced back; the text is what lies between the spans. Passages that repeat
+    within one document are cut as well. The first occurrence of a paragraph is never cut on its account.
+
+    Null text stays null, empty text empty, and a text of which everything is cut becomes empty or blank; no row is dropped.
+    A repeated row loses its passages to the first of its copies. A null doc_id ranks last. Other columns pass through,
+    whatever their names; a column already named ``into`` is replaced.
     """
     rest = [c for c in docs.columns if c.lower() != into.lower()]
-    row, cuts = free_names([*rest, into], "row", "cuts")
+    row, places = free_names([*rest, into], "row", "places")
     source = stage(numbered(docs.select(*[F.col(f"`{c}`") for c in rest]), row), "numbered", "zstd")
-    found = repeated_lines(source, row, text, doc_id, min_words).select(
-        F.col("row").alias(row), F.col("cuts").alias(cuts))
+    found = stage(repeated_paragraphs(source, row, text, doc_id), "repeats").select(
+        F.col("row").alias(row), F.col("places").alias(places))
     joined = source.join(found, row, "left").drop(row)
-    names = next(f.dataType for f in docs.schema if f.name == doc_id)
-    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
-                         T.StructField("kept_in", names)])
-    schema = T.StructType([*[f for f in joined.schema if f.name != cuts], T.StructField(into, T.ArrayType(span))])
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    schema = T.StructType([*[f for f in joined.schema if f.name != places], T.StructField(into, T.ArrayType(span))])
     at = rest.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             texts, spans = [], []
             for value, some in zip(batch.column(at), batch.column(len(rest))):
-                if some.is_valid:
-                    kept, removed = cut_lines(value.as_py(), {c["line"]: c["kept_in"] for c in some.as_py()})
-                    texts.append(kept)
-                    spans.append(removed)
-                else:
-                    texts.append(value.as_py())
-                    spans.append([])
+                kept, removed = cut_runs(value.as_py(), some.as_py()) if some.is_valid else (value.as_py(), [])
+                texts.append(kept)
+                spans.append([{"start": a, "end": b} for a, b in removed])
             columns = [batch.column(i) for i in range(len(rest))]
             columns[at] = pa.array(texts, columns[at].type)
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
-                                       ("kept_in", batch.schema.field(cuts).type.value_type.field("kept_in").type)]))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], [*rest, into])
 
     return joined.mapInArrow(cut, schema)
 
 
-def removal_sql(source: str, min_words: int = MIN_WORDS) -> str:
+def removal_sql(source: str) -> str:
     """DuckDB SQL for doc_id, n_removed, removed_chars, spans and the digest of what stays (doc_id unique)."""
     return f"""
-    with base as (
-        select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from {source}
-    ), lines as (
-        select doc_id, unnest(range(len(lines))) as line, unnest(lines) as x from base
+    with raw as (
+        select doc_id, kind, x from (
+            select doc_id, 0 as kind, unnest(regexp_extract_all(text, '[^{_ENDS}]+[{_ENDS}]*|[{_ENDS}]+')) as x from {source}
+            union all
+            select doc_id, 1, unnest(regexp_extract_all(text, '[^\\n]+|\\n+')) from {source})
+    ), numbered as (
+        select doc_id, kind, x, row_number() over () as n from raw
     ), placed as (
-        select *, coalesce(sum(length(x) + 1) over (
-                   partition by doc_id order by line rows between unbounded preceding and 1 preceding), 0) as start,
-               trim(regexp_replace(lower(x), '{_NO_WORD}', ' ', 'g')) as form from lines
-    ), judged as (
-        select *, case when length(form) - length(replace(form, ' ', '')) + 1 >= {min_words}
-                       then row_number() over (partition by md5(form) order by doc_id, line) > 1
-                       else false end as gone
-        from placed
+        select *, coalesce(sum(length(x)) over (partition by doc_id, kind order by n rows between unbounded preceding and 1 preceding), 0) as pos,
+               trim(regexp_replace(lower(x), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as form from numbered
+    ), unit as (
+        select doc_id, kind, form, pos + length(x) - length(ltrim(x, {_BLANK_SQL})) as start, pos + length(rtrim(x, {_BLANK_SQL})) as stop,
+               row_number() over (partition by doc_id, kind order by n) as i,
+               length(form) - length(replace(form, ' ', '')) + 1
+                   + length(regexp_replace(form, '[^{_UNSPACED}]', '', 'g')) // 2 as words
+        from placed where form <> ''
+    ), summed as (
+        select *, sum(words) over (partition by doc_id, kind order by i) as upto from unit
+    ), listed as (
+        select doc_id, kind, list(form order by i) as forms from unit group by doc_id, kind
+    ), paragraph as (
+        select a.doc_id, a.kind, a.i, b.i as j, md5(array_to_string(forms[a.i:b.i], ' ')) as digest
+        from summed a asof join summed b on a.doc_id = b.doc_id and a.kind = b.kind and a.upto - a.words + {PARAGRAPH_WORDS} <= b.upto
+                      join listed l on a.doc_id = l.doc_id and a.kind = l.kind
+    ), repeated as (
+        select * from (select *, row_number() over (partition by kind, digest order by doc_id, i) as occurrence from paragraph)
+        where occurrence > 1
+    ), covered as (
+        select distinct doc_id, kind, unnest(range(i, j + 1)) as i from repeated
+    ), run as (
+        select doc_id, min(start) as start, max(stop) as stop
+        from (select u.*, c.i - row_number() over (partition by c.doc_id, c.kind order by c.i) as island
+              from covered c join unit u on c.doc_id = u.doc_id and c.kind = u.kind and c.i = u.i)
+        group by doc_id, kind, island having sum(words) >= {RUN_WORDS}
+    ), span as (
+        select doc_id, min(start) as start, max(stop) as stop
+        from (select *, sum(fresh::int) over (partition by doc_id order by start, stop) as part
+              from (select *, coalesce(start > max(stop) over (partition by doc_id order by start, stop
+                                       rows between unbounded preceding and 1 preceding), true) as fresh from run))
+        group by doc_id, part
+    ), kept as (
+        select doc_id, string_agg(substr(text, pos::bigint + 1, (start - pos)::bigint), '' order by start) as text
+        from (select s.doc_id, d.text, s.start, coalesce(lag(s.stop) over (partition by s.doc_id order by s.start), 0) as pos
+              from (select * from span union all
+                    select doc_id, length(text), length(text) from {source} where doc_id in (select doc_id from span)) s
+              join {source} d on s.doc_id = d.doc_id)
+        group by doc_id
     )
-    select doc_id, count(*) filter (gone) as n_removed,
-           cast(coalesce(sum(length(x)) filter (gone), 0) as bigint) as removed_chars,
-           coalesce(string_agg(start || '-' || (start + length(x)), ' ' order by line) filter (gone), '') as spans,
-           sha256(coalesce(string_agg(x, chr(10) order by line) filter (not gone), '')) as text_sha256
-    from judged group by doc_id"""
+    select d.doc_id, coalesce(n, 0)::bigint as n_removed, coalesce(chars, 0)::bigint as removed_chars, coalesce(spans, '') as spans,
+           sha256(coalesce(k.text, d.text, '')) as text_sha256
+    from {source} d left join kept k on d.doc_id = k.doc_id
+         left join (select doc_id, count(*) as n, sum(stop - start) as chars,
+                           string_agg(start::bigint || '-' || stop::bigint, ' ' order by start) as spans from span group by doc_id) s
+              on d.doc_id = s.doc_id"""
+
+
+# White space as Python strips it, as far as texts have it.
+_BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160) || chr(8232) || chr(8233) || chr(12288)"
