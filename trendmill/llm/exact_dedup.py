@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendmill.llm.common import free_names, open_store, stage
-from trendmill.session import fresh_path
+from trendmill.llm.common import free_names, open_store, scratch_path, stage
 
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -42,7 +41,7 @@ class Deduplicator:
 
     def __init__(self, spark: SparkSession, folder: str | None = None, digest_chars: int = 64):
         self.spark = spark
-        self.folder = folder or fresh_path(spark, "exact")
+        self.folder = folder or scratch_path(spark, "exact")
         self.digest_chars = digest_chars
 
     # --- adding ------------------------------------------------------------------------------------------------------

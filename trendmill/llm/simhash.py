@@ -25,6 +25,8 @@ RADIUS = 3
 BLOCKS = 5
 # Members of a bucket that one comparison holds; larger buckets are dealt out as pairs of parts.
 PART = 4096
+# Bucket members that one task takes.
+_TASK_MEMBERS = 20_000
 _ROWS_AT_ONCE = 256
 _HASHES_AT_ONCE = 65_536
 
@@ -200,15 +202,18 @@ def link(prints: DataFrame, part: int = PART) -> DataFrame:
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keyed = stage(nodes.select("fingerprint", F.posexplode(F.array(*[
         F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("t", "k")), "keyed")
-    shared = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = stage(keyed.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     parts = F.ceil(F.col("n") / part).cast("int")
+    # Fingerprints are small and comparing them is not, so tasks are counted by members, not by bytes.
+    members = shared.agg(F.sum(F.col("n") * parts)).first()[0] or 0
+    n_tasks = max(prints.sparkSession.sparkContext.defaultParallelism, -(-members // _TASK_MEMBERS))
     mine = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
     cells = keyed.join(shared, ["t", "k"]).withColumn("parts", parts).withColumn("mine", mine) \
         .select("t", "k", "mine", "fingerprint", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")) \
         .select("t", "k", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                 (F.col("mine") > F.col("other")).cast("int").alias("side"), "fingerprint")
     order = ["t", "k", "i", "j"]
-    return cells.repartition(*order).sortWithinPartitions(*order, "side").mapInArrow(_compare, "a long, b long")
+    return cells.repartition(int(n_tasks), *order).sortWithinPartitions(*order, "side").mapInArrow(_compare, "a long, b long")
 
 
 def classes(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
