@@ -140,24 +140,104 @@ def test_exact_keeps_columns_and_nulls(clashing):
     assert exact_dedup.keep_one(clashing.limit(0)).count() == 0
 
 
-# --- lines -----------------------------------------------------------------------------------------------------------
-
-def test_the_earliest_line_stays(documents):
-    line = "One long line of more than ten words that many documents share today."
-    texts = {5: f"start\n{line}\nend", 3: f"{line}\nown line", 8: f"{line.upper()}!!\n{line}", 9: "short\nshort"}
-    rows = {r.doc_id: r for r in line_dedup.remove_repeated_lines(documents(texts.items())).collect()}
-    assert [rows[i].text for i in (3, 5, 8, 9)] == [texts[3], "start\nend", "", texts[9]]
-    for i, r in rows.items():
-        for s in r.removed:
-            assert line_dedup.normalized is not None and texts[i][s.start:s.end].lower().startswith("one long line")
-            assert s.kept_in == 3
-
-
-def test_lines_of_odd_rows(clashing):
-    cut = line_dedup.remove_repeated_lines(clashing)
+# --- passages ---------------------------------------------------------------------------------------------------------
+
+def brute_cut(rows):
+    """[(doc_id, text)] in the order of rank -> {place in rows: what is left}, by comparing every paragraph's words."""
+    seen, left = set(), {}
+    for at, (_, text) in enumerate(rows):
+        gone = np.zeros(len(text or ""), bool)
+        for ends in (".!?。！？", "\n"):
+            parts, begin = [], 0
+            for k in range(len(gone) + 1):
+                over = k == len(gone) or (ends == "\n" and text[k] == "\n")
+                if ends != "\n" and 0 < k < len(gone):
+                    over = text[k] not in ends and text[k - 1] in ends
+                if over:
+                    words = re.findall(r"[^\W_]+", text[begin:k].lower())
+                    if words:
+                        raw = text[begin:k]
+                        first = begin + len(raw) - len(raw.lstrip())
+                        unspaced = sum("\u3040" <= c <= "\u30ff" or "\u3400" <= c <= "\u9fff" for w in words for c in w)
+                        parts.append((first, begin + len(raw.rstrip()), words, len(words) + unspaced // 2))
+                    begin = k
+            hit = np.zeros(len(parts), bool)
+            for a in range(len(parts)):
+                for b in range(a, len(parts)):
+                    if sum(p[3] for p in parts[a:b + 1]) >= 20:
+                        key = (ends, " ".join(w for p in parts[a:b + 1] for w in p[2]))
+                        if key in seen:
+                            hit[a:b + 1] = True
+                        seen.add(key)
+                        break
+            for a in range(len(parts)):
+                if hit[a] and not (a and hit[a - 1]):
+                    b = a
+                    while b + 1 < len(parts) and hit[b + 1]:
+                        b += 1
+                    if sum(p[3] for p in parts[a:b + 1]) >= 30:
+                        gone[parts[a][0]:parts[b][1]] = True
+        left[at] = text and "".join(c for c, g in zip(text, gone) if not g)
+    return left
+
+
+PASSAGE = ("the passage in question begins here with some words. it goes on for a while with more of them, and on. "
+           "then it has a short part! and another long part of it that nobody would write twice by chance. "
+           "it ends after more than fifty words with this sentence about its end.")
+
+
+def own(i, n=60):
+    return ". ".join(prose(12, 31 * i + k) for k in range(n // 12)) + "."
+
+
+@pytest.mark.parametrize("around", [
+    lambda i: f"{own(i)} {PASSAGE} {own(i + 500)}",                               # inside a line
+    lambda i: f"{own(i)}\n\n{PASSAGE}\n\n{own(i + 500)}",                         # a paragraph
+    lambda i: f"{own(i)} and then {PASSAGE} and so on {own(i + 500)}",           # without an end before it
+    lambda i: own(i) + " " + re.sub(r" (?=\w+ \w+ \w+$)" if i == 0 else " ", lambda m, i=i: "\n" if m.start() % (7 + i) == 0 else " ", PASSAGE),  # wrapped
+    lambda i: own(i) + "\n" + re.sub(r"[.!] ", "\n", PASSAGE.replace(", ", "\n")).rstrip(".") + "\n" + own(i + 500),  # verse
+])
+def test_a_passage_stays_in_the_earliest_document_only(documents, around):
+    rows = [(i, around(i)) for i in range(6)]
+    got = {r.doc_id: r for r in line_dedup.remove_repeated_passages(documents(rows)).collect()}
+    want = brute_cut(rows)
+    middle = "another long part of it that nobody"
+    for i, text in rows:
+        assert got[i].text == want[i]
+        assert (middle in re.sub(r"\s+", " ", got[i].text)) == (i == 0)
+        kept, at = [], 0
+        for s in got[i].removed:
+            kept.append(text[at:s.start])
+            at = s.end
+        assert "".join(kept) + text[at:] == got[i].text
+        assert own(i)[:-20] in got[i].text  # what is its own stays
+
+
+def test_short_and_unspaced_repeats(documents):
+    chinese = "这是一个很长的句子它在许多文件中反复出现并且没有任何空格" * 4
+    line = "A heading line of some ten words that many documents share today."
+    rows = [(1, f"{own(1)}\n{line}\n{chinese}。"), (2, f"{own(2)}\n{line}\n{chinese}。\n{own(3)}"), (3, f"{line}\n{line}\n{own(4)}")]
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(documents(rows)).collect()}
+    assert got[1] == rows[0][1] and got[3] == rows[2][1]
+    assert chinese not in got[2] and line in got[2] and got[2] == brute_cut(rows)[1]
+
+
+def test_passages_equal_brute_force(documents):
+    rng = random.Random(12)
+    sentences = [" ".join(rng.choice(["aa", "bb", "cc", "dd"]) + str(rng.randrange(4)) for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    rows = [(i, "".join(rng.choice(sentences) + rng.choice([". ", "! ", "\n", "... ", ", "]) for _ in range(rng.randrange(30)))) for i in range(120)]
+    rows += [(i, rows[i % 120][1]) for i in range(120, 140)] + [(None, rows[3][1])]
+    got = line_dedup.remove_repeated_passages(documents(rows)).collect()
+    want = brute_cut(rows)
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((d, want[k]) for k, (d, _) in enumerate(rows)), key=str)
+    assert sum(want[k] != t for k, (_, t) in enumerate(rows)) > 20
+
+
+def test_passages_of_odd_rows(clashing):
+    cut = line_dedup.remove_repeated_passages(clashing)
     assert sorted(cut.columns) == sorted(clashing.columns) and cut.count() == clashing.count()
     assert cut.filter("text is null").count() == clashing.filter("text is null").count()
-    assert line_dedup.remove_repeated_lines(clashing.limit(0)).count() == 0
+    assert line_dedup.remove_repeated_passages(clashing.limit(0)).count() == 0
 
 
 # --- tokens ----------------------------------------------------------------------------------------------------------
@@ -288,8 +368,7 @@ def test_conversations_read_back(spark, monkeypatch):
 # --- the pipeline ----------------------------------------------------------------------------------------------------
 
 def test_pipeline_equals_brute_force(spark, documents, tmp_path, library):
-    shared = "This very long line is found in many of the documents of this corpus, word for word."
-    rows = [(i, prose(300, i % 7 * 3) + f"\n{shared}\nending of document {i} in plain words") for i in range(20)]
+    rows = [(i, prose(300, i % 7 * 3) + f"\n{PASSAGE}\nending of document {i} in plain words") for i in range(20)]
     rows += [(30, rows[3][1]), (31, rows[3][1]), (32, "too short"), (33, None), (34, " ".join(["again"] * 90)), (None, prose(90, 5))]
     docs = documents(rows).withColumn("row", F.lit("extra"))
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -303,16 +382,9 @@ def test_pipeline_equals_brute_force(spark, documents, tmp_path, library):
     for d, f, c in brute_classes([(d, t) for t, d in exact.items()]):
         near.setdefault(f if c is None else c, []).append(d)
     kept = {min((d for d in ds if d is not None), default=None) for ds in near.values()}
-    text, seen = {}, set()
-    for d in sorted(kept, key=lambda d: (d is None, d or 0)):
-        lines = []
-        for line in next(t for t, k in exact.items() if k == d).split("\n"):
-            form = re.sub(r"[\W_]+", " ", line.lower()).strip()
-            if len(form.split()) >= 10 and form in seen:
-                continue
-            seen.add(form)
-            lines.append(line)
-        text[d] = "\n".join(lines)
+    ranked = [(d, next(t for t, k in exact.items() if k == d)) for d in sorted(kept, key=lambda d: (d is None, d or 0))]
+    text = {d: brute_cut(ranked)[k] for k, (d, _) in enumerate(ranked)}
+    assert sum(text[d] != t for d, t in ranked) > 2
     want = []
     for d, t in text.items():
         ids = library.encode(t, add_special_tokens=False).ids + [1]
@@ -329,58 +401,3 @@ def test_pipeline_of_nothing(spark, clashing, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/odd").count() == 0
     clashing.withColumn("text", F.lit(prose(300))).write.parquet(f"{tmp_path}/same/documents.parquet")
     assert [r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/same").collect()] == [7]
-
-
-# --- near copies -----------------------------------------------------------------------------------------------------
-
-def brute_sets(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
-
-
-def brute_near(rows):
-    """Smallest doc_id of every class of texts connected by Jaccard >= 0.8, and the similarities of linked pairs."""
-    sets = [brute_sets(t) for _, t in rows]
-    label, found = list(range(len(rows))), []
-    for i in range(len(rows)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
-                found.append(both / (len(sets[i]) + len(sets[j]) - both))
-                label = [label[j] if x == label[i] else x for x in label]
-    low = {}
-    for (d, _), x in zip(rows, label):
-        low[x] = min(d, low.get(x, d))
-    return sorted(low.values()), found
-
-
-def test_planted_near_copies_of_080_to_095_leave_one(documents):
-    from trendmill.llm import near_copies
-
-    rng = random.Random(9)
-    rows = []
-    for base in range(40):
-        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
-        rows.append((2 * base, " ".join(words)))
-        for at in rng.sample(range(5, 295), rng.randint(3, 8)):
-            words[at] = "edited"
-        rows.append((2 * base + 1, " ".join(words).upper()))
-    # A hub whose copies are near it, or only near one another, and a chain that no single centre reaches.
-    chain = [f"c{i}" for i in range(400)]
-    rows += [(200 + k, " ".join(chain[k * 15:k * 15 + 200])) for k in range(10)]
-    want, found = brute_near(rows)
-    assert sum(s < 0.95 for s in found) > 20 and len(want) < 60
-    assert sorted(r.doc_id for r in near_copies.keep_one(documents(rows)).collect()) == want
-    prints = [simhash.fingerprint(t) for _, t in rows]
-    near = [bin(prints[2 * i] ^ prints[2 * i + 1]).count("1") <= 3 for i in range(40)]
-    assert sum(near) < 20  # three bits would miss them
-
-
-def test_near_copies_of_odd_rows(clashing):
-    from trendmill.llm import near_copies
-
-    kept = near_copies.keep_one(clashing)
-    assert kept.columns == clashing.columns
-    texts = [tuple(sorted(brute_sets(r.text))) for r in clashing.collect()]
-    assert kept.count() == len(set(texts))
-    assert near_copies.keep_one(clashing.limit(0)).count() == 0

@@ -45,4 +45,4 @@ def test_query_has_its_columns_and_rows(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in cases.QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in cases.QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendmill.llm import bpe, chat_format, exact_dedup, license_scan, line_dedup, packing, quality_rules, simhash, token_files, toxicity
+from trendmill.llm import (
+    bpe, chat_format, exact_dedup, lexical, license_scan, line_dedup, merkle, mixing, packing, quality_rules, simhash,
+    token_files, toxicity,
+)
 from trendmill.llm.common import table, vocabulary
 
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -52,7 +55,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    cut = line_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
     return cut.select(
         "doc_id", F.size("removed").cast("long").alias("n_removed"),
         F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("removed_chars"),
@@ -69,6 +72,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in _MEASURES])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.unhex(merkle.digest([*fields, lowered])))
+    leaves = docs.select("doc_id", "source", merkle.digest([*fields, F.col("text")]).alias("leaf"), tampered.alias("found"))
+    proven = merkle.prove(leaves, "source", "doc_id")
+    found = F.coalesce(F.lower(F.hex("found")), F.col("leaf"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.sibling_text(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.fold(found, F.col("proof")).alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +105,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_mixing": op13_mixing,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -88,4 +116,7 @@ SQL = {
     "op8_line_dedup": line_dedup.removal_sql("documents"),
     "op9_exact_dedup": exact_dedup.copies_sql("documents"),
     "op10_quality_rules": quality_rules.measure_sql("documents"),
+    "op11_merkle_manifest": merkle.manifest_sql("documents"),
+    "op12_lexical_search": lexical.search_sql("documents", "benchmark"),
+    "op13_mixing": mixing.mix_sql("documents"),
 }
