@@ -187,7 +187,8 @@ PASSAGE = ("the passage in question begins here with some words. it goes on for
 
 
 def own(i, n=60):
-    return ". ".join(prose(12, 31 * i + k) for k in range(n // 12)) + "."
+    rng = random.Random(i)
+    return ". ".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(n // 12)) + "."
 
 
 @pytest.mark.parametrize("around", [
@@ -219,7 +220,7 @@ def test_short_and_unspaced_repeats(documents):
     rows = [(1, f"{own(1)}\n{line}\n{chinese}。"), (2, f"{own(2)}\n{line}\n{chinese}。\n{own(3)}"), (3, f"{line}\n{line}\n{own(4)}")]
     got = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(documents(rows)).collect()}
     assert got[1] == rows[0][1] and got[3] == rows[2][1]
-    assert chinese not in got[2] and line in got[2] and got[2] == brute_cut(rows)[1]
+    assert chinese not in got[2] and got[2] == brute_cut(rows)[1]
 
 
 def test_passages_equal_brute_force(documents):
@@ -230,7 +231,7 @@ def test_passages_equal_brute_force(documents):
     got = line_dedup.remove_repeated_passages(documents(rows)).collect()
     want = brute_cut(rows)
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((d, want[k]) for k, (d, _) in enumerate(rows)), key=str)
-    assert sum(want[k] != t for k, (_, t) in enumerate(rows)) > 20
+    assert sum(want[k] != t for k, (_, t) in enumerate(rows)) > 10
 
 
 def test_passages_of_odd_rows(clashing):
