@@ -62,6 +62,22 @@ def test_js_divergence_is_that_of_the_definition(spark):
     assert got == pytest.approx((kl(p) + kl(q)) / 2)
 
 
+def test_other_languages_and_gibberish_go(spark):
+    import random
+
+    rng = random.Random(5)
+    def prose_of(lang, n=200):  # noqa: E306
+        words, weights = zip(*quality_rules.WORD_REFERENCE[lang].items())
+        return " ".join(rng.choices(words, weights)[0] if rng.random() < 0.25 else f"{lang}{rng.choice('abcdefgh')}{rng.choice('klmnop')}o"
+                        for _ in range(n))
+    gibberish = " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(200))
+    rows = [(k, prose_of(k), k, True) for k in quality_rules.WORD_REFERENCE] + [
+        ("salad", gibberish, "en", False), ("spanish", prose_of("es"), "en", False), ("english", prose_of("en"), "es", False),
+        ("short", " ".join(gibberish.split()[:80]), "en", True), ("unknown", gibberish, "xx", True)]
+    got = quality_rules.measure(spark.createDataFrame([r[:3] for r in rows], "doc_id string, text string, lang string")).collect()
+    assert [(r.doc_id, r.quality.kept) for r in got] == [(r[0], r[3]) for r in rows]
+
+
 def test_quality_of_odd_rows(clashing):
     judged = quality_rules.measure(clashing, into="verdict")
     assert judged.columns == [*clashing.columns, "verdict"] and judged.count() == clashing.count()

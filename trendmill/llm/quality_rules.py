@@ -5,7 +5,9 @@ Every measure is an expression over one row, so the operator adds no shuffle and
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
+from math import log2
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -47,10 +49,19 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_CLASS_DIVERGENCE = 0.12
-MAX_WORD_DIVERGENCE = 0.30
 # Shorter texts have histograms too coarse to judge.
 MIN_JUDGED_CHARS = 200
-MIN_JUDGED_WORDS = 50
+MIN_JUDGED_WORDS = 100
+
+
+def _without_common_words(shares: Iterable[float]) -> float:
+    """The divergence of a text that has none of the common words, from a reference that gives them these shares."""
+    rest = 1 - sum(shares)
+    return (sum(shares) + log2(2 / (1 + rest)) + rest * log2(2 * rest / (1 + rest))) / 2
+
+
+# As far as a text goes that has next to none of its language's common words, and no others in their place.
+MAX_WORD_DIVERGENCE = {lang: round(0.995 * _without_common_words(words.values()), 6) for lang, words in WORD_REFERENCE.items()}
 
 
 def js_divergence(p: list[Column], q: list[Column]) -> Column:
@@ -149,7 +160,12 @@ def _verdict(m: Column, lang: Column) -> Column:
     shares = [chars[name] / chars["all"] for name in CLASSES]
     shares.append((chars["all"] - reduce(add, (chars[name] for name in CLASSES))) / chars["all"])
     expected = [_per_language(lang, {k: v[i] for k, v in CLASS_REFERENCE.items()}) for i in range(len(CLASS_NAMES))]
-    word_shares = [F.size(F.filter(places, lambda at, i=i: at == i + 1)) / n_words for i in range(n_common)]
+
+    def occurrences(i: int) -> Column:
+        # A second parameter of the lambda would be the element's place in the array.
+        return F.size(F.filter(places, lambda at: at == i + 1))
+
+    word_shares = [occurrences(i) / n_words for i in range(n_common)]
     word_shares.append((n_words - F.size(places)) / n_words)
     word_expected = [_per_language(lang, {k: list(v.values())[i] for k, v in WORD_REFERENCE.items()})
                      for i in range(n_common)]
@@ -165,7 +181,7 @@ def _verdict(m: Column, lang: Column) -> Column:
         v["of_chars"].alias("class_divergence"), v["of_words"].alias("word_divergence"),
         v["base_failed"].alias("base_failed"),
         (~v["base_failed"] & (F.coalesce(v["of_chars"], F.lit(0.0)) <= MAX_CLASS_DIVERGENCE)
-         & (F.coalesce(v["of_words"], F.lit(0.0)) <= MAX_WORD_DIVERGENCE)).alias("kept")))
+         & F.coalesce(v["of_words"] <= _per_language(lang, MAX_WORD_DIVERGENCE), F.lit(True))).alias("kept")))
 
 
 def _divergence_of(p: list[Column], q: list[Column]) -> Column:
@@ -235,7 +251,7 @@ def measure_sql(source: str) -> str:
                                lambda x: x > 0) end as places
         from split
     ), judged as (
-        select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+        select doc_id, lang, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
                cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
                cast(coalesce(r.n, 0) as bigint) as n_repeat_words,
                case when word_chars >= {MIN_JUDGED_CHARS} and lang in ({known})
@@ -247,5 +263,5 @@ def measure_sql(source: str) -> str:
            n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed,
            not (n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words)
            and coalesce(class_divergence, 0) <= {MAX_CLASS_DIVERGENCE}
-           and coalesce(word_divergence, 0) <= {MAX_WORD_DIVERGENCE} as kept
+           and coalesce(word_divergence <= {by_lang(MAX_WORD_DIVERGENCE)}, true) as kept
     from judged"""
