@@ -174,7 +174,8 @@ def remove_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str =
     source = stage(numbered(docs.select(*[F.col(f"`{c}`") for c in rest]), row), "numbered", "zstd")
     found = stage(repeated_paragraphs(source, row, text, doc_id), "repeats").select(
         F.col("row").alias(row), F.col("places").alias(places))
-    joined = source.join(found, row, "left").drop(row)
+    # A merge join at every size: whether the places are small enough to broadcast would decide if texts are shuffled.
+    joined = source.join(found.hint("merge"), row, "left").drop(row)
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([*[f for f in joined.schema if f.name != places], T.StructField(into, T.ArrayType(span))])
     at = rest.index(text)
