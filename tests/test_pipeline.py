@@ -11,7 +11,7 @@ from trendmill.plans.pipeline import (
     build_gold_if_clean, check_silver, run_backfill, run_ingest, run_live_cycle, run_reference,
 )
 from trendmill.plans import pipeline
-from trendmill.sources import landing, ledger, published, tables
+from trendmill.sources import gold_parts, landing, ledger, published, tables
 from trendmill.streaming.live import run_live
 
 from test_sources import GB, JAN, NOV, US, line, write_files
@@ -474,3 +474,85 @@ def test_damaged_table_fails_its_own_check_only(spark, layout, tmp_path):
     assert not result.quality_passed
     assert [(r.check, r.passed) for r in found.filter("table = 'clean_reference_data'").collect()] == [("read_table", False)]
     assert found.filter("table = 'clean_statistics'").count() > 4
+
+
+# --- Gold from parts --------------------------------------------------------------------------------
+
+
+def gold_rows(spark, layout):
+    names = ("trending_analytics", "channel_analytics", "category_analytics")
+    return {n: sorted(map(str, spark.table(layout.table(n)).drop("_aggregated_at").collect())) for n in names}
+
+
+def same_as_full_build(spark, layout):
+    got = gold_rows(spark, layout)
+    pipeline.build_gold(spark, layout)
+    assert got == gold_rows(spark, layout)
+
+
+def spoil(folder):
+    """Other bytes under the names, sizes and times of a folder's files: whoever opens one fails."""
+    for file in folder.glob("*.parquet"):
+        was = file.stat()
+        file.write_bytes(b"x" * was.st_size)
+        os.utime(file, ns=(was.st_atime_ns, was.st_mtime_ns))
+
+
+def test_refresh_opens_only_changed_months(spark, layout, tmp_path):
+    live, state = tmp_path / "live", str(tmp_path / "state")
+    run = lambda: run_live(spark, str(live), layout, state)
+    feed(live, "a", row("a", 1), row("b", 2, likes=1), row("c", 3, "2024-06-01T00:00:00+00:00"), row("d", 4, "no time"),
+         row("e", 5, channel_title=None, category_id="x"))
+    run()
+    months = [("us", None), ("us", "2024-05"), ("us", "2024-06")]
+    assert pipeline.refresh_gold(spark, layout) == sorted(months, key=str)
+    same_as_full_build(spark, layout)
+    assert pipeline.refresh_gold(spark, layout) == []
+
+    may = tmp_path / "tables/clean_statistics/region=us/trending_month=2024-05"
+    kept = tmp_path / "kept"
+    shutil.copytree(may, kept)
+    spoil(may)
+    feed(live, "b", row("c", 30, "2024-06-02T00:00:00+00:00"), row("g", 7, "2024-06-02T00:00:00+00:00"), hour="11")
+    run()
+    assert pipeline.refresh_gold(spark, layout) == [("us", "2024-06")]
+    shutil.rmtree(may)
+    shutil.copytree(kept, may)
+    spark.catalog.refreshTable(layout.statistics)
+    same_as_full_build(spark, layout)
+
+
+def test_refresh_makes_up_for_what_was_missed(spark, layout, tmp_path, monkeypatch):
+    live, state = tmp_path / "live", str(tmp_path / "state")
+    feed(live, "a", row("a", 1), row("c", 3, "2024-06-01T00:00:00+00:00"))
+    run_live(spark, str(live), layout, state)
+    pipeline.refresh_gold(spark, layout)
+    feed(live, "b", row("n", 9), hour="11")
+    run_live(spark, str(live), layout, state)
+    with monkeypatch.context() as broken:  # a run that dies after some parts are written
+        real = gold_parts.insert_partitions
+
+        def dies(part, table, *rest):
+            if table.endswith("channel_videos"):
+                raise RuntimeError("lost")
+            return real(part, table, *rest)
+        broken.setattr(gold_parts, "insert_partitions", dies)
+        with pytest.raises(RuntimeError):
+            pipeline.refresh_gold(spark, layout)
+    assert pipeline.refresh_gold(spark, layout) == [("us", "2024-05")]
+    same_as_full_build(spark, layout)
+
+    shutil.rmtree(tmp_path / "tables/gold_parts/made_from")  # a lost record: all anew
+    assert pipeline.refresh_gold(spark, layout) == [("us", "2024-05"), ("us", "2024-06")]
+    names = tables.partition_names(spark, layout.statistics)
+    tables.drop_partitions(spark, layout.statistics, ("region", "trending_month"),
+                           {p: n for p, n in names.items() if p[1] == "2024-06"})
+    assert pipeline.refresh_gold(spark, layout) == [("us", "2024-06")]  # a month that is gone
+    same_as_full_build(spark, layout)
+
+
+def test_refresh_wants_silver_by_month(spark, layout):
+    rows = spark.createDataFrame([("a", "us")], "video_id string, region string")
+    tables.write_full(rows, layout.statistics, layout.path("clean_statistics"), ("region",))
+    with pytest.raises(ValueError, match="trending_month"):
+        pipeline.refresh_gold(spark, layout)

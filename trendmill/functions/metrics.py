@@ -29,10 +29,18 @@ def average_of_rates(col: Column) -> Column:
     which is exact in any order and cheaper than summing decimals row by row; the two sums become one
     decimal only once per group.
     """
+    return average_from_rate_sums(*rate_sums(col))
+
+
+def rate_sums(col: Column) -> tuple[Column, Column, Column]:
+    """Aggregates a mean of 4-decimal rates is made of: whole parts, ten-thousandths, number. They can be summed again."""
     whole = F.floor(col)
-    parts = F.floor((col - whole) * 10_000 + 0.5)
-    total = (F.sum(whole).cast(_SUM) * 10_000 + F.sum(parts).cast(_SUM)) * F.lit(Decimal("0.0001"))
-    return F.try_divide(total.cast("double"), F.count(col))
+    return F.sum(whole), F.sum(F.floor((col - whole) * 10_000 + 0.5)), F.count(col)
+
+
+def average_from_rate_sums(whole: Column, parts: Column, n: Column) -> Column:
+    total = (whole.cast(_SUM) * 10_000 + parts.cast(_SUM)) * F.lit(Decimal("0.0001"))
+    return F.try_divide(total.cast("double"), n)
 
 
 def average_of_counts(col: Column) -> Column:

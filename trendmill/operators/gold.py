@@ -77,18 +77,42 @@ def channel_totals(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
         F.max("views").alias("peak_views"),
         F.count("trending_date_parsed").alias("times_trending"),
     )
-    videos = _distinct_count(stats, keys, "video_id", "total_videos")
-    categories = enrich_category(stats.select(*keys, "category_id").distinct(), lookup)
+    return channel_rows(sums, stats, stats, lookup)
+
+
+def channel_rows(sums: DataFrame, videos: DataFrame, categories: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """Sums per channel and region, with the number of its videos and the names of its categories.
+
+    ``videos`` and ``categories`` hold the channel, region and the video or category id, any number of times.
+    """
+    keys = ["channel_title", "region"]
+    counted = _distinct_count(videos, keys, "video_id", "total_videos")
+    named = enrich_category(categories.select(*keys, "category_id").distinct(), lookup)
     measures = [_only(name) for name in sums.columns if name not in keys]
-    return _fold(keys, [sums, videos, categories.select(*keys, "category_name")],
+    return _fold(keys, [sums, counted, named.select(*keys, "category_name")],
                  [_count_or_zero("total_videos"), *measures,
                   F.array_sort(F.collect_set("category_name")).alias("categories")])
 
 
-def channel_analytics(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
-    """Figures per channel and region, ranked by views within the region (ties: channel title)."""
+def rank_channels(totals: DataFrame) -> DataFrame:
+    """Add the rank by views within the region (ties: channel title)."""
     order = [F.col("total_views").desc_nulls_last(), F.col("channel_title").asc_nulls_first()]
-    return row_number_by_range(channel_totals(stats, lookup), "region", order, "rank_in_region")
+    return row_number_by_range(totals, "region", order, "rank_in_region")
+
+
+def channel_analytics(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """Figures per channel and region, ranked by views within the region."""
+    return rank_channels(channel_totals(stats, lookup))
+
+
+def category_groups(stats: DataFrame) -> DataFrame:
+    """Figures per category id, region and day."""
+    return stats.groupBy("category_id", "region", "trending_date_parsed").agg(
+        F.count("video_id").alias("video_count"),
+        *_totals(),
+        fn.average_of_rates(F.col("engagement_rate")).alias("avg_engagement_rate"),
+        F.count_distinct("channel_title").alias("unique_channels"),
+    )
 
 
 def category_analytics(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
@@ -98,12 +122,11 @@ def category_analytics(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
     aggregated rows only. The share's window holds one row per category of a day and region.
     A day without any views has no share (null).
     """
-    grouped = stats.groupBy("category_id", "region", "trending_date_parsed").agg(
-        F.count("video_id").alias("video_count"),
-        *_totals(),
-        fn.average_of_rates(F.col("engagement_rate")).alias("avg_engagement_rate"),
-        F.count_distinct("channel_title").alias("unique_channels"),
-    )
+    return category_shares(category_groups(stats), lookup)
+
+
+def category_shares(grouped: DataFrame, lookup: DataFrame | None) -> DataFrame:
+    """Add the category's name and its share of the day's views to ``category_groups``."""
     day = F.sum("total_views").over(Window.partitionBy("region", "trending_date_parsed"))
     share = F.round(F.try_divide(F.col("total_views"), day) * 100, 2)
     return enrich_category(grouped, lookup).withColumn("view_share_pct", share).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendmill.operators import gold
+from trendmill.operators import gold_partial as partial
 from trendmill.operators.audit import counted
 from trendmill.operators.cleanse import cleanse_backfill
 from trendmill.operators.flatten import DEFAULT_SOURCE, flatten_categories, flatten_videos, payload_summary
 from trendmill.operators.quality import Rules, check_tables, verdict
 from trendmill.operators.reference import clean_reference, measured_lookup
 from trendmill.session import enable_checkpoints, folder_bytes, sized_shuffles, use_job_settings
-from trendmill.sources import ledger
+from trendmill.sources import gold_parts, ledger
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
 from trendmill.sources.landing import BACKFILL, batch_partitions, batch_rows, fold, land, rebuild
@@ -97,26 +98,55 @@ def run_reference(spark: SparkSession, json_path: str, layout: Layout, on_bad_re
 
 
 def build_gold(spark: SparkSession, layout: Layout) -> dict[str, str]:
-    """Rebuild the three Gold tables and let readers see them; returns the version of each.
+    """Rebuild the three Gold tables from all of Silver and let readers see them; returns the version of each.
 
-    Without a usable reference table all categories are 'Unknown'. The builds do not depend on each other and run side by
-    side, so that one fills the executors the last tasks of another leave idle. Readers see the old tables until all
-    three are complete, and then the new ones: if one build fails, none of them changes.
+    Without a usable reference table all categories are 'Unknown'.
     """
     use_job_settings(spark)
-    stats = spark.table(layout.statistics)
-    reference = read_or_none(spark, layout.reference)
-    lookup = None if reference is None else measured_lookup(reference)
-    builds = {
+    stats, lookup = spark.table(layout.statistics), _lookup(spark, layout)
+    return _publish_gold(layout, {
         "channel_analytics": lambda: gold.channel_analytics(stats, lookup),
         "category_analytics": lambda: gold.category_analytics(stats, lookup),
         "trending_analytics": lambda: gold.trending_analytics(stats),
-    }
+    }, spark, folder_bytes(spark, layout.path("clean_statistics")))
+
+
+def refresh_gold(spark: SparkSession, layout: Layout) -> list[tuple]:
+    """The three Gold tables as ``build_gold`` makes them, but only months of Silver that have changed are read.
+
+    Aggregates of each (region, month) are kept as parts. Parts whose Silver files are not those they were made from are
+    made anew, whoever changed them and however many runs ago; Gold is then folded from the parts, which are small, with
+    the category names of today. Returns the (region, month) partitions that were read or have gone.
+    """
+    use_job_settings(spark)
+    changed = gold_parts.refresh(spark, layout)
+    parts, lookup = gold_parts.read(spark, layout), _lookup(spark, layout)
+    _publish_gold(layout, {
+        "channel_analytics": lambda: partial.channels_from_parts(parts, lookup),
+        "category_analytics": lambda: partial.categories_from_parts(parts, lookup),
+        "trending_analytics": lambda: partial.days_from_parts(parts),
+    }, spark, folder_bytes(spark, layout.path(gold_parts.FOLDER)))
+    return changed
 
+
+def _lookup(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    reference = read_or_none(spark, layout.reference)
+    return None if reference is None else measured_lookup(reference)
+
+
+def _publish_gold(
+    layout: Layout, builds: dict[str, Callable[[], DataFrame]], spark: SparkSession, input_bytes: int
+) -> dict[str, str]:
+    """Write the tables and let readers see them; returns the version of each.
+
+    The builds do not depend on each other and run side by side, so that one fills the executors the last tasks of
+    another leave idle. Readers see the old tables until all are complete, and then the new ones: if one build fails,
+    none of them changes.
+    """
     def build(name: str) -> str:
         return write_version(gold.stamp_aggregated(builds[name]()), layout.table(name), layout.path(name))
 
-    with sized_shuffles(spark, folder_bytes(spark, layout.path("clean_statistics"))), ThreadPoolExecutor(len(builds)) as pool:
+    with sized_shuffles(spark, input_bytes), ThreadPoolExecutor(len(builds)) as pool:
         built = dict(zip(builds, pool.map(build, builds)))
     for name, version in built.items():
         point_to(spark, layout.table(name), version)
@@ -144,12 +174,16 @@ def check_silver(
 
 
 def build_gold_if_clean(
-    spark: SparkSession, layout: Layout, rules: Rules = Rules(), as_of: Column | None = None
+    spark: SparkSession, layout: Layout, rules: Rules = Rules(), as_of: Column | None = None,
+    build: Callable[[SparkSession, Layout], object] = build_gold,
 ) -> GateResult:
-    """Build Gold only if every check passes; otherwise the old Gold stays and the failed checks come back."""
+    """Build Gold only if every check passes; otherwise the old Gold stays and the failed checks come back.
+
+    ``build`` may be ``refresh_gold``; what changes while the gate refuses is made up for by the next build.
+    """
     result, _ = check_silver(spark, layout, rules, as_of)
     if result.quality_passed:
-        build_gold(spark, layout)
+        build(spark, layout)
     return result
 
 
@@ -157,7 +191,7 @@ def run_live_cycle(
     spark: SparkSession, live_path: str, reference_path: str, layout: Layout, checkpoint: str,
     rules: Rules = Rules(), on_bad_record: str = "drop_line",
 ) -> GateResult:
-    """One scheduled run: new live files and category names to Silver, then the gate, then Gold."""
+    """One scheduled run: new live files and category names to Silver, then the gate, then Gold from what has changed."""
     run_live(spark, live_path, layout, checkpoint, on_bad_record)
     run_reference(spark, reference_path, layout, on_bad_record)
-    return build_gold_if_clean(spark, layout, rules)
+    return build_gold_if_clean(spark, layout, rules, build=refresh_gold)

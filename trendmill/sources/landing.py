@@ -61,7 +61,7 @@ def land(rows: DataFrame, layout: Layout, feed: str, batch_id: int) -> tuple[int
     return count, sorted({p[2:] for p in before.keys() | after}, key=str)
 
 
-def _in(partitions: Iterable[tuple]) -> Column:
+def in_partitions(partitions: Iterable[tuple]) -> Column:
     """Rows of these (region, month) partitions. It asks for partition columns alone, so no other folder is opened."""
     name = F.concat_ws("\0", *[F.coalesce(F.col(k), F.lit("\1")) for k in SILVER_PARTITIONS])
     return name.isin(["\0".join("\1" if v is None else v for v in p) for p in partitions])
@@ -94,7 +94,7 @@ def rebuild(spark: SparkSession, layout: Layout, partitions: Iterable[tuple], fi
     if not spark.catalog.tableExists(layout.statistics):
         rebuild_all(spark, layout, files)
         return
-    landed = landed.filter(_in(wanted))
+    landed = landed.filter(in_partitions(wanted))
     rows = valid_rows(landed, read_or_none(spark, layout.files) if files is None else files)
     with sized_shuffles(spark, planned_bytes(landed)):
         done, _ = insert_partitions(_silver(rows), layout.statistics, SILVER_PARTITIONS)
@@ -132,7 +132,7 @@ def fold(spark: SparkSession, layout: Layout, max_batches: int = MAX_BATCHES) ->
     open_now = F.lit(False)
     for feed, last in closed.items():
         open_now = open_now | ((F.col("feed") == feed) & (F.col("batch_id") > last))
-    rows = spark.table(layout.landing).filter(_in(groups) & ~open_now)
+    rows = spark.table(layout.landing).filter(in_partitions(groups) & ~open_now)
     with sized_shuffles(spark, planned_bytes(rows)):
         insert_partitions(
             latest_per_file(valid_rows(rows, files)).withColumns({"feed": F.lit(FOLDED), "batch_id": F.lit(number).cast("bigint")}),
