@@ -16,7 +16,7 @@ from trendmill.operators.cleanse import cleanse_backfill
 from trendmill.operators.flatten import DEFAULT_SOURCE, flatten_categories, flatten_videos, payload_summary
 from trendmill.operators.quality import Rules, check_tables, verdict
 from trendmill.operators.reference import clean_reference, measured_lookup
-from trendmill.session import enable_checkpoints, folder_bytes, sized_shuffles, use_job_settings
+from trendmill.session import enable_checkpoints, folder_bytes, sized_shuffles, stored_bytes, use_job_settings
 from trendmill.sources import gold_parts, ledger
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
@@ -125,7 +125,7 @@ def refresh_gold(spark: SparkSession, layout: Layout) -> list[tuple]:
         "channel_analytics": lambda: partial.channels_from_parts(parts, lookup),
         "category_analytics": lambda: partial.categories_from_parts(parts, lookup),
         "trending_analytics": lambda: partial.days_from_parts(parts),
-    }, spark, folder_bytes(spark, layout.path(gold_parts.FOLDER)))
+    }, spark, stored_bytes(spark, layout.path(gold_parts.FOLDER)))
     return changed
 
 
