@@ -114,6 +114,52 @@ def test_scopes_of_a_notice_inside_a_document(documents):
     assert found(license_scan.scan(documents([(1, text)]))) == [(1, "block", 1, "MIT"), (1, "line", 2, "MIT")]
 
 
+def whole_text(key):
+    return max((text for name, text in KNOWN if name == key), key=len)
+
+
+LONG = ["Apache-2.0", "CC0-1.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-1.1", "MPL-2.0"]
+
+
+def test_long_licences_are_found_whole_and_as_comments(documents):
+    assert all(len(whole_text(key)) > 5000 for key in LONG)
+    texts = []
+    for key in LONG:
+        text = whole_text(key)
+        texts += [text, "/*\n" + "\n".join(f" * {line}" for line in text.split("\n")) + "\n */", text + "\nMore terms."]
+    rows = license_scan.scan(documents(enumerate(texts)))
+    got = {r.doc_id: r.license_id for r in rows.filter("scope = 'document'").collect()}
+    assert got == {3 * k + form: key for k, key in enumerate(LONG) for form in (0, 1)}
+
+
+@pytest.mark.parametrize("line", [
+    "Copyright (c) 2020 Foo", "Copyright 2020 The Authors", "Copyright Foo Corp. 2020", "Copyright <YEAR> <HOLDER>",
+    "Copyright [yyyy] [name]", "Portions Copyright (c) 1999 Bar", "(C) 1999 Another", "All rights reserved."])
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", ";; "])
+def test_copyright_lines_go_whatever_stands_before(line, mark):
+    mit = dict(KNOWN)["MIT"]
+    assert license_scan.canonical(f"{mark}{line}\n{mark}{mit}") == license_scan.canonical(mit)
+    assert "copyright" in license_scan.canonical("copyright notice and this list of conditions")
+
+
+def test_titles_bullets_and_identifiers(documents):
+    by_name = dict(KNOWN[::-1])
+    body = by_name["BSD-3-Clause"]
+    bullets = body.replace("1. ", "\n  - ").replace("2. ", "\n  - ").replace("3. ", "\n  - ")
+    grant = next(text for name, text in KNOWN if name == "MIT" and text.startswith("Permission"))
+    texts = [
+        f"The MIT License (MIT)\n\nCopyright (c) 2020 Foo\n\n{grant}",
+        f"BSD 3-Clause License\n\nCopyright (c) 2020, Foo\nAll rights reserved.\n\n{bullets}",
+        "// SPDX-License-Identifier: MIT", "# SPDX-License-Identifier: GPL-2.0-or-later",
+        "Released under the GNU General Public License, version 3 or any later version.",
+        "#!/bin/sh\n\n# MIT License\n#\n# Copyright (c) 2020 Foo\n#\n# " + grant.replace(". ", ".\n#\n# ") + "\n\necho done",
+    ]
+    rows = found(license_scan.scan(documents(enumerate(texts))))
+    assert {r[0]: r[3] for r in rows if r[1] == "document"} == {
+        0: "MIT", 1: "BSD-3-Clause", 2: "MIT", 3: "GPL-2.0-or-later", 4: "GPL-3.0-or-later"}
+    assert (5, "block", 1, "MIT") in rows
+
+
 def test_scan_of_odd_rows(clashing):
     assert license_scan.scan(clashing).count() == 0
     assert license_scan.scan(clashing.limit(0)).columns == ["doc_id", "scope", "unit", "license_id", "digest"]

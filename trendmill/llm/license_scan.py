@@ -16,7 +16,9 @@ from trendmill.llm.license_texts import KNOWN
 
 # Spellings that count as equal, as whole words of the form without punctuation.
 EQUIVALENT = (
-    ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licensor", "licenser"),
+    ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licencee", "licensee"), ("licencees", "licensees"),
+    ("licencing", "licensing"), ("sublicences", "sublicenses"), ("sublicenced", "sublicensed"), ("sublicencing", "sublicensing"),
+    ("licensor", "licenser"),
     ("sub license", "sublicense"), ("sub licence", "sublicense"), ("sublicence", "sublicense"),
     ("non infringement", "noninfringement"), ("non commercial", "noncommercial"),
     ("merchantibility", "merchantability"), ("copyright owner", "copyright holder"),
@@ -24,9 +26,11 @@ EQUIVALENT = (
     ("organisation", "organization"), ("organisations", "organizations"), ("per cent", "percent"),
     ("whilst", "while"), ("wilful", "willful"), ("fulfil", "fulfill"), ("https", "http"), ("v", "version"),
 )
-# A line that only says who holds the rights, and when.
+# A line that only says who holds the rights, and when; comment marks may stand before it. It names a year, a sign or a
+# placeholder, which a sentence about copyright does not.
 COPYRIGHT_LINE = (
-    r"(^|\n)[ \t]*(?i:copyright[ \t,:]*(?:\(c\)|©|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*"
+    r"(^|\n)[ \t#*/;%!|<>.\-]*(?i:(?:portions[ \t]+)?copyright[ \t,:]*(?:\(c\)|©|[0-9]{4}|<|\[|\{)"
+    r"|(?:portions[ \t]+)?copyright[ \t]+[^\n]*(?:19|20)[0-9]{2}|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*"
 )
 # Every known text has one of these, in any spelling that counts as equal; a text without them is no licence.
 ANCHOR = r"(?i)licen[cs]|permission|redistribution"

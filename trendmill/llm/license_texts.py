@@ -1,9 +1,11 @@
 """Texts and notices of public licences, keyed by their short identifiers.
 
 A key may occur with several texts: the licence itself, and notices that stand for it. Line breaks, case,
-punctuation and copyright lines do not matter.
+punctuation and copyright lines do not matter. Long licences are kept whole in ``license_files``, named by their key.
 """
 
+from importlib.resources import files
+
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
@@ -54,7 +56,7 @@ _BSD_DISCLAIMER = (
     "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
 
-KNOWN = (
+_SHORT = (
     ("MIT", "MIT License " + _MIT_GRANT),
     ("MIT", _MIT_GRANT),
     ("MIT", "Released under the MIT License."),
@@ -93,3 +95,54 @@ KNOWN = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC0-1.0", "Released under the CC0 1.0 Universal License."),
 )
+
+# Titles that stand above the texts of a licence.
+_TITLES = {
+    "MIT": ("The MIT License (MIT)", "The MIT License", "MIT License (MIT)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License"),
+}
+_BODIES = {"MIT": _MIT_GRANT, "BSD-2-Clause": _BSD_TWO + _BSD_DISCLAIMER, "BSD-3-Clause": _BSD_TWO + _BSD_THIRD + _BSD_DISCLAIMER}
+# Identifiers that a line may name, besides those that have texts here.
+_IDENTIFIERS = (
+    "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later",
+    "BSL-1.0", "EPL-2.0", "Unlicense", "Zlib",
+)
+# Names and versions of the licences with a choice of later versions.
+_GNU = (("GPL", "General", "2"), ("GPL", "General", "3"), ("LGPL", "Lesser General", "2.1"), ("LGPL", "Lesser General", "3"),
+        ("AGPL", "Affero General", "3"))
+# Behind this line some licences show how to apply them; many copies end here.
+_LAST_LINE = "END OF TERMS AND CONDITIONS"
+
+
+def _bulleted(text: str) -> str:
+    """Clauses with bullets, which count as punctuation, in place of numbers."""
+    for number in ("1. ", "2. ", "3. "):
+        text = text.replace(number, "* ")
+    return text
+
+
+def _or_later(key: str, name: str, version: str) -> list[tuple[str, str]]:
+    key = f"{key}-{version}" + ("" if "." in version else ".0") + "-or-later"
+    return [(key, f"{verb} under the GNU {name} Public License, version {version} or {later}.")
+            for verb in ("Licensed", "Released") for later in ("later", "any later version", "(at your option) any later version")]
+
+
+def _all_known() -> tuple[tuple[str, str], ...]:
+    known = list(_SHORT)
+    for key, body in _BODIES.items():
+        for form in (body, _bulleted(body)):
+            known += [(key, form), *[(key, f"{title} {form}") for title in _TITLES[key]]]
+    for file in sorted(files(__package__).joinpath("license_files").iterdir(), key=lambda f: f.name):
+        key, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        known.append((key, text))
+        if _LAST_LINE in text:
+            known.append((key, text[:text.index(_LAST_LINE) + len(_LAST_LINE)]))
+    for gnu in _GNU:
+        known += _or_later(*gnu)
+    keys = [*dict.fromkeys(key for key, _ in known), *_IDENTIFIERS]
+    known += [(key, f"SPDX-License-Identifier: {key}") for key in dict.fromkeys(keys)]
+    return tuple(dict.fromkeys(known))
+
+
+KNOWN = _all_known()
