@@ -134,6 +134,41 @@ def test_state_lasts_over_several_arrivals(spark, documents):
         assert kept == sorted((max(d for d, t in seen if t == text), text) for text in {t for _, t in seen})
 
 
+def test_folder_outlives_its_session_and_takes_other_columns(spark):
+    first = exact_dedup.Deduplicator(spark)
+    first.add(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "doc_id int, text string, source string"))
+    first.update()
+    again = exact_dedup.Deduplicator(spark, first.folder)
+    assert sorted(map(tuple, again.survivors().collect())) == [(1, "a", "x"), (2, "b", "y")]
+    again.add(spark.createDataFrame([("en", 3, "a"), (None, 4, "c")], "lang string, doc_id int, text string"))
+    again.update()
+    for corpus in (again, exact_dedup.Deduplicator(spark, first.folder)):
+        kept = corpus.survivors()
+        assert kept.columns == ["doc_id", "text", "source", "lang"] and kept.schema["doc_id"].dataType.simpleString() == "int"
+        assert sorted(map(tuple, kept.collect())) == [(2, "b", "y", None), (3, "a", None, "en"), (4, "c", None, None)]
+
+
+def test_tables_that_do_not_fit_are_refused(spark):
+    corpus = exact_dedup.Deduplicator(spark)
+    with pytest.raises(ValueError, match="nothing"):
+        corpus.survivors()
+    with pytest.raises(ValueError, match="string, not an integer"):
+        corpus.add(spark.createDataFrame([("d1", "a")], "doc_id string, text string"))
+    corpus.add(spark.createDataFrame([(1, "a", 5)], "doc_id int, text string, n int"))
+    with pytest.raises(ValueError, match="n was int"):
+        corpus.add(spark.createDataFrame([(2, "a", "5")], "doc_id int, text string, n string"))
+    with pytest.raises(ValueError, match="texts in text"):
+        corpus.add(spark.createDataFrame([(2, "a")], "doc_id int, body string"), text="body")
+
+
+def test_copies_of_one_text_are_compared_by_many_tasks(spark):
+    corpus = exact_dedup.Deduplicator(spark)
+    corpus.add(spark.range(400).selectExpr("id as doc_id", "'same' as text").repartition(16))
+    corpus.update()
+    assert [r.doc_id for r in corpus.survivors().collect()] == [399]
+    assert corpus.arrivals().groupBy("file").count().agg({"count": "max"}).first()[0] < 100
+
+
 def test_exact_keeps_columns_and_nulls(clashing):
     kept = exact_dedup.keep_one(clashing)
     assert kept.columns == clashing.columns and kept.count() == len({r.text or "" for r in clashing.collect()})

@@ -10,11 +10,13 @@ bytes compared with the content kept for it.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,10 @@ _STATE_CONF = {
     # Otherwise each of the stores, one per shuffle partition, reserves megabytes of disk before it holds a row.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
+# What every arrival has; ``rest`` holds the other columns of its table.
+_ARRIVAL = "doc_id long, sha256 string, digest string, file string, offset long, size long, was_null boolean"
+# One row per table that was added: the names it had, and the columns in their order as a JSON schema.
+_TABLES = "number long, text string, doc_id string, columns string"
 _ORDER = ("doc_id", "file", "offset")
 _CLASSES = "digest string, keeper struct<doc_id: bigint, file: string, offset: bigint, size: bigint>, n long"
 # Checking a digest fetches contents in the order of the store; so many files stay open.
@@ -36,6 +42,9 @@ _OPEN_FILES = 8
 class Deduplicator:
     """A corpus that documents are added to. ``folder`` is in the shared storage and may outlive the session.
 
+    Tables may differ in columns: a survivor has those of all tables, null where its own had none. The name of the text, of
+    the doc_id and the type of a column are the same in all of them; the folder remembers them.
+
     ``digest_chars`` shortens the hexadecimal key of the state, so that tests can make different texts collide.
     """
 
@@ -44,16 +53,51 @@ class Deduplicator:
         self.folder = folder or scratch_path(spark, "exact")
         self.digest_chars = digest_chars
 
+    def _tables(self) -> list:
+        """The tables that were added, in their order: names and types, no rows."""
+        try:
+            rows = self.spark.read.schema(_TABLES).parquet(f"{self.folder}/tables").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted(rows, key=lambda r: r["number"])
+
+    @staticmethod
+    def _columns(tables: list) -> T.StructType:
+        """The columns of all tables, in the order they came up."""
+        fields: dict[str, T.StructField] = {}
+        for added in tables:
+            for field in T.StructType.fromJson(json.loads(added["columns"])):
+                if fields.setdefault(field.name, field).dataType != field.dataType:
+                    raise ValueError(f"{field.name} was {fields[field.name].dataType.simpleString()} in an earlier table")
+        return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
+
+    def _remember(self, docs: DataFrame, text: str, doc_id: str) -> None:
+        before = self._tables()
+        if before and (before[0]["text"], before[0]["doc_id"]) != (text, doc_id):
+            raise ValueError(f"the corpus has its texts in {before[0]['text']} and its ids in {before[0]['doc_id']}")
+        row = (len(before), text, doc_id, docs.schema.json())
+        new = self.spark.createDataFrame([row], _TABLES)
+        self._columns([*before, new.first()])
+        if row[1:] not in [tuple(r)[1:] for r in before]:
+            new.coalesce(1).write.mode("append").parquet(f"{self.folder}/tables")
+
     # --- adding ------------------------------------------------------------------------------------------------------
 
     def add(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> None:
         """Store the texts and append the arrivals. Null text is stored as empty; ``rest`` keeps the other columns.
 
+        The doc_id decides who stays, so it has to be an integer; anything else is a ValueError.
+
         A task writes its contents to a file of its own; only what a finished task returned is an arrival, so the file of
         a lost task is never read.
         """
         folder, key = self.folder, self.digest_chars
         names = docs.columns
+        if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
+            raise ValueError(f"{doc_id} is {docs.schema[doc_id].dataType.simpleString()}, not an integer")
+        self._remember(docs, text, doc_id)
         source = docs.select(
             F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"),
             F.struct(*[F.col(f"`{c}`") for c in names if c != text] or [F.lit(None).alias("none")]).alias("rest"))
@@ -83,13 +127,8 @@ class Deduplicator:
             if out is not None:
                 out.close()
 
-        schema = T.StructType([
-            T.StructField("doc_id", T.LongType()), T.StructField("sha256", T.StringType()),
-            T.StructField("digest", T.StringType()), T.StructField("file", T.StringType()),
-            T.StructField("offset", T.LongType()), T.StructField("size", T.LongType()),
-            T.StructField("was_null", T.BooleanType()), T.StructField("rest", rest)])
+        schema = T.StructType([*T.StructType.fromDDL(_ARRIVAL), T.StructField("rest", rest)])
         source.mapInArrow(save, schema).write.mode("append").parquet(f"{self.folder}/arrivals")
-        self.schema, self.text, self.names = schema, text, names
 
     # --- the stream --------------------------------------------------------------------------------------------------
 
@@ -102,7 +141,7 @@ class Deduplicator:
         try:
             # So that there is a table to read even if nothing has arrived.
             spark.createDataFrame([], _CLASSES).write.mode("overwrite").parquet(f"{folder}/classes/batch=-1")
-            arrivals = spark.readStream.schema(self.schema).parquet(f"{folder}/arrivals")
+            arrivals = spark.readStream.schema(_ARRIVAL).parquet(f"{folder}/arrivals")
             # A struct is largest by its first field, so by doc_id; the place makes the choice single.
             state = arrivals.groupBy("digest").agg(
                 F.max(F.struct("doc_id", "file", "offset", "size")).alias("keeper"), F.count("*").alias("n"))
@@ -121,7 +160,12 @@ class Deduplicator:
                     spark.conf.set(key, value)
 
     def arrivals(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/arrivals")
+        tables = self._tables()
+        if not tables:
+            raise ValueError("nothing has been added")
+        rest = [f for f in self._columns(tables) if f.name != tables[0]["text"]]
+        schema = T.StructType([*T.StructType.fromDDL(_ARRIVAL), T.StructField("rest", T.StructType(rest))])
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/arrivals")
 
     def classes(self) -> DataFrame:
         """The newest state of each digest: digest, keeper (doc_id, file, offset, size), n."""
@@ -156,7 +200,8 @@ class Deduplicator:
                     differ.append(read(r["file"], r["offset"], r["size"]) != kept)
                 yield batch.filter(pa.array(differ, pa.bool_()))
 
-        return hits.sortWithinPartitions("keeper", "file", "offset").mapInArrow(compare, hits.schema) \
+        # Copies of one text are dealt out by the file they lie in, or one task would compare all copies of the commonest.
+        return hits.repartition("keeper", "file").sortWithinPartitions("keeper", "file", "offset").mapInArrow(compare, hits.schema) \
             .select("digest", "file", "offset")
 
     def _split(self, marked: DataFrame, digests: DataFrame) -> DataFrame:
@@ -190,7 +235,9 @@ class Deduplicator:
         here, kept = F.struct(*_ORDER), F.struct(*[F.col("keeper")[c] for c in _ORDER])
         rows = self.with_text(self.result().filter(here.eqNullSafe(kept)).drop("keeper", "n"))
         text = F.when(~F.col("was_null"), F.col("content").cast("string"))
-        return rows.select(*[text.alias(c) if c == self.text else F.col("rest")[c].alias(c) for c in self.names])
+        tables = self._tables()
+        return rows.select(*[text.alias(c) if c == tables[0]["text"] else F.col("rest")[c].alias(c)
+                             for c in self._columns(tables).names])
 
 
 class _Contents:
