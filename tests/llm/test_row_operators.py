@@ -238,6 +238,71 @@ def test_fit_orders_grades():
     assert scores[0] < cuts[0] < scores[1] < cuts[1] < scores[2]
 
 
+def loss(theta, rows, n_features, ridge=0.2):
+    """The regularised loss of weights, first threshold and logarithms of gaps, row by row from its definition."""
+    weights, cuts = theta[:n_features], [theta[n_features]]
+    for gap in theta[n_features + 1:]:
+        cuts.append(cuts[-1] + math.exp(gap))
+    total = 0.0
+    for grade, places, values in rows:
+        score = sum(weights[p] * v for p, v in zip(places, values))
+        above = [1.0, *(1 / (1 + math.exp(c - score)) for c in cuts), 0.0]
+        total -= math.log(above[grade] - above[grade + 1])
+    return (total + ridge / 2 * sum(w * w for w in weights)) / len(rows)
+
+
+def test_fit_finds_the_least_loss():
+    rng = random.Random(11)
+    rows = []
+    for _ in range(150):
+        values = [rng.gauss(0, 1) for _ in range(3)]
+        latent = 1.5 * values[0] - values[1] + rng.gauss(0, 1)
+        rows.append((sum(latent > c for c in (-0.5, 0.8, 2.0)), [0, 1, 2], values))
+    weights, cuts = toxicity.fit(rows, 3, 4)
+    assert list(cuts) == sorted(cuts)
+    theta = [*weights, cuts[0], *(math.log(b - a) for a, b in zip(cuts, cuts[1:]))]
+    least = loss(theta, rows, 3)
+    for i in range(len(theta)):
+        up, down = ([t + (h if j == i else 0) for j, t in enumerate(theta)] for h in (1e-4, -1e-4))
+        assert abs(loss(up, rows, 3) - loss(down, rows, 3)) / 2e-4 < 2e-3
+    for _ in range(200):
+        near = [t + rng.gauss(0, 0.3) for t in theta]
+        assert loss(near, rows, 3) >= least - 1e-6
+
+
+def test_severity_of_graded_labels(documents):
+    rng = random.Random(3)
+    rows, graded = [], []
+    for i in range(600):
+        words = prose(60, rng.randrange(1000)).split()
+        for _ in range(3 * (i % 4)):
+            words.insert(rng.randrange(len(words)), rng.choice(("vileword", "nastyword", "foulword")))
+        rows.append((i, " ".join(words)))
+    docs = documents(rows)
+    labels = docs.select("doc_id", (F.col("doc_id") % 4).cast("int").alias("grade"))
+    model = toxicity.train(docs, labels.filter("doc_id < 400"), F.col("grade"), 4)
+    for r in toxicity.predict(docs.filter("doc_id >= 400"), model).collect():
+        assert abs(r.severity - r.doc_id % 4) < 1 and r.toxic == (r.doc_id % 4 > 0)
+
+
+def test_grades_of_toxic_texts():
+    assert toxicity.refined([1, 0, 1, 1], [2.0, 9.0, 1.0, 3.0], 4) == [2, 0, 1, 3]
+    assert toxicity.refined([1, 1, 1, 1, 1, 1], [1.0, 1.0, 5.0, 5.0, 5.0, 7.0], 4) == [1, 1, 2, 2, 2, 3]
+    assert toxicity.refined([0, 0], [1.0, 2.0], 4) == [0, 0] and toxicity.refined([], [], 4) == []
+
+
+def test_evidence_comes_from_the_other_half():
+    # Feature 1 marks toxic texts in half 0, feature 2 in half 1: neither half's model knows the other's.
+    rows = [([0, 1 + half], [1.0, float(toxic)]) for half in (0, 1) for toxic in (0, 1) for _ in range(20)]
+    toxic = [t for _ in (0, 1) for t in (0, 1) for _ in range(20)]
+    half = [h for h in (0, 1) for _ in range(40)]
+    blind = toxicity.unseen_evidence(toxic, half, rows, [{1}, {2}], 3)
+    assert max(blind) - min(blind) < 1e-6
+    shared = [([0, 1], [1.0, float(t)]) for t in toxic]
+    told = toxicity.unseen_evidence(toxic, half, shared, [{1}, {1}], 3)
+    assert all((e > 0) == (t > 0) for t, e in zip(toxic, told))
+
+
 def test_without_labels_nothing_is_toxic(clashing, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(clashing, labels, F.col("toxic"), 4, refine=True)

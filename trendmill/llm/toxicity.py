@@ -7,6 +7,7 @@ sparse features: logarithms of how often a word, or the beginning of a word, occ
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -189,22 +190,42 @@ def choose_features(sample: DataFrame, n: int = FEATURES) -> list[int]:
 
 
 def refined(toxic: list[int], evidence: list[float], grades: int) -> list[int]:
-    """Grades from labels that only say toxic or not: toxic texts are shared out evenly over the grades above 0, by how
-    much they hold of the features that tell toxic texts from others."""
+    """Grades from labels that only say toxic or not: toxic texts are shared out evenly over the grades above 0, by the
+    rank of their evidence among toxic texts. Equal evidence means the same grade."""
     held = sorted(e for t, e in zip(toxic, evidence) if t > 0)
-    cuts = [held[len(held) * k // (grades - 1)] for k in range(1, grades - 1)] if held else []
-    return [1 + sum(e >= c for c in cuts) if t > 0 else 0 for t, e in zip(toxic, evidence)]
+    return [1 + bisect_left(held, e) * (grades - 1) // len(held) if t > 0 else 0 for t, e in zip(toxic, evidence)]
+
+
+def unseen_evidence(toxic: list[int], half: list[int], rows: list[tuple[list[int], list[float]]],
+                    chosen: list[set[int]], n_features: int) -> list[float]:
+    """Of each text, how far a model that has not seen it finds it toxic (the logarithm of the odds).
+
+    The model of a text in one half is fitted on the other half, with the features ``chosen`` there.
+    """
+    evidence = [0.0] * len(rows)
+    for k in (0, 1):
+        kept = [[(p, v) for p, v in zip(*row) if p == 0 or p in chosen[1 - k]] for row in rows]
+        seen = [(min(t, 1), [p for p, _ in r], [v for _, v in r]) for t, h, r in zip(toxic, half, kept) if h != k]
+        weights, cuts = fit(seen, n_features, 2)
+        for i, row in enumerate(kept):
+            if half[i] == k:
+                evidence[i] = float(sum(weights[p] * v for p, v in row) - cuts[0])
+    return evidence
 
 
 def train(docs: DataFrame, labels: DataFrame, grade: Column, grades: int, refine: bool = False, text: str = "text",
           doc_id: str = "doc_id", most: int = MAX_LABELLED) -> Model:
     """A model from the labelled documents; ``grade`` is a column of ``labels`` with 0 to ``grades`` - 1.
 
-    With ``refine`` the labels are 0 and 1 only, and ``refined`` makes grades of them. What reaches the driver is bounded: the chosen features, and their counts in at most ``most`` documents.
+    With ``refine`` the labels are 0 and 1 only, and toxic texts are graded by ``unseen_evidence``: the sample is halved by
+    a hash of the text, so that copies fall into the same half, and each half is judged by a model of the other. What
+    reaches the driver is bounded: the chosen features, and their counts in at most ``most`` documents.
     """
-    sample = labelled_sample(docs, labels, grade, text, doc_id, most)
+    sample = labelled_sample(docs, labels, grade, text, doc_id, most) \
+        .withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))
     chosen = choose_features(sample)
-    place = {f: i for i, f in enumerate([_LENGTH, *chosen])}
+    halves = [choose_features(sample.filter(F.col("half") == k)) for k in (0, 1)] if refine else []
+    place = {f: i for i, f in enumerate(dict.fromkeys([_LENGTH, *chosen, *(f for h in halves for f in h)]))}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Features(set(place))
@@ -216,18 +237,23 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, grades: int, refine
                 places.append([0, *(p for p, _ in here)])
                 values.append([float(np.log1p(n_words)), *(v for _, v in here)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32())),
-                 pa.array(values, pa.list_(pa.float32()))], ["doc_id", "grade", "places", "values"])
+                [batch.column(0), batch.column(1), batch.column(3), pa.array(places, pa.list_(pa.int32())),
+                 pa.array(values, pa.list_(pa.float32()))], ["doc_id", "grade", "half", "places", "values"])
 
     kind = dict(sample.dtypes)["doc_id"]
-    table = sample.select("doc_id", "grade", "text").mapInArrow(
-        rows, f"doc_id {kind}, grade int, places array<int>, values array<float>").toArrow()
-    data = sorted(zip(*(table.column(c).to_pylist() for c in ("doc_id", "grade", "places", "values"))))
-    graded = [min(max(g, 0), grades - 1) for _, g, _, _ in data]
+    table = sample.select("doc_id", "grade", "text", "half").mapInArrow(
+        rows, f"doc_id {kind}, grade int, half int, places array<int>, values array<float>").toArrow()
+    data = sorted(zip(*(table.column(c).to_pylist() for c in ("doc_id", "grade", "half", "places", "values"))))
+    graded = [min(max(g, 0), grades - 1) for _, g, _, _, _ in data]
     if refine:
-        graded = refined(graded, [sum(v[1:]) for _, _, _, v in data], grades)
-    weights, thresholds = fit([(g, p, v) for g, (_, _, p, v) in zip(graded, data)], len(place), grades)
-    return Model(dict(zip(place, weights.tolist())), thresholds.tolist())
+        in_half = [{place[f] for f in h} for h in halves]
+        graded = refined(graded, unseen_evidence(
+            graded, [h for _, _, h, _, _ in data], [(p, v) for _, _, _, p, v in data], in_half, len(place)), grades)
+    # Features that only a half has chosen come after all others.
+    n_features = len(chosen) + 1
+    kept = [[(p, v) for p, v in zip(places, values) if p < n_features] for _, _, _, places, values in data]
+    weights, thresholds = fit([(g, *map(list, zip(*row))) for g, row in zip(graded, kept)], n_features, grades)
+    return Model(dict(zip([_LENGTH, *chosen], weights.tolist())), thresholds.tolist())
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
