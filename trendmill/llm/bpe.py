@@ -217,6 +217,7 @@ class Coder:
         self.vocabulary = Vocabulary(path)
         self.split_beyond = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.added = re.compile("|".join(map(re.escape, sorted(self.vocabulary.added, key=len, reverse=True))) or "(?!)")
+        self.added_starts = sorted({token[0] for token in self.vocabulary.added})
         self.remembered = remembered
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -229,7 +230,7 @@ class Coder:
 
     def pieces(self, text: str) -> list[str]:
         """Words and added tokens in order."""
-        if "<" not in text or not self.added.search(text):
+        if not any(c in text for c in self.added_starts) or not self.added.search(text):
             return self.words(text)
         out, at = [], 0
         for m in self.added.finditer(text):
