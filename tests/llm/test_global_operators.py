@@ -308,6 +308,20 @@ def test_files_hold_the_documents_in_order(odd, library, monkeypatch):
     assert token_files.write_and_read(odd.limit(0), WORDS, 2).count() == 0
 
 
+def test_shards_of_few_tasks_follow_each_other(odd, spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_IDS", 8)
+    monkeypatch.setattr(token_files, "MAX_TASKS", 2)
+    path, manifest, _ = token_files.write(odd, WORDS, 2)
+    shards = token_files.with_starts(manifest).orderBy("slot", "part").collect()
+    assert {s.slot for s in shards} <= {0, 1} and len(shards) > 4
+    assert [s.start for s in shards] == [0, *np.cumsum([s.ids for s in shards])[:-1].tolist()]
+    rows = token_files.read(spark, path, manifest).orderBy("start").collect()
+    assert len(rows) == odd.count() == sum(s.documents for s in shards)
+    assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
+    names = [(r.doc_id is not None, r.doc_id or 0) for r in rows]
+    assert names == sorted(names)
+
+
 # --- packing ---------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, capacity=4096):

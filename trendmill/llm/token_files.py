@@ -16,19 +16,21 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendmill.llm.common import numbered, open_store, stage
 from trendmill.llm.tokens import encoder
 from trendmill.session import fresh_path
 
+# A shard is closed when it holds this many ids. Tasks aim at three quarters of it, so most write one shard.
 SHARD_IDS = 8_000_000
+# Tasks that write, and tasks that read: beyond this size of the data each has several shards.
+MAX_TASKS = 10_000
 BLOCK_IDS = 1 << 18
 _HEADER = struct.Struct("<3Q")
 # Of each control byte: which of the 16 bytes of its four ranks are written.
@@ -109,12 +111,48 @@ def id_counts(ids: DataFrame, dtype: str, size: int) -> np.ndarray:
     return counts
 
 
+class _Shard:
+    """One file that is being written; its name is used once, by whichever attempt of the task writes it."""
+
+    def __init__(self, store, folder: str, slot: int, part: int, rank_of: np.ndarray, block_ids: int):
+        self.place, self.rank_of, self.block_ids = (slot, part), rank_of, block_ids
+        self.file = f"shard-{slot:06d}-{part:06d}-{uuid.uuid4().hex}"
+        self.out = store.open_output_stream(f"{folder}/{self.file}")
+        self.documents = self.ids = 0
+        self._empty()
+
+    def _empty(self) -> None:
+        self.names, self.texts, self.held = [], [], 0
+
+    def add(self, name: int | None, ids: np.ndarray) -> None:
+        self.names.append(name)
+        self.texts.append(ids)
+        self.held += len(ids)
+        self.documents, self.ids = self.documents + 1, self.ids + len(ids)
+        if self.held >= self.block_ids:
+            self._write()
+
+    def _write(self) -> None:
+        self.out.write(_block(self.names, self.texts, self.rank_of))
+        self._empty()
+
+    def close(self) -> pa.RecordBatch:
+        """The shard's row of the manifest."""
+        if self.names:
+            self._write()
+        self.out.close()
+        slot, part = self.place
+        return pa.RecordBatch.from_pydict({
+            "slot": [slot], "part": [part], "file": [self.file], "documents": [self.documents], "ids": [self.ids]})
+
+
 def write(docs: DataFrame, vocabulary: str, end: int, path: str | None = None, text: str = "text",
           doc_id: str = "doc_id") -> tuple[str, DataFrame, np.ndarray]:
     """Encode ``docs`` into shards below ``path``: (path, manifest, ids by rank).
 
-    The manifest has a row per shard: shard, file, documents, ids. Only files it names belong to the data set; a task
-    that ran twice leaves a file that nobody reads. Every shard holds about SHARD_IDS ids, a document is never cut.
+    The manifest has a row per shard: slot (the task's range of documents), part (the shard's place in it), file,
+    documents, ids. Only files it names belong to the data set; a task that ran twice leaves files that nobody reads.
+    A shard holds SHARD_IDS ids at most and the rest of its last document; a document is never cut.
     """
     spark = docs.sparkSession
     path = path or fresh_path(spark, "shards")
@@ -130,41 +168,48 @@ def write(docs: DataFrame, vocabulary: str, end: int, path: str | None = None, t
     with store.open_output_stream(f"{folder}/by_rank.u32") as out:
         out.write(by_rank.astype("<u4").tobytes())
 
+    shard_ids, block_ids = SHARD_IDS, BLOCK_IDS
+
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
-        out, file, documents, total = None, f"shard-{shard:06d}-{uuid.uuid4().hex}", 0, 0
-        names, texts, held = [], [], 0
+        slot, part, shard = TaskContext.get().partitionId(), 0, None
         store, folder = open_store(path)
         for batch in batches:
             for name, some in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(some.as_py(), dtype)
-                out = out or store.open_output_stream(f"{folder}/{file}")
-                names.append(name)
-                texts.append(ids)
-                held += len(ids)
-                documents, total = documents + 1, total + len(ids)
-                if held >= BLOCK_IDS:
-                    out.write(_block(names, texts, rank_of))
-                    names, texts, held = [], [], 0
-        if out is not None:
-            if names:
-                out.write(_block(names, texts, rank_of))
-            out.close()
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [file], "documents": [documents], "ids": [total]})
-
-    # Rows of one doc_id are told apart by the staged row number, so that no doc_id makes a shard too long.
-    shards = max(1, -(-int(counts.sum()) // SHARD_IDS))
-    ranged = ids.repartitionByRange(shards, "doc_id", "row").sortWithinPartitions("doc_id", "row")
+                shard = shard or _Shard(store, folder, slot, part, rank_of, block_ids)
+                shard.add(name, np.frombuffer(some.as_py(), dtype))
+                if shard.ids >= shard_ids:
+                    yield shard.close()
+                    part, shard = part + 1, None
+        if shard is not None:
+            yield shard.close()
+
+    # Rows of one doc_id are told apart by the staged row number, so that no doc_id makes a range too long.
+    tasks = min(MAX_TASKS, max(1, -(-int(counts.sum()) * 4 // (SHARD_IDS * 3))))
+    ranged = ids.repartitionByRange(tasks, "doc_id", "row").sortWithinPartitions("doc_id", "row")
     manifest = stage(ranged.select("doc_id", "ids").mapInArrow(
-        save, "shard long, file string, documents long, ids long"), "manifest")
+        save, "slot long, part long, file string, documents long, ids long"), "manifest")
     return path, manifest, by_rank
 
 
+def with_starts(manifest: DataFrame) -> DataFrame:
+    """The manifest with ``start``, the ids of all shards before: before in its slot, and in earlier slots.
+
+    One window runs over all slots (MAX_TASKS rows at most), the other over the shards of one slot.
+    """
+    slots = manifest.groupBy("slot").agg(F.sum("ids").alias("slot_ids"))
+    earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = slots.select("slot", F.coalesce(F.sum("slot_ids").over(earlier), F.lit(0)).alias("first"))
+    in_slot = Window.partitionBy("slot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("ids").over(in_slot), F.lit(0))
+    # A row of two numbers per slot.
+    return manifest.withColumn("inside", inside).join(F.broadcast(firsts), "slot") \
+        .withColumn("start", F.col("first") + F.col("inside")).drop("first", "inside")
+
+
 def read(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids (little-endian, 32 bits), from the files."""
-    listed = manifest.orderBy("shard").collect()
-    starts = accumulate((r["ids"] for r in listed), initial=0)
-    work = spark.createDataFrame([(r["file"], s) for r, s in zip(listed, starts)], "file string, start long")
+    work = with_starts(manifest).select("file", "start")
+    tasks = min(MAX_TASKS, max(1, manifest.count()))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = open_store(path)
@@ -184,7 +229,7 @@ def read(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
                                      pa.binary()),
                         ], ["doc_id", "start", "n_tokens", "ids"])
 
-    return work.repartition(max(1, len(listed)), "file").mapInArrow(
+    return work.repartition(tasks, "file").mapInArrow(
         load, "doc_id long, start long, n_tokens long, ids binary")
 
 
