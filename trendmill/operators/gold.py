@@ -107,12 +107,15 @@ def channel_analytics(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
 
 def category_groups(stats: DataFrame) -> DataFrame:
     """Figures per category id, region and day."""
-    return stats.groupBy("category_id", "region", "trending_date_parsed").agg(
+    keys = ["category_id", "region", "trending_date_parsed"]
+    sums = stats.groupBy(*keys).agg(
         F.count("video_id").alias("video_count"),
         *_totals(),
         fn.average_of_rates(F.col("engagement_rate")).alias("avg_engagement_rate"),
-        F.count_distinct("channel_title").alias("unique_channels"),
     )
+    channels = _distinct_count(stats, keys, "channel_title", "unique_channels")
+    measures = [_only(name) for name in sums.columns if name not in keys]
+    return _fold(keys, [sums, channels], [*measures, _count_or_zero("unique_channels")])
 
 
 def category_analytics(stats: DataFrame, lookup: DataFrame | None) -> DataFrame:
