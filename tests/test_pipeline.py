@@ -242,6 +242,40 @@ def test_empty_reference_writes_nothing(spark, layout, tmp_path):
     assert not spark.catalog.tableExists(layout.reference)
 
 
+def test_reference_load_replaces_its_regions_without_a_folder_for_each(spark, layout, tmp_path):
+    def load(name, *rows):
+        text = "".join(json.dumps({"category_id": i, "category_name": n, "region": r, "_ingested_at": "2024-05-01T10:00:00+00:00"}) + "\n"
+                       for i, n, r in rows)
+        write_files(tmp_path / name, {"names.json": text})
+        return run_reference(spark, str(tmp_path / name), layout)
+
+    def names():
+        return sorted(((r.region, r.category_id, r.category_name) for r in spark.table(layout.reference).collect()), key=str)
+
+    many = [("1", "old", f"R{i}") for i in range(50)]
+    assert load("one", *many, ("2", "gone", "R1"), ("3", "none", None), ("4", "blank", " "))
+    assert load("two", ("1", "new", " r1 "), ("5", "none again", None))
+    wanted = sorted([*[(f"r{i}", 1, "new" if i == 1 else "old") for i in range(50)], (None, 5, "none again")], key=str)
+    assert names() == wanted
+    assert not load("nothing", ("x", "no id", "R1")) and names() == wanted
+    folder = tmp_path / "tables/clean_reference_data"
+    assert not list(folder.glob("**/region=*")) and len(list(folder.glob("**/*.parquet"))) < 50
+    spark.sql(f"DROP VIEW {layout.reference}")  # a lost catalog entry hides nothing
+    assert load("three", ("1", "newest", "R2"))
+    assert names() == sorted([(r, i, "newest" if r == "r2" else n) for r, i, n in wanted], key=str)
+
+
+def test_reference_load_takes_over_folders_of_regions(spark, layout):
+    where = layout.reference, layout.path("clean_reference_data")
+    tables.overwrite_partitions(spark.createDataFrame([(1, "a", "x", "us"), (2, "b", "y", "gb")],
+                                                      "category_id long, category_name string, note string, region string"), *where)
+    new = spark.createDataFrame([(3, "c", "us")], "category_id long, category_name string, region string")
+    spark.sql(f"DROP TABLE {layout.reference}")
+    for _ in range(2):
+        published.merge(new, *where)
+        assert {tuple(r) for r in spark.table(layout.reference).collect()} == {(3, "c", None, "us"), (2, "b", "y", "gb")}
+
+
 def test_fresh_silver_passes_with_default_clock(spark, layout, tmp_path):
     run_backfill(spark, write_files(tmp_path / "csv", {"region=US/a.csv": US, "region=gb/b.csv": GB}), layout)
     result, found = check_silver(spark, layout, Rules(min_rows=1), tables=("clean_statistics",))

@@ -21,8 +21,8 @@ from trendmill.sources import gold_parts, ledger
 from trendmill.sources.bronze_csv import read_backfill
 from trendmill.sources.bronze_json import read_reference, write_bronze
 from trendmill.sources.landing import BACKFILL, batch_partitions, batch_rows, fold, land, rebuild
-from trendmill.sources.published import point_to, remove_old_versions, write_version
-from trendmill.sources.tables import Layout, overwrite_partitions, read_or_none
+from trendmill.sources.published import merge, point_to, remove_old_versions, write_version
+from trendmill.sources.tables import Layout, read_or_none
 from trendmill.streaming.live import run_live
 
 
@@ -86,15 +86,13 @@ def run_backfill(
 
 
 def run_reference(spark: SparkSession, json_path: str, layout: Layout, on_bad_record: str = "drop_line") -> bool:
-    """Category names to Silver, replacing the regions that occur; False if there was nothing to load."""
+    """Category names to Silver, replacing the regions that occur; False if there was nothing to load.
+
+    Readers see the old names until all new ones are there.
+    """
     use_job_settings(spark)
     rows = clean_reference(read_reference(spark, json_path, on_bad_record))
-    known = spark.catalog.tableExists(layout.reference)
-    if overwrite_partitions(rows, layout.reference, layout.path("clean_reference_data")):
-        return True
-    if not known:
-        spark.sql(f"DROP TABLE {layout.reference}")
-    return False
+    return merge(rows, layout.reference, layout.path("clean_reference_data")) is not None
 
 
 def build_gold(spark: SparkSession, layout: Layout) -> dict[str, str]:
