@@ -9,7 +9,8 @@ from trendmill.operators.flatten import flatten_categories, flatten_videos
 from trendmill.plans.pipeline import run_backfill
 from trendmill.schemas import CORRUPT
 from trendmill.sources.bronze_csv import read_backfill, read_backfill_groups
-from trendmill.sources.bronze_json import read_live, read_reference, write_bronze
+from trendmill.sources import bronze_json
+from trendmill.sources.bronze_json import GZIP_FILES, read_live, read_reference, write_bronze
 from trendmill.sources.tables import overwrite_partitions, write_full
 
 HEADER = ("video_id,trending_date,title,channel_title,category_id,publish_time,tags,views,likes,dislikes,comment_count,"
@@ -182,6 +183,20 @@ def test_bronze_write_and_read_back(spark, tmp_path):
     assert {(r.video_id, r.views, r.region) for r in read_live(spark, path).collect()} == {("ü", "5", "us")}
 
 
+def test_compressed_bronze_is_small_bounded_and_replaced(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze_json, "RECORDS_PER_GZIP", 400)
+    path, plain = tmp_path / "live", tmp_path / "plain"
+    rows = flatten_videos(_payload(spark, [{"id": f"ü{i}", "statistics": {"viewCount": str(i)}} for i in range(1000)]))
+    for wanted in (rows, rows, rows.filter("views > 99")):
+        write_bronze(wanted, str(path), "2024-05-01T09:30:00+00:00", compression="gzip")
+    write_bronze(rows, str(plain), "2024-05-01T09:30:00+00:00")
+    files = list(path.rglob("*.json.gz"))
+    assert len(files) >= 3 and not list(path.rglob("*.json"))
+    assert 10 * sum(f.stat().st_size for f in files) < sum(f.stat().st_size for f in plain.rglob("*.json"))
+    found = read_live(spark, str(path), files=GZIP_FILES).select("video_id", "views", "region", "tags")
+    assert sorted(map(tuple, found.collect())) == sorted((f"ü{i}", str(i), "us", None) for i in range(100, 1000))
+
+
 def test_partition_overwrite_leaves_other_partitions(spark, layout):
     where = layout.table("t"), layout.path("t")
     first = spark.createDataFrame([(1, "us"), (2, "gb"), (3, None)], "v long, region string")

@@ -16,7 +16,7 @@ from trendmill.operators.gold import category_analytics, stamp_aggregated
 from trendmill.schemas import FLAT_VIDEO
 from trendmill.session import fresh_path, use_job_settings
 from trendmill.sources.bronze_csv import read_backfill, read_backfill_groups, read_staged, region_from_path, stage_history
-from trendmill.sources.bronze_json import read_live, read_reference, write_bronze
+from trendmill.sources.bronze_json import GZIP_FILES, read_live, read_reference, write_bronze
 from trendmill.sources.tables import overwrite_partitions, write_full
 from trendmill.workload.gold_cases import SQL as GOLD_SQL
 from trendmill.workload.silver_cases import RAW_BACKFILL
@@ -156,11 +156,11 @@ def _bronze_rewrite(spark, sf_dir):
                                    "'made' as _source from {events}", "events")
     first = videos.union(videos.withColumn("region", F.lit("elsewhere")))
     for rows, other in ((first, names_of.withColumn("category_name", F.lit("old"))), (videos, names_of)):
-        write_bronze(rows, live, INGESTED_AT)
-        write_bronze(other, names, INGESTED_AT, hourly=False)
-    write_bronze(videos.filter("views > 0"), live, INGESTED_AT, run_id="another run of the hour")
-    return read_live(spark, live).select(F.lit("live").alias("kind"), "region", "video_id", "views").unionByName(
-        read_reference(spark, names).select(
+        write_bronze(rows, live, INGESTED_AT, compression="gzip")
+        write_bronze(other, names, INGESTED_AT, hourly=False, compression="gzip")
+    write_bronze(videos.filter("views > 0"), live, INGESTED_AT, run_id="another run of the hour", compression="gzip")
+    return read_live(spark, live, files=GZIP_FILES).select(F.lit("live").alias("kind"), "region", "video_id", "views").unionByName(
+        read_reference(spark, names, files=GZIP_FILES).select(
             F.lit("names").alias("kind"), "region", F.col("category_id").alias("video_id"), F.col("category_name").alias("views")))
 
 
