@@ -6,6 +6,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from trendmill import session
 from trendmill.operators.quality import Rules, check_table, check_tables, verdict
 from trendmill.plans.pipeline import (
     build_gold_if_clean, check_silver, run_backfill, run_ingest, run_live_cycle, run_reference,
@@ -496,6 +497,28 @@ def test_landing_has_few_files_and_old_months_are_not_opened(spark, layout, tmp_
     assert spark.table(layout.statistics).count() == 4005
 
 
+def test_a_task_of_a_rebuild_sorts_few_rows(spark, layout, monkeypatch):
+    monkeypatch.setattr(tables, "RECORDS_PER_FILE", 500)
+    monkeypatch.setattr(session, "SORTED_BYTES", 1024 * 1024)
+    rows = spark.range(0, 4000, 1, 3).selectExpr(
+        "cast(id as string) as video_id", "'us' as region", "id as views", "date'2024-01-01' as trending_date_parsed")
+    _, changed = landing.land(rows, layout, "f", 0)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    read = []
+
+    def seen(landed):
+        read.extend(r["count"] for r in landed.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        return latest(landed)
+
+    latest = landing.latest_statistics
+    monkeypatch.setattr(landing, "latest_statistics", seen)
+    spark.catalog.refreshTable(layout.landing)
+    landing.rebuild(spark, layout, changed)
+    assert sum(read) == 4000 and max(read) <= 500
+    assert spark.table(layout.statistics).count() == 4000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
 def test_damaged_table_fails_its_own_check_only(spark, layout, tmp_path):
     tables.write_full(stats(spark), layout.statistics, layout.path("clean_statistics"))
     tables.write_full(stats(spark).select("region", F.lit(1).alias("category_id")), layout.reference,

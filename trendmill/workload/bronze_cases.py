@@ -14,7 +14,7 @@ from trendmill.operators.dedup import latest_statistics
 from trendmill.operators.flatten import flatten_categories, flatten_videos
 from trendmill.operators.gold import category_analytics, stamp_aggregated
 from trendmill.schemas import FLAT_VIDEO
-from trendmill.session import fresh_path, use_job_settings
+from trendmill.session import fresh_path, settings, use_job_settings
 from trendmill.sources.bronze_csv import read_backfill, read_backfill_groups, read_staged, region_from_path, stage_history
 from trendmill.sources.bronze_json import GZIP_FILES, read_live, read_reference, write_bronze
 from trendmill.sources.tables import overwrite_partitions, write_full
@@ -27,11 +27,14 @@ _K = "get_json_object(props, '$.k')"
 _K_SQL = "json_extract_string(props, '$.k')"
 
 
-def write_csv(rows, path, *partition_by):
-    (
-        rows.write.partitionBy(*partition_by).option("header", "true").option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
-    )
+def write_csv(rows, path, *partition_by, rows_per_file=0):
+    """CSV files of at most ``rows_per_file`` rows (0: any number). Those of some regions are written side by side, unsorted."""
+    with settings(rows.sparkSession, spark__sql__maxConcurrentOutputFileWriters=16):
+        (
+            rows.write.partitionBy(*partition_by).option("header", "true").option("quote", '"').option("escape", '"')
+            .option("maxRecordsPerFile", rows_per_file)
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+        )
 
 
 def _documents_csv(spark, sf_dir):
