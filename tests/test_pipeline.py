@@ -13,6 +13,7 @@ from trendmill.plans.pipeline import (
 )
 from trendmill.plans import pipeline
 from trendmill.sources import gold_parts, landing, ledger, published, tables
+from trendmill.streaming import live as live_module
 from trendmill.streaming.live import run_live
 
 from test_sources import GB, JAN, NOV, US, line, write_files
@@ -64,6 +65,36 @@ def test_live_stream(spark, layout, tmp_path, mode):
     assert silver(spark, layout) == [("us", "a", 9), ("us", "b", 2), ("us", "d", 4), *bad_file]
 
 
+def test_batches_of_a_run_share_one_rebuild(spark, layout, tmp_path, monkeypatch):
+    live, state, rebuilt, real = tmp_path / "live", str(tmp_path / "state"), [], landing.rebuild
+    for i in range(4):
+        feed(live, f"f{i}", row("a", i, f"2024-05-01T1{i}:00:00+00:00"), row(f"b{i}", i, f"2024-0{5 + i % 2}-02T00:00:00+00:00"))
+
+    def counted(session, where, partitions, *rest):
+        rebuilt.append(sorted(partitions, key=str))
+        real(session, where, partitions, *rest)
+
+    monkeypatch.setattr(landing, "rebuild", counted)
+    monkeypatch.setattr(live_module, "rebuild", counted)
+    run_live(spark, str(live), layout, state, files_per_batch=1)
+    assert rebuilt == [[("us", "2024-05"), ("us", "2024-06")]]
+    assert silver(spark, layout) == [("us", "a", 3), *[("us", f"b{i}", i) for i in range(4)]]
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    feed(live, "g", row("a", 9, "2024-05-01T20:00:00+00:00"), row("n", 7, "no time"), hour="11")
+    monkeypatch.setattr(landing, "rebuild", lost)
+    with pytest.raises(RuntimeError):  # the batch has landed and counts as done
+        run_live(spark, str(live), layout, state)
+    monkeypatch.setattr(landing, "rebuild", counted)
+    run_live(spark, str(live), layout, state)  # nothing new, but what is behind is made up for
+    assert rebuilt[1:] == [[("us", "2024-05"), ("us", None)]]
+    assert ("us", "a", 9) in silver(spark, layout) and ("us", "n", 7) in silver(spark, layout)
+    run_live(spark, str(live), layout, state)
+    assert len(rebuilt) == 2 and not list((tmp_path / "tables/landing/behind").glob("*"))
+
+
 def test_backfill_and_live_meet_in_one_table(spark, layout, tmp_path):
     run_backfill(spark, write_files(tmp_path / "csv", {"region=US/a.csv": US, "region=gb/b.csv": GB}), layout)
     live = tmp_path / "live"
