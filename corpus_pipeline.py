@@ -62,7 +62,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that an earlier document has; n_chars counts what is left."""
     [removed] = free_names(docs.columns, "removed")
-    cut = line_dedup.remove_repeated_passages(docs, into=removed).drop(removed)
+    cut = line_dedup.remove_repeated_passages(docs, into=removed, inside=True).drop(removed)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -1,5 +1,6 @@
 """Operators that compare, order or pack the whole table, and the pipeline, against brute force."""
 
+import difflib
 import hashlib
 import random
 import re
@@ -276,6 +277,87 @@ def test_passages_of_odd_rows(clashing):
     assert line_dedup.remove_repeated_passages(clashing.limit(0)).count() == 0
 
 
+def brute_inside(rows):
+    """[(doc_id, text)] in the order of rank -> what is left if windows of fifty words between the cuts of paragraphs go too."""
+    after, first, left = brute_cut(rows), {}, []
+    for at, (_, text) in enumerate(rows):
+        words = list(re.finditer(r"[^\W_]+", text))
+        # What paragraphs have cut, as the characters that are missing.
+        gone = np.ones(len(text), bool)
+        k = 0
+        for a, b, size in difflib.SequenceMatcher(None, text, after[at], autojunk=False).get_matching_blocks():
+            gone[a:a + size] = False
+            k += size
+        assert k == len(after[at])
+        hit = np.zeros(len(words), bool)
+        for i in range(len(words) - 49):
+            key = tuple(w.group().lower() for w in words[i:i + 50])
+            d, j = first.setdefault(key, (at, i))
+            if (d != at or i >= j + 50) and not gone[words[i].start():words[i + 49].end()].any():
+                hit[i:i + 50] = True
+        for i, w in enumerate(words):
+            if hit[i]:
+                gone[w.start():words[i + 1].start() if i + 1 < len(words) and hit[i + 1] else w.end()] = True
+        left.append("".join(c for c, g in zip(text, gone) if not g))
+    return left
+
+
+def inside_sentence(i, n):
+    """A passage of ``n`` words, none of whose sentences is whole, inside a sentence of document ``i``."""
+    return f"{own(i)} it was said {i} " + " ".join(f"p{n}x{k}" + ("." if k == n // 2 else "") for k in range(n)) + f" {i} and so on {own(i + 500)}"
+
+
+def test_passages_inside_sentences_are_cut_on_request(documents):
+    rows = [(i, inside_sentence(i, n)) for i, n in enumerate([55, 55, 49, 49, 50, 50, 55, 80, 80])]
+    plain = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(documents(rows)).collect()}
+    assert all(plain[i] == t for i, t in rows)
+    got = {r.doc_id: r for r in line_dedup.remove_repeated_passages(documents(rows), inside=True).collect()}
+    for (i, text), n, later in zip(rows, [55, 55, 49, 49, 50, 50, 55, 80, 80], [0, 1, 0, 0, 0, 1, 1, 0, 1]):
+        passage = text[text.index(f"p{n}x0"):text.index(f"p{n}x{n - 1}") + len(f"p{n}x{n - 1}")]
+        assert got[i].text == (text.replace(passage, "") if later else text)
+        assert [text[s.start:s.end] for s in got[i].removed] == [passage] * later
+
+
+def test_passages_inside_sentences_equal_brute_force(documents, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(line_dedup, "MAX_DIGESTS", 300)
+    source = [f"{w}{rng.choice(['', '', '', '', ',', '.'])}" for w in (rng.choice("abcdef") + str(rng.randrange(60)) for _ in range(600))]
+    rows = []
+    for i in range(60):
+        text = own(i, 24)
+        for _ in range(rng.randrange(4)):
+            a = rng.randrange(500)
+            text += " " + " ".join(source[a:a + rng.randrange(20, 110)]) + f" end{i}x{rng.randrange(10**6)} " + rng.choice([own(i + 900, 12), "x " * 130, ""])
+        rows.append((i, text))
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(documents(rows).repartition(5), inside=True).collect()}
+    want = brute_inside(rows)
+    assert got == {d: want[k] for k, (d, _) in enumerate(rows)}
+    after = brute_cut(rows)
+    assert sum(want[k] != after[k] for k in range(60)) > 10
+
+
+def test_unspaced_passages_inside_sentences(documents):
+    rng = random.Random(6)
+    long, short = ("".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(n)) for n in (110, 90))
+    rows = [(i, f"{chr(0x3400 + i)}{passage}{chr(0x3500 + i)}") for i, passage in enumerate([long, long, short, short])]
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated_passages(documents(rows), inside=True).collect()}
+    assert got == {0: rows[0][1], 1: chr(0x3401) + chr(0x3501), 2: rows[2][1], 3: rows[3][1]}
+
+
+def test_odd_rows_with_passages_inside_sentences(clashing):
+    cut = line_dedup.remove_repeated_passages(clashing, inside=True)
+    assert sorted(cut.columns) == sorted(clashing.columns) and cut.count() == clashing.count()
+    assert cut.filter("text is null").count() == clashing.filter("text is null").count()
+    assert line_dedup.remove_repeated_passages(clashing.limit(0), inside=True).count() == 0
+
+
+def test_the_pipeline_cuts_passages_inside_sentences(spark, documents):
+    docs = documents([(i, inside_sentence(i, 55)) for i in range(3)])
+    got = {r.doc_id: r for r in corpus_pipeline.substrings(spark, docs, "").collect()}
+    assert ["p55x9 " in got[i].text for i in range(3)] == [True, False, False]
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
 # --- tokens ----------------------------------------------------------------------------------------------------------
 
 def test_encoder_equals_library(library):
